@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import bpe, quality
 
 QUERIES = {
     "op4_quality": quality.query,
+    "op9_bpe": bpe.query,
 }
 ORACLES = {
     "op4_quality": quality.ORACLE,
