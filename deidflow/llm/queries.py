@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, quality
+from . import bpe, media, quality
 
 QUERIES = {
     "op4_quality": quality.query,
     "op9_bpe": bpe.query,
+    "op10_gif": media.query,
 }
 ORACLES = {
     "op4_quality": quality.ORACLE,
