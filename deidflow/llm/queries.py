@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, media, quality
+from . import bpe, media, neardup, quality
 
 QUERIES = {
+    "op1_neardup": neardup.query,
     "op4_quality": quality.query,
     "op9_bpe": bpe.query,
     "op10_gif": media.query,
