@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, media, neardup, quality
+from . import bpe, langid, media, neardup, quality
 
 QUERIES = {
     "op1_neardup": neardup.query,
+    "op2_langid": langid.query,
     "op4_quality": quality.query,
     "op9_bpe": bpe.query,
     "op10_gif": media.query,
