@@ -17,14 +17,14 @@ import mmap
 import os
 import re
 import struct
-import tempfile
 import unicodedata
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from .shared import scratch_path, write_bytes
 
 VOCABULARY = "word_bpe_49k.json"
 END = "</w>"
@@ -245,6 +245,7 @@ class Encoder:
 
 
 _open: dict[str, Encoder] = {}
+_shipped: set[tuple[str, str]] = set()
 
 
 def _encoder(name: str, model) -> Encoder:
@@ -267,11 +268,9 @@ def ship(spark: SparkSession, path: str, frequent: Iterable[str] = ()) -> tuple[
     entries.update((w.encode(), model.merge(w.encode())) for w in frequent if w)
     data = compile_lexicon(entries.items())
     name = f"lexicon-{hashlib.sha256(data).hexdigest()[:16]}.madt"
-    with tempfile.TemporaryDirectory() as folder:  # the driver's file server keeps its own copy
-        with open(os.path.join(folder, name), "wb") as f:
-            f.write(data)
-        spark.sparkContext.addFile(os.path.join(folder, name))
-        SparkFiles.get(name)
+    if (place := (spark.sparkContext.applicationId, name)) not in _shipped:
+        spark.sparkContext.addFile(write_bytes(spark, f"{scratch_path(spark, 'lexicon')}/{name}", data))
+        _shipped.add(place)
     merges = [pair for pair, _ in sorted(model.ranks.items(), key=lambda x: x[1])]
     return name, spark.sparkContext.broadcast((model.vocab, merges, model.special))
 

@@ -39,3 +39,14 @@ def drop_table(spark: SparkSession, df_or_path: DataFrame | str) -> None:
     for path in paths:
         target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> str:
+    """Write a small file where ``path`` says, by Spark's own file systems; the path as given."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    return path
