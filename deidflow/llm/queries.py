@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, media, neardup, quality
+from . import bpe, langid, media, neardup, quality, webtext
 
 QUERIES = {
     "op1_neardup": neardup.query,
     "op2_langid": langid.query,
     "op4_quality": quality.query,
+    "op7_webtext": webtext.query,
     "op9_bpe": bpe.query,
     "op10_gif": media.query,
 }
