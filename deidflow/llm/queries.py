@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, media, neardup, quality, webtext
+from . import bpe, langid, media, neardup, quality, warc, webtext
 
 QUERIES = {
     "op1_neardup": neardup.query,
     "op2_langid": langid.query,
     "op4_quality": quality.query,
     "op7_webtext": webtext.query,
+    "op8_warc": warc.query,
     "op9_bpe": bpe.query,
     "op10_gif": media.query,
 }
