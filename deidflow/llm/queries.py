@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, media, neardup, pii, quality, warc, webtext
+from . import bpe, langid, media, mixing, neardup, pii, quality, warc, webtext
 
 QUERIES = {
     "op1_neardup": neardup.query,
     "op2_langid": langid.query,
     "op3_pii": pii.query,
     "op4_quality": quality.query,
+    "op5_mixing": mixing.query,
     "op7_webtext": webtext.query,
     "op8_warc": warc.query,
     "op9_bpe": bpe.query,
