@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, media, mixing, neardup, pii, quality, warc, webtext
+from . import bpe, langid, license, media, mixing, neardup, pii, quality, warc, webtext
 
 QUERIES = {
     "op1_neardup": neardup.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_pii": pii.query,
     "op4_quality": quality.query,
     "op5_mixing": mixing.query,
+    "op6_license": license.query,
     "op7_webtext": webtext.query,
     "op8_warc": warc.query,
     "op9_bpe": bpe.query,
