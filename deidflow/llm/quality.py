@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .shared import materialise
+from .shared import materialise, without
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
@@ -27,6 +27,8 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MAX_HOST_RATE = 0.5
+#: Host verdicts that may be broadcast; more are joined by a shuffle.
+MAX_BROADCAST_HOSTS = 200_000
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Rules by host: a name and the SQL of a failure.
 RULES = {
@@ -70,17 +72,17 @@ def block_counts(raw: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [*COUNTS, "n_lines"]
+    names, own = [*COUNTS, "n_lines"], ("doc_id", "host", "row_hash")
     for batch in batches:
         parts = [block_counts(raw, offsets) for _, _, raw, offsets in tv.blocks(batch.column("text"))]
         counts = [pa.array(np.concatenate([p[c] for p in parts]) if parts else [], pa.int64()) for c in names]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("host"), *counts], ["doc_id", "host", *names])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), *counts], [*own, *names])
 
 
 def rule_counts(docs: DataFrame, host: str = "source") -> DataFrame:
-    """doc_id, host and the counts of every whole text."""
-    rows = docs.select("doc_id", F.col(host).cast("string").alias("host"), "text")
-    schema = "doc_id long, host string, " + ", ".join(f"{c} long" for c in (*COUNTS, "n_lines"))
+    """doc_id, host, a hash of the row's text and host, and the counts of every whole text."""
+    rows = docs.select("doc_id", F.col(host).cast("string").alias("host"), F.xxhash64("text", host).alias("row_hash"), "text")
+    schema = "doc_id long, host string, row_hash long, " + ", ".join(f"{c} long" for c in (*COUNTS, "n_lines"))
     counted = rows.mapInArrow(_batches, schema)
     failed = f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"
     return counted.withColumn("base_failed", F.expr(failed))
@@ -114,17 +116,19 @@ def judge(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE
     The counts are written once to the shared folder, as hosts and documents both read them.
     """
     counts = materialise(rule_counts(docs, host), "quality")
-    hosts = host_verdicts(counts, max_rate).select("host", "host_ok")
-    return counts.join(hosts, "host", "left").select(
-        "doc_id", "host", *COUNTS, "base_failed", F.coalesce("host_ok", F.lit(True)).alias("host_ok"),
+    hosts = materialise(host_verdicts(counts, max_rate).select("host", "host_ok"), "hosts")
+    small = hosts.count() <= MAX_BROADCAST_HOSTS
+    return counts.join(F.broadcast(hosts) if small else hosts, "host", "left").select(
+        "doc_id", "host", "row_hash", *COUNTS, "base_failed", F.coalesce("host_ok", F.lit(True)).alias("host_ok"),
         (~F.col("base_failed") & F.coalesce("host_ok", F.lit(True))).alias("kept"),
-    )
+    )
 
 
 def keep(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their own columns (``doc_id`` is the key)."""
-    verdicts = judge(docs, host, max_rate).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(verdicts, docs["doc_id"].eqNullSafe(verdicts["_kept_id"]), "left_semi")
+    """The rows of ``docs`` that the rules keep, with their own columns."""
+    lost = judge(docs, host, max_rate).where("NOT kept").select("doc_id", "row_hash").distinct()
+    rows = docs.withColumn("_row_hash", F.xxhash64("text", host))
+    return without(rows, lost, ("doc_id", "_row_hash")).drop("_row_hash")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

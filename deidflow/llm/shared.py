@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -33,6 +34,24 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Keys that may be broadcast; more are joined by a shuffle.
+MAX_BROADCAST_KEYS = 2_000_000
+
+
+def without(rows: DataFrame, lost: DataFrame, on: tuple[str, ...]) -> DataFrame:
+    """``rows`` whose columns ``on`` equal (null equals null) no row of ``lost``, whose columns stand in the same order.
+
+    Lost keys are written first and counted: up to ``MAX_BROADCAST_KEYS`` they are broadcast, so that texts are not shuffled.
+    """
+    lost = materialise(lost.toDF(*(f"_lost_{k}" for k in range(len(on)))), "lost")
+    small = lost.count() <= MAX_BROADCAST_KEYS
+    same = None
+    for k, name in enumerate(on):
+        one = rows[name].eqNullSafe(lost[f"_lost_{k}"])
+        same = one if same is None else same & one
+    return rows.join(F.broadcast(lost) if small else lost, same, "left_anti")
+
+
 def drop_table(spark: SparkSession, df_or_path: DataFrame | str) -> None:
     """Delete a scratch table that nothing reads any more."""
     paths = [df_or_path] if isinstance(df_or_path, str) else {f.rsplit("/", 1)[0] for f in df_or_path.inputFiles()}
