@@ -20,7 +20,7 @@ FONT = {
 SCALE = 2
 
 
-def draw(lines: list[tuple[int, int, str]], rows: int = 64, cols: int = 160, ground: int = 0, ink: int = 255) -> np.ndarray:
+def draw(lines: list[tuple[int, int, str]], rows: int = 64, cols: int = 200, ground: int = 0, ink: int = 255) -> np.ndarray:
     """A grey frame with each (x, y, text)."""
     out = np.full((rows, cols), ground, np.uint8)
     for x, y, text in lines:
