@@ -3,16 +3,18 @@
 1. Every text becomes its set of distinct 5-word shingles (64-bit hashes), a MinHash signature and a digest of the set.
    Texts with equal digests form a class; its smallest doc_id stands for it from here on.
 2. Independent trees branch the classes: a node picks one or two signature positions by its own hash, and a class goes
-   to the child named by its minimum there. A pair of similarity s survives a level of a tree with mean 1.35 * s, so
-   at 0.85 it reaches the leaves of a tree with probability over 0.58 at any depth, and of ten trees 0.9998.
-   All trees start at depth ``FIRST``; nodes of more than ``SMALL`` classes branch on, ``STEP`` levels at a time, to
-   depth ``DEEPEST``. Nodes of one class are dropped.
-3. Every node compares its classes with its smallest one (a star), which joins most groups; then small nodes compare
-   the pairs that are still apart exhaustively. In the deepest nodes, however large, the classes outside the node's
-   main component are compared with all of the node. Nothing is capped: no partner, candidate or node is dropped.
-4. Candidates pass a size bound (exact) and a sketch of 128 bytes (a miss at 0.85 is 5 sigma off), and are then
+   to the child named by its minimum there. At depth ``FIRST`` a pair of similarity 0.85 is still together in a tree
+   with probability 0.8, in one of ten trees with 0.9999998. Nodes of one class are dropped.
+3. Every node at that depth compares its classes with its smallest one (a star), large nodes also with one picked by a
+   hash; this joins most groups. Nodes of up to ``SMALL`` classes then compare exhaustively what is still apart.
+4. Larger nodes whose classes are not all joined branch on, ``STEP`` levels at a time, with the mean of 1 / 0.85 children
+   that keeps pairs of that similarity together in expectation; children that are small compare exhaustively, and
+   children whose classes are joined already are done. A node that is still large and mixed at depth ``DEEPEST`` is truly
+   dense; it compares what is apart on full sets, in blocks of about ``IN_BLOCK`` classes, so that no task sees more than
+   two blocks of it. Nothing is capped: no partner, candidate or node is dropped.
+5. Candidates pass a size bound (exact) and a sketch of 128 bytes (a miss at 0.85 is 5 sigma off), and are then
    confirmed on the full sets, which only classes with candidates bring along.
-5. Components by alternating large-star and small-star steps over the confirmed links.
+6. Components by alternating large-star and small-star steps over the confirmed links.
 
 Defined results: a null, empty or white-space text has an empty set and is linked with nothing; a text of fewer than
 five words is one shingle; equal texts always share a component; a null doc_id keeps its row, without links; repeated
@@ -30,14 +32,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .shared import drop_table, materialise
+from .shared import drop_table, materialise, without
 
 SHINGLE = 5
 POSITIONS = 128
 TREES = 10
 SECOND_BRANCH = 0.35
-FIRST, STEP, DEEPEST = 2, 3, 14
+SECOND_BRANCH_BELOW = 0.18
+FIRST, STEP, DEEPEST = 2, 3, 5
 SMALL = 24
+#: Classes, and shingles on average, of a block when a large node compares exhaustively, block by block.
+IN_BLOCK, SHINGLES_IN_BLOCK = 256, 40_000
 #: Equal sketch bytes that a candidate needs, of 128: 0.85 less five standard deviations.
 SKETCH_MATCHES = 88
 #: Ids that are broadcast to find the texts of candidates; more are found by a shuffled join.
@@ -92,22 +97,22 @@ def signatures(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _children(node: np.ndarray, row: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _children(node: np.ndarray, row: np.ndarray, values: np.ndarray, second: float) -> tuple[np.ndarray, np.ndarray]:
     """One level down: (child node, row); ``values[row]`` holds the signature of a node's member."""
     choice = tv.mix(node ^ _SEED)
     out = []
     for branch in range(2):
         x = tv.mix(choice + np.uint64(branch))
-        go = np.ones(len(node), bool) if branch == 0 else (choice >> np.uint64(11)) < np.uint64(int(SECOND_BRANCH * 2**53))
+        go = np.ones(len(node), bool) if branch == 0 else (choice >> np.uint64(11)) < np.uint64(int(second * 2**53))
         place = (x[go] % np.uint64(POSITIONS)).astype(np.int64)
         value = values[row[go], place].astype(np.uint64)
         out.append((tv.mix(node[go] ^ tv.mix(value + np.uint64(1)) ^ tv.mix(place.astype(np.uint64) + np.uint64(1 << 40))), row[go]))
     return np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])
 
 
-def _descend(node: np.ndarray, row: np.ndarray, values: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]:
+def _descend(node: np.ndarray, row: np.ndarray, values: np.ndarray, levels: int, second: float) -> tuple[np.ndarray, np.ndarray]:
     for _ in range(levels):
-        node, row = _children(node, row, values)
+        node, row = _children(node, row, values, second)
     return node, row
 
 
@@ -115,7 +120,7 @@ def first_nodes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(node, row) of every signature at depth FIRST of all trees."""
     n = len(values)
     roots = tv.mix(np.arange(1, TREES + 1, dtype=np.uint64) << np.uint64(32))
-    return _descend(np.repeat(roots, n), np.tile(np.arange(n), TREES), values, FIRST)
+    return _descend(np.repeat(roots, n), np.tile(np.arange(n), TREES), values, FIRST, SECOND_BRANCH)
 
 
 def _fingerprints(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,26 +173,25 @@ def describe(docs: DataFrame) -> DataFrame:
     )
 
 
-def _deeper(levels: int):
-    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                node = part.column("node").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-                node, row = _descend(node, np.arange(part.num_rows), _matrix(part.column("sketch")), levels)
-                rest = part.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), *(rest.column(c) for c in ("rep", "n", "sketch"))], ["node", "rep", "n", "sketch"])
+_ROW = "node long, rep long, n long, sketch binary, comp long"
 
-    return batches
 
-
-_ROW = "node long, rep long, n long, sketch binary"
+def _deeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of nodes STEP levels on."""
+    names = ["node", "rep", "n", "sketch", "comp"]
+    for batch in batches:
+        for at in range(0, batch.num_rows, 4096):
+            part = batch.slice(at, 4096)
+            node = part.column("node").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            node, row = _descend(node, np.arange(part.num_rows), _matrix(part.column("sketch")), STEP, SECOND_BRANCH_BELOW)
+            rest = part.take(pa.array(row))
+            yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), *(rest.column(c) for c in names[1:])], names)
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """Rows of nodes with two classes or more, with the node's size and its smallest class."""
-    sizes = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("rep").alias("pivot")).where("size > 1")
-    return rows.join(sizes, "node")
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows (node, rep, n, sketch, comp) of nodes whose classes are of two components or more, with the node's size."""
+    sizes = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("comp").alias("_low"), F.max("comp").alias("_high")).where("_low < _high")
+    return rows.join(sizes.select("node", "size"), "node")
 
 
 def _pairs_in_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,6 +231,69 @@ def _pairs_in_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield compare(rest)
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(values, bounds by row) of a list column, without a copy of the values."""
+    bounds = column.offsets.to_numpy().astype(np.int64)
+    values = column.values
+    if pa.types.is_binary(values.type):
+        _, at, data = values.buffers()
+        ends = np.frombuffer(at, np.int32)[values.offset :][: len(values) + 1].astype(np.int64)
+        return np.frombuffer(data, np.uint8), ends[bounds]
+    return values.to_numpy(), bounds
+
+
+def _incidence(h: np.ndarray, owner: np.ndarray, n: int, columns: np.ndarray) -> np.ndarray:
+    """n x len(columns): which of the shingles ``columns`` (sorted) each owner has."""
+    out = np.zeros((n, len(columns)), np.float32)
+    if len(columns):
+        at = np.minimum(np.searchsorted(columns, h), len(columns) - 1)
+        has = columns[at] == h
+        out[owner[has], at[has]] = 1
+    return out
+
+
+def _between_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the two blocks of each row (or within one that meets itself), of classes that are apart.
+
+    Intersections of all pairs are one product of the blocks' incidence matrices over the shingles that both hold.
+    """
+    for batch in batches:
+        found = [np.zeros((2, 0), np.int64)]
+        flat = {c: _flat(batch.column(c)) for c in batch.schema.names}
+        for row in range(batch.num_rows):
+            sides = []
+            for side in "xy":
+                rep, n, comp = (flat[f"{side}_{c}"][0][slice(*flat[f"{side}_{c}"][1][row : row + 2])] for c in ("rep", "n", "comp"))
+                data, bounds = flat[f"{side}_shingles"]
+                h = np.frombuffer(data[bounds[row] : bounds[row + 1]].tobytes(), np.uint64)
+                sides.append((rep, n, comp, h, np.repeat(np.arange(len(rep)), n)))
+            (ra, na, ca, ha, oa), (rb, nb, cb, hb, ob) = sides
+            both = np.intersect1d(ha, hb)
+            common = np.rint(_incidence(ha, oa, len(ra), both) @ _incidence(hb, ob, len(rb), both).T).astype(np.int64)
+            i, j = np.nonzero((ca[:, None] != cb[None, :]) & (100 * common >= 85 * (na[:, None] + nb[None, :] - common)))
+            found.append(np.stack((np.minimum(ra[i], rb[j]), np.maximum(ra[i], rb[j]))))
+        links = np.unique(np.concatenate(found, axis=1), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(links[0], pa.int64()), pa.array(links[1], pa.int64())], ["a", "b"])
+
+
+def _dense_links(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) of large nodes between classes that are apart, by pairs of blocks of full sets."""
+    sets = sets_of(rows.select(F.col("rep").alias("doc_id")), docs)
+    sizes = rows.groupBy("node").agg(F.greatest(F.ceil(F.count("*") / IN_BLOCK), F.ceil(F.sum("n") / SHINGLES_IN_BLOCK)).alias("k"))
+    placed = rows.select("node", "rep", "n", "comp").join(sizes, "node").join(sets, "rep")
+    members = F.collect_list(F.struct("rep", "n", "comp", "shingles"))
+    blocks = placed.groupBy("node", F.pmod(F.xxhash64("rep"), "k").alias("block")).agg(members.alias("x"))
+    blocks = materialise(blocks, "neardup-blocks")
+    parts = lambda side: [F.col(f"x.{c}").alias(f"{side}_{c}") for c in ("rep", "n", "comp", "shingles")]
+    one, two = blocks.select("node", "block", *parts("x")), blocks.select("node", F.col("block").alias("_other"), *parts("y"))
+    met = one.join(two, "node").where("block <= _other").drop("node", "block", "_other")
+    links = met.mapInArrow(_between_blocks, "a long, b long")
+    links = materialise(links.distinct(), "neardup-links")
+    for table in (sets, blocks):
+        drop_table(docs.sparkSession, table)
+    return links
+
+
 def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b) of the rows whose sketches agree enough."""
     for batch in batches:
@@ -262,18 +329,24 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(ok, pa.bool_())) for c in ("a", "b")], ["a", "b"])
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The candidate pairs (a, b) that hold on full sets; only texts that a pair names are read into sets."""
-    pairs = materialise(pairs.distinct(), "neardup-pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    ids = materialise(ids, "neardup-ids")
+def sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """rep and shingles of the named documents; other texts are not shuffled while the ids are few enough to broadcast."""
+    ids = materialise(ids.distinct(), "neardup-ids")
     small = ids.count() <= MAX_BROADCAST_IDS
     texts = docs.select("doc_id", "text").join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
     sets = materialise(texts.mapInArrow(_sets, "rep long, shingles binary"), "neardup-sets")
+    drop_table(docs.sparkSession, ids)
+    return sets
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The candidate pairs (a, b) that hold on full sets; only texts that a pair names are read into sets."""
+    pairs = materialise(pairs.distinct(), "neardup-pairs")
+    sets = sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), docs)
     with_b = pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b")), "b")
     with_a = with_b.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a")), "a")
     links = materialise(with_a.select("a", "b", "set_a", "set_b").mapInArrow(_confirm, "a long, b long").distinct(), "neardup-links")
-    for table in (pairs, ids, sets):
+    for table in (pairs, sets):
         drop_table(docs.sparkSession, table)
     return links
 
@@ -315,46 +388,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = materialise(reps, "neardup-reps")
 
     slim = reps.select("rep", F.explode("nodes").alias("node"))
-    nodes = _shared(slim).join(reps.select("rep", "n", "sketch"), "rep")
-    level = materialise(nodes.select("node", "rep", "n", "sketch", "size", "pivot"), "neardup-nodes")
-    depth, leaves = FIRST, []
+    picked = F.min_by("rep", F.xxhash64("node", "rep"))
+    sizes = slim.groupBy("node").agg(F.count("*").alias("size"), F.min("rep").alias("pivot"), picked.alias("picked")).where("size > 1")
+    nodes = slim.join(sizes, "node").join(reps.select("rep", "n", "sketch"), "rep")
+    nodes = materialise(nodes.select("node", "rep", "n", "sketch", "size", "pivot", "picked"), "neardup-nodes")
+
+    def stars(rows: DataFrame, pivot: str) -> DataFrame:
+        heads = rows.where(f"rep = {pivot}").select("node", F.col("n").alias("m"), F.col("sketch").alias("other"))
+        met = rows.where(f"rep <> {pivot}").join(heads, "node").where(_fit("n", "m"))
+        return met.select(F.least(pivot, "rep").alias("a"), F.greatest(pivot, "rep").alias("b"), "sketch", "other").mapInArrow(_likely, "a long, b long")
+
+    links = confirmed(stars(nodes, "pivot").union(stars(nodes.where(f"size > {SMALL}"), "picked")), docs)
+    joined = components(links).select(F.col("id").alias("rep"), "component")
+    marked = nodes.join(joined, "rep", "left").select("node", "rep", "n", "sketch", F.coalesce("component", "rep").alias("comp"))
+    level, depth, more = materialise(_mixed(marked), "neardup-mixed"), FIRST, None
     while True:
-        leaves.append(level.where(f"size <= {SMALL}"))
-        large = level.where(f"size > {SMALL}")
+        small = level.where(f"size <= {SMALL}").repartition("node").sortWithinPartitions("node")
+        pairs = small.select("node", "rep", "n", "sketch", "comp").mapInArrow(_pairs_in_nodes, "a long, b long")
+        more = pairs if more is None else more.union(pairs)
+        large = level.where(f"size > {SMALL}").select("node", "rep", "n", "sketch", "comp")
         if depth >= DEEPEST or large.isEmpty():
             break
-        deeper = large.select("node", "rep", "n", "sketch").mapInArrow(_deeper(STEP), _ROW).dropDuplicates(["node", "rep"])
-        level = materialise(_shared(deeper).select("node", "rep", "n", "sketch", "size", "pivot"), "neardup-nodes")
+        level = materialise(_mixed(large.mapInArrow(_deeper, _ROW)), "neardup-mixed")
         depth += STEP
-    small = leaves[0]
-    for more in leaves[1:]:
-        small = small.unionByName(more)
-
-    def stars(rows: DataFrame) -> DataFrame:
-        heads = rows.where("rep = pivot").select("node", F.col("n").alias("m"), F.col("sketch").alias("other"))
-        met = rows.where("rep <> pivot").join(heads, "node").where(_fit("n", "m"))
-        return met.select(F.col("pivot").alias("a"), F.col("rep").alias("b"), "sketch", "other").mapInArrow(_likely, "a long, b long")
-
-    links = confirmed(stars(small.unionByName(large)), docs)
-    joined = components(links)
-
-    def marked(rows: DataFrame) -> DataFrame:
-        return rows.join(joined.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component")
-
-    apart = marked(small).select("node", "rep", "n", "sketch", "comp").repartition("node").sortWithinPartitions("node")
-    more = apart.mapInArrow(_pairs_in_nodes, "a long, b long")
-    if not large.isEmpty():
-        big = materialise(marked(large), "neardup-large")
-        parts = big.groupBy("node", "comp").agg(F.count("*").alias("k"))
-        main = parts.groupBy("node").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"))
-        out = big.join(main, "node").where("comp <> main").select(
-            "node", F.col("rep").alias("r"), F.col("n").alias("m"), F.col("sketch").alias("other"), F.col("comp").alias("c")
-        )
-        met = big.join(out, "node").where((F.col("comp") != F.col("c")) & _fit("n", "m"))
-        more = more.union(
-            met.select(F.least("rep", "r").alias("a"), F.greatest("rep", "r").alias("b"), "sketch", "other").mapInArrow(_likely, "a long, b long")
-        )
     links = links.union(confirmed(more, docs))
+    if not large.isEmpty():
+        links = links.union(_dense_links(large, docs))
     joined = components(links)
 
     rows = described.select("doc_id", "n_shingles", "fp_a", "fp_b")
@@ -365,9 +424,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """One document of each group: the rows of ``docs`` whose doc_id is its component's smallest, each id once."""
-    lost = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_lost_id")).distinct()
-    return docs.join(lost, docs["doc_id"] == lost["_lost_id"], "left_anti")
+    """One document of each group: the rows of ``docs`` whose doc_id is its component's smallest; rows repeated with id and text once."""
+    lost = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    left = without(docs, lost, ("doc_id",))
+    twice = materialise(docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "neardup-twice")
+    if twice.isEmpty():
+        return left
+    once = left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return without(left, twice, ("doc_id",)).unionByName(once)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
