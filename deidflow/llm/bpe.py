@@ -6,7 +6,8 @@ its rank, and the rank finds its ids (the id outputs). Spark ships the file to e
 memory-map it. Words that the automaton does not accept are merged exactly, pair by pair, in rank order.
 
 Defined results: a null text is an empty one, an empty text has no ids and decodes to the empty text; equal texts have
-equal values; repeated rows are kept; an empty table gives an empty result; any text length is encoded whole.
+equal values; repeated rows are kept; an empty table gives an empty result; any text length is encoded whole. Classes and lower
+case of characters are those of this Python's Unicode version; newer characters may differ from other implementations.
 """
 
 from __future__ import annotations
@@ -170,7 +171,7 @@ class Model:
 
 
 # White space as the vocabulary's normaliser sees it: Unicode's, without the separators U+001C to U+001F.
-_SPLIT = re.compile(r"[\t-\r \x85\xa0  -     　]+")
+_SPLIT = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _ODD = re.compile("[\x1c-\x1f]")
 
 
