@@ -30,6 +30,7 @@ def to_bytes(frame: np.ndarray) -> np.ndarray:
 
 
 def unpack(pixels: bytes, dtype: str, rows: int, cols: int, channels: int) -> np.ndarray:
+    rows, cols, channels = int(rows), int(cols), int(channels)  # a batch with nulls hands over floats
     return np.frombuffer(pixels, np.dtype(dtype)).reshape((rows, cols) if channels == 1 else (rows, cols, channels))
 
 

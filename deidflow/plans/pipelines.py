@@ -19,6 +19,7 @@ from deidflow.functions.geometry import keyframes
 from deidflow.functions.identity import token
 from deidflow.functions.paths import output_path
 from deidflow.operators import redact, reports
+from deidflow.operators import series as series_ops
 from deidflow.plans.tables import keep
 from deidflow.sources import dicom, images, writers
 
@@ -124,25 +125,44 @@ def _scrubbed_file(data: bytes, pixels: np.ndarray | None, uri: str, salt: str,
     return dicom.build(body), audit
 
 
+def volumes_of(slices: DataFrame) -> DataFrame:
+    """uri, series_key, ordinal and n_slices of slices; a series of several geometries is as many volumes."""
+    shape = F.concat_ws("|", "study_instance_uid", "series_instance_uid", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in series_ops.GEOMETRY))
+    keyed = slices.withColumn("series_key", F.sha2(shape, 256)).withColumn("z", F.get("image_position_patient", F.lit(2)))
+    ordered = series_ops.order(keyed, ("series_key",)).select("uri", "series_key", F.col("frame_index").alias("ordinal"))
+    return ordered.join(keyed.groupBy("series_key").agg(F.count("*").cast("int").alias("n_slices")), "series_key")
+
+
 def run_dicom(
     spark: SparkSession, folder: str, out: str, reader: Callable[[], redact.Reader], model=None, salt: str | None = None, actions: dict[str, str] | None = None,
-    mask_mode: str = "box", to_review: bool = True,
+    mask_mode: str = "box", to_review: bool = True, series: bool = False,
 ) -> Run:
     """A run over the DICOM files below ``folder``; nothing is written until ``write`` is asked for.
 
-    Volumes are read on their keyframes, and what is found there is zeroed on all frames. Detections and scrubbed files are
-    written once to the shared folder, as several results read them.
+    Volumes are read on their keyframes, and what is found there is zeroed on all frames. ``series``: single-frame files of
+    one series and geometry are a volume together, in slice order, and share their route. Detections and scrubbed files
+    are written once to the shared folder, as several results read them.
     """
     salt, table = salt or rules.salt(), rules.actions(rules.PII_ACTIONS if actions is None else actions)
     found = dicom.files(spark, folder)
     frames = dicom.frame_rows(found).join(us_regions(found), "uri", "left")
-    picked = frames.where((F.col("n_frames") == 1) | F.array_contains(keyframes(F.col("n_frames")), F.col("frame_index")))
+    volume = [F.col("uri").alias("volume"), F.col("frame_index").alias("volume_index"), F.col("n_frames").alias("volume_size")]
+    if series:
+        placed = volumes_of(dicom.slices(found))
+        own = [F.col("uri"), F.col("frame_index"), F.col("n_frames")]
+        joined = frames.join(placed, "uri", "left")
+        one = F.col("series_key").isNotNull() & (F.col("n_frames") == 1)
+        frames = joined.withColumns({f"_{k}": F.when(one, F.col(c)).otherwise(o) for k, c, o in zip(("volume", "index", "size"), ("series_key", "ordinal", "n_slices"), own)}).drop("series_key", "ordinal", "n_slices")
+        volume = [F.col("_volume").alias("volume"), F.col("_index").alias("volume_index"), F.col("_size").alias("volume_size")]
+    frames = frames.select(*(c for c in frames.columns if not c.startswith("_")), *volume)
+    picked = frames.where((F.col("volume_size") == 1) | F.array_contains(keyframes(F.col("volume_size")), F.col("volume_index")))
     raw = keep(redact.detect(picked, reader), "detections")
-    decided = redact.decide(raw, model)
-    done = redact.apply(frames, redact.volume_boxes(decided), ["uri"], mask_mode)
+    decided = redact.decide(raw, model).join(frames.select("uri", "frame_index", "volume"), ["uri", "frame_index"])
+    done = redact.apply(frames.drop("volume_index", "volume_size"), redact.volume_boxes(decided, "volume"), ["volume"], mask_mode)
     volumes = done.groupBy("uri").agg(F.array_sort(F.collect_list(F.struct("frame_index", "pixels", "dtype"))).alias("all"), F.max("error").alias("frame_error"))
     bad = raw.groupBy("uri").agg(F.max("error").alias("reader_error"))
-    low = decided.groupBy("uri").agg(F.count_if(F.col("decision") == "low_confidence").alias("low"))
+    low = decided.groupBy("volume").agg(F.count_if(F.col("decision") == "low_confidence").alias("low"))
+    low = frames.select("uri", "volume").distinct().join(low, "volume").select("uri", "low")
     ready = found.join(volumes, "uri", "left").join(bad, "uri", "left").join(low, "uri", "left")
 
     def scrub(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -176,8 +196,13 @@ def run_dicom(
     return Run(outputs, reports.pixel_report(shown), tags.select(*rules.TAG_COLUMNS))
 
 
-def run_images(spark: SparkSession, folder: str, out: str, reader: Callable[[], redact.Reader], model=None, salt: str | None = None, to_review: bool = True) -> Run:
-    """A run over the PNG and JPEG files below ``folder``; outputs are PNGs."""
+def run_images(
+    spark: SparkSession, folder: str, out: str, reader: Callable[[], redact.Reader], model=None, salt: str | None = None, to_review: bool = True, series: bool = False,
+) -> Run:
+    """A run over the PNG and JPEG files below ``folder``; outputs are PNGs.
+
+    ``series``: the images of a folder of one shape are a volume together, in path order; files of the root stand alone.
+    """
     salt = salt or rules.salt()
     read = images.read_images(spark, folder)
 
@@ -194,11 +219,21 @@ def run_images(spark: SparkSession, folder: str, out: str, reader: Callable[[],
             yield pd.DataFrame(out_rows, columns=names)
 
     frames = read.select("uri", "rows", "cols", "channels", "bgr", "error").mapInPandas(grey, dicom.FRAMES)
-    raw = keep(redact.detect(frames, reader), "detections")
-    decided = redact.decide(raw, model)
-    done = redact.apply(frames, redact.frame_boxes(decided), ["uri", "frame_index"])
+    key = F.col("uri")
+    if series:
+        root = F.lit("/" + folder.removeprefix("file:").strip("/"))
+        parent = F.regexp_replace(F.regexp_replace("uri", "^file:(//)?", ""), "/[^/]*$", "")
+        key = F.when(F.col("error").isNotNull() | (parent == root), F.col("uri")).otherwise(F.concat_ws("|", parent, "rows", "cols", "channels"))
+    keyed = frames.select("uri", "error", key.alias("volume"))
+    placed = series_ops.order(keyed.withColumns({"z": F.lit(None).cast("double"), "instance_number": F.lit(None).cast("int")}), ("volume",)).select("uri", "volume", F.col("frame_index").alias("volume_index"))
+    placed = keep(placed.join(placed.groupBy("volume").agg(F.count("*").cast("int").alias("volume_size")), "volume"), "volumes")
+    frames = frames.join(placed, "uri")
+    picked = frames.where((F.col("volume_size") == 1) | F.array_contains(keyframes(F.col("volume_size")), F.col("volume_index")))
+    raw = keep(redact.detect(picked, reader), "detections")
+    decided = redact.decide(raw, model).join(placed.select("uri", "volume"), "uri")
+    done = redact.apply(frames.drop("volume_index", "volume_size"), redact.volume_boxes(decided, "volume"), ["volume"])
     bad = raw.groupBy("uri").agg(F.max("error").alias("reader_error"))
-    low = decided.groupBy("uri").agg(F.count_if(F.col("decision") == "low_confidence").cast("int").alias("low"))
+    low = decided.groupBy("volume").agg(F.count_if(F.col("decision") == "low_confidence").cast("int").alias("low"))
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -208,7 +243,7 @@ def run_images(spark: SparkSession, folder: str, out: str, reader: Callable[[],
             ]
             yield pd.DataFrame(rows, columns=["uri", "content", "error", "low"])
 
-    joined = done.join(bad, "uri", "left").join(low, "uri", "left").fillna({"low": 0})
+    joined = done.join(bad, "uri", "left").join(low, "volume", "left").fillna({"low": 0})
     outputs = joined.select("uri", "rows", "cols", "channels", "dtype", "pixels", "error", "reader_error", "low").mapInPandas(encode, "uri string, content binary, error string, low int")
     relative = F.regexp_replace(F.regexp_replace("uri", "^file:(//)?", ""), "^" + folder.rstrip("/").removeprefix("file:") + "/", "")
     outputs = outputs.withColumn("path", output_path(relative, salt, out, F.lit(".png"))).withColumn("route", reports.route(F.when(F.lit(to_review), F.col("low")).otherwise(0), F.col("error")))

@@ -88,3 +88,37 @@ def test_slices_table(spark, tmp_path):
     source, _ = _folder(tmp_path)
     rows = {r.sop_instance_uid: r for r in dicom.slices(dicom.files(spark, source)).collect()}
     assert set(rows) == {"1.2.3.4.1", "1.2.3.4.2", "1.2.3.4.3"} and rows["1.2.3.4.2"].number_of_frames == 8 and rows["1.2.3.4.1"].image_position_patient == [0.0, 0.0, 1.0]
+
+
+def test_series_share_what_is_found_on_keyframes(spark, tmp_path):
+    (tmp_path / "in/P").mkdir(parents=True)
+    for k in range(12):
+        lines = [(4, 4, "SECRET NAME")] if k == 0 else [(4, 40, "X")] if k == 1 else []
+        (tmp_path / f"in/P/{k:02d}.dcm").write_bytes(synthetic.dicom_file(k + 1, lines=lines))
+    run = pipelines.run_dicom(spark, str(tmp_path / "in"), str(tmp_path / "out"), synthetic.font_reader, model=lambda t: [True] * len(t), salt="s", series=True)
+    assert {r.volume_frames for r in run.detections.groupBy("decision").count().withColumnRenamed("count", "volume_frames").collect()} == {1}
+    left = {r.uri[-6:-4]: dicom.frames(dicom.parse(bytes(r.content)))[0] for r in run.outputs.collect()}
+    assert len(left) == 12 and not left["00"].any() and left["01"].any()  # frame 1 is no keyframe; its text stands outside the union
+
+
+def test_image_series(spark, tmp_path):
+    (tmp_path / "in/Q").mkdir(parents=True)
+    for k in range(5):
+        (tmp_path / f"in/Q/{k}.png").write_bytes(synthetic.image_file([(4, 4, "MRN: 12345")] if k == 0 else [(4, 4, "MRN: 1")]))
+    run = pipelines.run_images(spark, str(tmp_path / "in"), str(tmp_path / "out"), synthetic.font_reader, model=lambda t: [True] * len(t), salt="s", series=True)
+    assert all(r.saved for r in pipelines.write(run).collect()) and run.detections.count() == 3
+    rows = images.read_images(spark, str(tmp_path / "out")).collect()
+    assert len(rows) == 5 and not any(np.frombuffer(r.bgr, np.uint8).any() for r in rows)
+
+
+def test_commands(tmp_path, capsys):
+    import json
+
+    from deidflow import cli
+
+    assert cli.main(["fixture", str(tmp_path / "in/P/a.dcm")]) == 0
+    assert cli.main(["deidentify", str(tmp_path / "in"), str(tmp_path / "out"), "--mode", "dicom"]) == 0
+    assert cli.main(["verify", str(tmp_path / "out")]) == 0
+    assert cli.main(["deidentify", str(tmp_path / "none"), str(tmp_path / "out")]) == 2
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert lines[1]["runs"][0]["saved"] == 1 and lines[2]["status"] == "pass"
