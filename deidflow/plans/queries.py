@@ -438,6 +438,73 @@ def bench_summary(spark, d):
     return measures.bench_summary(_t(spark, d, "lineitem").select(F.col("l_quantity").alias("seconds"), (F.col("l_returnflag") != "R").alias("ok")))
 
 
+@query(
+    "SELECT series_key, count(*) AS n_images FROM (SELECT CASE WHEN regexp_replace(url, '/[^/]*$', '') = 'https://thther.example.org/en' THEN url ELSE regexp_replace(url, '/[^/]*$', '') END AS series_key FROM pages) GROUP BY series_key"
+)
+def folder_groups(spark, d):
+    grouped = series.folders(_t(spark, d, "pages").select(F.col("url").alias("path")), "https://thther.example.org/en")
+    return grouped.groupBy("series_key").agg(F.count("*").alias("n_images"))
+
+
+@query(
+    f"WITH {_CLAMPED}, {_FRAMES}, {_KEYFRAMES}, k1 AS (SELECT c.*, f.frame_index FROM c JOIN f USING (event_id) JOIN k ON k.user_id = c.user_id WHERE list_contains(k.f, f.frame_index)), "
+    f"q AS (SELECT DISTINCT user_id, row * {WIDTH} + col AS pixel FROM (SELECT user_id, row, unnest(range(x0, x1)) AS col FROM (SELECT user_id, x0, x1, unnest(range(y0, y1)) AS row FROM k1))) "
+    "SELECT k.user_id, len(k.f)::INT AS keyframes_scanned, (SELECT count(*) FROM q WHERE q.user_id = k.user_id) AS union_phi_pixels, round(100 * len(k.f) / k.n, 1) AS pct_frames_scanned FROM k"
+)
+def keyframe_stats(spark, d):
+    boxes = pixels.clamped(_boxes(spark, d), WIDTH, HEIGHT)
+    frames = _frames(spark, d).select("event_id", "user_id", "frame_index")
+    picked = series.only_keyframes(frames, "user_id")
+    found = pixels.keyframe_stats(boxes.join(picked.select("event_id", "frame_index"), "event_id"), series.volume_keyframes(frames, "user_id"), "user_id", WIDTH)
+    return found.select("user_id", "keyframes_scanned", F.col("union_phi_pixels").cast("long").alias("union_phi_pixels"), "pct_frames_scanned")
+
+
+@query(
+    f"WITH {_DETECTIONS}, p AS (SELECT source_path, count(*) AS pixel_regions_detected, {_BY} FROM x GROUP BY source_path), "
+    "h AS (SELECT source || '/' || lang AS source_path, count(*) FILTER (WHERE quality = 1) AS header_tags_scrubbed FROM documents JOIN labels USING (doc_id) GROUP BY 1) "
+    "SELECT source_path, pixel_regions_detected, redacted, safelisted, low_confidence, coalesce(header_tags_scrubbed, 0) AS header_tags_scrubbed, low_confidence > 0 AS needs_manual_review FROM p LEFT JOIN h USING (source_path)"
+)
+def file_entries(spark, d):
+    det = _detections(spark, d)
+    tags = _t(spark, d, "labels").join(det.select("doc_id", "source_path"), "doc_id").select("source_path", (F.col("quality") == 1).alias("redacted"))
+    return reports.file_entries(det, tags)
+
+
+@query(
+    f"WITH {_FRAMES}, s AS (SELECT user_id, frame_index, 'p' || event_id AS source_path FROM f WHERE frame_index % 2 = 0) "
+    "SELECT f.event_id, coalesce(s.source_path, g.source_path) AS source_path FROM f LEFT JOIN s ON s.user_id = f.user_id AND s.frame_index = f.frame_index JOIN s g ON g.user_id = f.user_id AND g.frame_index = 0"
+)
+def slice_attribution(spark, d):
+    f = _frames(spark, d).select("event_id", F.col("user_id").alias("series_key"), "frame_index")
+    path = F.concat(F.lit("p"), F.col("event_id").cast("string"))
+    slices = f.where("frame_index % 2 = 0").select("series_key", "frame_index", path.alias("source_path"), path.alias("original_sop_uid"), path.alias("deid_sop_uid"))
+    return reports.attribute(f, slices).select("event_id", "source_path")
+
+
+@query("SELECT route, count(*) AS n FROM (SELECT CASE WHEN event_id % 11 = 0 THEN 'error' WHEN value / 500 < 0.4 THEN 'review' ELSE 'ok' END AS route FROM events) GROUP BY route")
+def route_counts(spark, d):
+    error = F.when(F.col("event_id") % 11 == 0, "ReadError")
+    low = F.when(F.col("value") / 500 < rules.CONFIDENCE, 1).otherwise(0)
+    return _t(spark, d, "events").select(reports.route(low, error).alias("route")).groupBy("route").agg(F.count("*").alias("n"))
+
+
+@query(
+    "SELECT CASE WHEN p_size < 5 THEN 'too small' WHEN p_brand NOT LIKE '%1' THEN 'modality' ELSE 'copied' END AS reason, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, reason LIMIT 5"
+)
+def skip_reasons(spark, d):
+    reason = F.when(F.col("p_size") < 5, "too small").when(~F.col("p_brand").endswith("1"), "modality").otherwise("copied")
+    return _t(spark, d, "part").groupBy(reason.alias("reason")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason").limit(5)
+
+
+@query("SELECT DISTINCT r_name || '/' || n_name AS source_path, 'dicom' AS kind FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT r_name || '.png', 'image' FROM region")
+def discover_inputs(spark, d):
+    n = _t(spark, d, "nation").join(_t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    nested = n.select(F.concat_ws("/", "r_name", "n_name").alias("source_path"))
+    flat = _t(spark, d, "region").select(F.concat("r_name", F.lit(".png")).alias("source_path"))
+    both = nested.unionByName(flat)
+    return both.withColumn("kind", paths.kind(F.col("source_path"))).orderBy("kind", "source_path")
+
+
 # --- generated files -----------------------------------------------------------------------------------------------
 
 
