@@ -107,3 +107,14 @@ def test_blank_clamps_and_model_errors_count_as_phi(spark):
         raise RuntimeError
 
     assert redact.decide(raw, broken).first().decision == "redacted"
+
+
+def test_tables(spark, tmp_path):
+    from deidflow.sources import tables
+
+    (tmp_path / "t.csv").write_text("file_path,text,x_min,y_min,x_max,y_max,is_phi,phi_type\na/.//b.png,Doe,1,2,5,9,TRUE,NAME\nc.png,x,0,0,1,1,yes,\n")
+    rows = {r.file_path: r for r in tables.ground_truth(spark, str(tmp_path / "t.csv")).collect()}
+    assert (rows["a/b.png"].w, rows["a/b.png"].h, rows["a/b.png"].is_phi, rows["c.png"].is_phi) == (4, 7, True, False)
+    assert tables.ground_truth(spark, str(tmp_path / "none.csv")).count() == 0 and tables.tag_report(spark, str(tmp_path / "none")).columns == list(rules.TAG_COLUMNS)
+    (tmp_path / "job-1.json").write_text('{"a": 1}')
+    assert tables.latest_summary(spark, str(tmp_path)).first().summary == '{"a": 1}'
