@@ -6,6 +6,8 @@ networks keyed with a secret:
 * card numbers: the digits between the first and the check digit, with a new Luhn digit; separators stay;
 * telephone numbers: subscriber and area digits, within the numbering plan where the number follows it; the country code
   and the punctuation stay;
+* bank account numbers (IBAN): letters and digits after the check digits, each within its own alphabet, with new check
+  digits; the country stays;
 * IPv4 addresses: the four octets; social security numbers: valid areas, groups and serials;
 * dates from 1900 to 2099: the day number over a 73,000-day calendar, written back in the same layout;
 * e-mail addresses: letters and digits of the part before the @, each within its own alphabet; credentials (key ids,
@@ -34,12 +36,13 @@ SECRET = r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api[_\-]?key|access
 DATE = r"(?<![0-9A-Za-z./\-])(?:(?:19|20)[0-9]{2}-[01][0-9]-[0-3][0-9]|[0-9]{1,2}/[0-9]{1,2}/(?:19|20)[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.(?:19|20)[0-9]{2})(?![0-9])"
 SSN = r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z\-])"
 IPV4 = r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])"
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 CARD = r"(?<![0-9A-Za-z.\-])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z])"
 PHONE = (
     r"(?<![0-9A-Za-z])\+[1-9][0-9]{0,2}[ .\-]?\(?[0-9]{1,4}\)?(?:[ .\-]?[0-9]{2,4}){2,4}(?![0-9])"
     r"|(?<![0-9A-Za-z])(?:\([0-9]{3}\) ?|[0-9]{3}[.\-])[0-9]{3}[.\-][0-9]{4}(?![0-9A-Za-z])"
 )
-KINDS = (("email", EMAIL), ("key_id", AWS), ("secret", SECRET), ("date", DATE), ("ssn", SSN), ("ipv4", IPV4), ("card", CARD), ("phone", PHONE))
+KINDS = (("email", EMAIL), ("key_id", AWS), ("secret", SECRET), ("date", DATE), ("ssn", SSN), ("ipv4", IPV4), ("iban", IBAN), ("card", CARD), ("phone", PHONE))
 ANY = "|".join(f"(?:{p})" for _, p in KINDS)
 
 
@@ -128,6 +131,32 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), add)
 
 
+def mod97(text: Column) -> Column:
+    """The remainder of the number that the characters spell, letters being 10 to 35."""
+
+    def add(total: Column, c: Column) -> Column:
+        letter = F.ascii(c) - 55
+        return F.when(c.between("0", "9"), total * 10 + c.try_cast("int")).otherwise(total * 100 + letter) % 97
+
+    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0), add)
+
+
+def _iban(hit: Column, key: str) -> Column:
+    plain = F.regexp_replace(hit, " ", "")
+    country, body = F.substr(plain, F.lit(1), F.lit(2)), F.substr(plain, F.lit(5), F.length(plain))
+    valid = mod97(F.concat(body, F.substr(plain, F.lit(1), F.lit(4)))) == 1
+    check = lambda b: F.lpad((98 - mod97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0")
+    made = _let(feistel_text(body, "iban", key), lambda b: F.concat(country, check(b), b))
+
+    def put(state: Column, c: Column) -> Column:
+        kept = c == " "
+        return F.struct(F.concat(state["out"], F.when(kept, c).otherwise(F.substr(state["made"], state["at"], F.lit(1)))).alias("out"), F.when(kept, state["at"]).otherwise(state["at"] + 1).alias("at"), state["made"].alias("made"))
+
+    start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"), made.alias("made"))
+    spaced = F.aggregate(F.filter(F.split(hit, ""), lambda c: c != ""), start, put)["out"]
+    return F.when(valid, spaced).otherwise(hit)
+
+
 def _card(hit: Column, key: str) -> Column:
     digits = _digits(hit)
     body = F.substr(digits, F.lit(2), F.length(digits) - 2)
@@ -199,7 +228,7 @@ def _key_id(hit: Column, key: str) -> Column:
     return F.concat(F.substr(hit, F.lit(1), F.lit(4)), feistel_text(F.substr(hit, F.lit(5), F.length(hit)), "key_id", key))
 
 
-_MAKE = {"email": _email, "key_id": _key_id, "secret": _tail, "date": _date, "ssn": _ssn, "ipv4": _ipv4, "card": _card, "phone": _phone}
+_MAKE = {"email": _email, "key_id": _key_id, "secret": _tail, "date": _date, "ssn": _ssn, "ipv4": _ipv4, "iban": _iban, "card": _card, "phone": _phone}
 
 
 def pseudonym(hit: Column, key: str = KEY) -> Column:

@@ -48,6 +48,15 @@ def test_formats_and_links(spark):
     assert sorted({x.kind for r in rows for x in r.pii}) == ["card", "date", "email", "ipv4", "key_id", "phone", "secret", "ssn"]
 
 
+def test_iban_keeps_its_country_spaces_and_check(spark):
+    a, b, c = (r.text for r in run(spark, "to DE89 3704 0044 0532 0130 00.", "GB82WEST12345698765432", "DE88 3704 0044 0532 0130 00"))
+    value = a.removeprefix("to ").removesuffix(".")
+    assert re.fullmatch(r"DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d", value) and value != "DE89 3704 0044 0532 0130 00" and re.fullmatch(r"GB\d\d[A-Z]{4}\d{14}", b)
+    for v in (value.replace(" ", ""), b):
+        assert int("".join(str(int(x, 36)) for x in v[4:] + v[:4])) % 97 == 1
+    assert c == "DE88 3704 0044 0532 0130 00"
+
+
 def test_another_key_gives_other_values(spark):
     assert run(spark, "1.2.3.4", key="a")[0].text != run(spark, "1.2.3.4", key="b")[0].text
 
