@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .shared import drop_table, materialise, without
+from .shared import drop_table, materialise, tidy, without
 
 SHINGLE = 5
 POSITIONS = 128
@@ -42,11 +42,13 @@ SECOND_BRANCH_BELOW = 0.18
 FIRST, STEP, DEEPEST = 2, 3, 5
 SMALL = 24
 #: Classes, and shingles on average, of a block when a large node compares exhaustively, block by block.
-IN_BLOCK, SHINGLES_IN_BLOCK = 256, 40_000
+IN_BLOCK, SHINGLES_IN_BLOCK = 128, 20_000
 #: Equal sketch bytes that a candidate needs, of 128: 0.85 less five standard deviations.
 SKETCH_MATCHES = 88
 #: Ids that are broadcast to find the texts of candidates; more are found by a shuffled join.
 MAX_BROADCAST_IDS = 2_000_000
+#: Rows of an Arrow batch of texts, of pairs of sets, and of pairs of blocks; columns of a product of incidence matrices.
+TEXTS, SET_PAIRS, BLOCK_PAIRS, COLUMNS = 1024, 512, 8, 4096
 
 _rng = np.random.default_rng(85)
 _MULT = _rng.integers(0, 2**32, POSITIONS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -152,6 +154,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(len(column), POSITIONS)
 
 
+@tidy
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, j, raw, offsets in tv.blocks(batch.column("text")):
@@ -176,6 +179,7 @@ def describe(docs: DataFrame) -> DataFrame:
 _ROW = "node long, rep long, n long, sketch binary, comp long"
 
 
+@tidy
 def _deeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of nodes STEP levels on."""
     names = ["node", "rep", "n", "sketch", "comp"]
@@ -194,6 +198,7 @@ def _mixed(rows: DataFrame) -> DataFrame:
     return rows.join(sizes.select("node", "size"), "node")
 
 
+@tidy
 def _pairs_in_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of small nodes that are still apart; rows come sorted by node, so nodes are runs (one may span batches)."""
     rest: pa.Table | None = None
@@ -252,6 +257,7 @@ def _incidence(h: np.ndarray, owner: np.ndarray, n: int, columns: np.ndarray) ->
     return out
 
 
+@tidy
 def _between_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between the two blocks of each row (or within one that meets itself), of classes that are apart.
 
@@ -269,7 +275,10 @@ def _between_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 sides.append((rep, n, comp, h, np.repeat(np.arange(len(rep)), n)))
             (ra, na, ca, ha, oa), (rb, nb, cb, hb, ob) = sides
             both = np.intersect1d(ha, hb)
-            common = np.rint(_incidence(ha, oa, len(ra), both) @ _incidence(hb, ob, len(rb), both).T).astype(np.int64)
+            common = np.zeros((len(ra), len(rb)), np.int64)
+            for at in range(0, len(both), COLUMNS):
+                some = both[at : at + COLUMNS]
+                common += np.rint(_incidence(ha, oa, len(ra), some) @ _incidence(hb, ob, len(rb), some).T).astype(np.int64)
             i, j = np.nonzero((ca[:, None] != cb[None, :]) & (100 * common >= 85 * (na[:, None] + nb[None, :] - common)))
             found.append(np.stack((np.minimum(ra[i], rb[j]), np.maximum(ra[i], rb[j]))))
         links = np.unique(np.concatenate(found, axis=1), axis=1)
@@ -288,12 +297,13 @@ def _dense_links(rows: DataFrame, docs: DataFrame) -> DataFrame:
     one, two = blocks.select("node", "block", *parts("x")), blocks.select("node", F.col("block").alias("_other"), *parts("y"))
     met = one.join(two, "node").where("block <= _other").drop("node", "block", "_other")
     links = met.mapInArrow(_between_blocks, "a long, b long")
-    links = materialise(links.distinct(), "neardup-links")
+    links = materialise(links.distinct(), "neardup-links", narrow=True, batch=BLOCK_PAIRS)
     for table in (sets, blocks):
         drop_table(docs.sparkSession, table)
     return links
 
 
+@tidy
 def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b) of the rows whose sketches agree enough."""
     for batch in batches:
@@ -307,6 +317,7 @@ def _fit(a: str, b: str) -> F.Column:
     return F.expr(f"100 * least({a}, {b}) >= 85 * greatest({a}, {b})")
 
 
+@tidy
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, j, raw, offsets in tv.blocks(batch.column("text")):
@@ -315,6 +326,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(data, pa.binary())], ["rep", "shingles"])
 
 
+@tidy
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b) of the rows whose full sets have 100 * intersection >= 85 * union."""
     for batch in batches:
@@ -331,21 +343,21 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
     """rep and shingles of the named documents; other texts are not shuffled while the ids are few enough to broadcast."""
-    ids = materialise(ids.distinct(), "neardup-ids")
+    ids = materialise(ids.distinct(), "neardup-ids", narrow=True)
     small = ids.count() <= MAX_BROADCAST_IDS
     texts = docs.select("doc_id", "text").join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-    sets = materialise(texts.mapInArrow(_sets, "rep long, shingles binary"), "neardup-sets")
+    sets = materialise(texts.mapInArrow(_sets, "rep long, shingles binary"), "neardup-sets", batch=TEXTS)
     drop_table(docs.sparkSession, ids)
     return sets
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The candidate pairs (a, b) that hold on full sets; only texts that a pair names are read into sets."""
-    pairs = materialise(pairs.distinct(), "neardup-pairs")
+    pairs = materialise(pairs.distinct(), "neardup-pairs", narrow=True)
     sets = sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), docs)
     with_b = pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b")), "b")
     with_a = with_b.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a")), "a")
-    links = materialise(with_a.select("a", "b", "set_a", "set_b").mapInArrow(_confirm, "a long, b long").distinct(), "neardup-links")
+    links = materialise(with_a.select("a", "b", "set_a", "set_b").mapInArrow(_confirm, "a long, b long").distinct(), "neardup-links", narrow=True, batch=SET_PAIRS)
     for table in (pairs, sets):
         drop_table(docs.sparkSession, table)
     return links
@@ -363,7 +375,7 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        fresh = materialise(small, "neardup-edges")
+        fresh = materialise(small, "neardup-edges", narrow=True)
         if seen is not None:
             drop_table(spark, edges)
         edges = fresh
@@ -379,7 +391,7 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
     spark = docs.sparkSession
-    described = materialise(describe(docs), "neardup-sets")
+    described = materialise(describe(docs), "neardup-described", batch=TEXTS)
     sets = described.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = sets.groupBy("fp_a", "fp_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
     classes = materialise(classes, "neardup-classes")
@@ -427,7 +439,7 @@ def keep(docs: DataFrame) -> DataFrame:
     """One document of each group: the rows of ``docs`` whose doc_id is its component's smallest; rows repeated with id and text once."""
     lost = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
     left = without(docs, lost, ("doc_id",))
-    twice = materialise(docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "neardup-twice")
+    twice = materialise(docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "neardup-twice", narrow=True)
     if twice.isEmpty():
         return left
     once = left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])

@@ -55,6 +55,7 @@ def test_components_equal_brute_force(docs, prose):
 def test_large_nodes_compare_in_blocks(docs, prose, monkeypatch):
     monkeypatch.setattr(neardup, "SMALL", 4)
     monkeypatch.setattr(neardup, "IN_BLOCK", 8)
+    monkeypatch.setattr(neardup, "COLUMNS", 50)
     rng, base = random.Random(4), prose(150)
     rows = [(k, edited(rng, base, rng.randrange(3, 9))) for k in range(70)]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs([(i, t, "s") for i, t in rows])).collect()}
