@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .shared import materialise
 
 SUPPORT = 0.6
-LEAST_PAGES = 5
+LEAST_PAGES = 8
 #: Template rows that may be broadcast; more are joined by a shuffle.
 MAX_BROADCAST_ROWS = 200_000
 
@@ -53,6 +53,8 @@ NAMES = frozenset(
 )
 OUTSIDE_ARTICLE = frozenset("header topbar title subtitle".split())
 CONTENT = frozenset("article content post entry story main body text".split())
+#: A header named after one of these belongs to the article.
+OWN_HEADER = frozenset("article post entry story".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>\x00]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>|<(?:/?[A-Za-z][^<>]*)?\Z", re.S
@@ -85,7 +87,7 @@ def _section(name: str, attributes: str, inside_article: bool) -> tuple[bool, in
         role = found.get("role", "").lower()
         style = found.get("style", "").replace(" ", "").lower()
         bad |= bool(names & NAMES) or role in ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in style
-        bad |= bool(names & OUTSIDE_ARTICLE) and not inside_article and not names & CONTENT
+        bad |= bool(names & OUTSIDE_ARTICLE) and not inside_article and not names & OWN_HEADER
         rank = max(rank, 2 if role in ("main", "article") else 1 if names & CONTENT else 0)
     return bad, rank, f"{name}.{label}"
 
