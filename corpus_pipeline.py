@@ -9,16 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from deidflow.llm import bpe, mixing, neardup, pii, quality
-from deidflow.llm.shared import materialise
+from deidflow.llm.shared import materialise, small_batches
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules or their host's verdict reject go."""
+    small_batches(spark)
     return quality.keep(docs)
 
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: that of the smallest doc_id."""
+    small_batches(spark)
     return neardup.keep(docs)
 
 
@@ -34,6 +36,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded: token count and digests."""
+    small_batches(spark)
     return bpe.encode(docs, ids=False)
 
 
