@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
-from .shared import scratch_path, write_bytes
+from .shared import scratch_path, tidy, write_bytes
 
 VOCABULARY = "word_bpe_49k.json"
 END = "</w>"
@@ -286,6 +286,7 @@ def encode(docs: DataFrame, path: str | None = None, frequent: Iterable[str] = (
     """``docs`` keys with token_ids (if ``ids``), n_tokens, ids_sha256 and decoded_sha256 of every whole text."""
     name, model = ship(docs.sparkSession, path or default_vocabulary(), frequent)
 
+    @tidy
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(name, model)
         for batch in found:
@@ -299,6 +300,8 @@ def encode(docs: DataFrame, path: str | None = None, frequent: Iterable[str] = (
                     out.append(pa.array([encoder.ids(t) for t in texts], pa.list_(pa.int32())))
                     names.append("token_ids")
                 yield pa.RecordBatch.from_arrays(out, names)
+        encoder.memo.clear()
+        encoder.pieces.clear()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * ids
     return docs.select("doc_id", "text").mapInArrow(batches, schema)

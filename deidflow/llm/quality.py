@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .shared import materialise, without
+from .shared import materialise, tidy, without
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
@@ -71,6 +71,7 @@ def block_counts(raw: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
+@tidy
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names, own = [*COUNTS, "n_lines"], ("doc_id", "host", "row_hash")
     for batch in batches:
