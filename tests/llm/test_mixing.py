@@ -47,6 +47,41 @@ def test_rates_equal_a_plain_projected_gradient(spark):
     assert np.allclose([x[0] for x in members.select(mixing._rate(steps)).collect()], r)
 
 
+def test_far_targets_are_met(spark):
+    rng = np.random.default_rng(3)
+    p, n = rng.dirichlet([0.3, 0.3, 0.3], 200), rng.integers(1, 500, 200)
+    members = spark.createDataFrame([(int(a), [float(v) for v in b]) for a, b in zip(n, p)], "n_tokens long, posterior array<double>")
+    r = np.ones(200)
+    for s in mixing.fit_rates(members, ["a", "b", "c"], {"a": 0.9, "b": 0.09, "c": 0.01}, anchor="a", epochs=1.5):
+        r = np.maximum(0, r - p @ s)
+    goal = np.array([0.9, 0.09, 0.01]) * 1.5 * (n @ p)[0] / 0.9
+    assert np.allclose((r * n) @ p, goal, rtol=1e-4)
+
+
+def test_targets_out_of_reach_are_reported(spark, caplog):
+    members = spark.createDataFrame([(10, [0.5, 0.5]), (20, [0.6, 0.4])], "n_tokens long, posterior array<double>")
+    mixing.fit_rates(members, ["a", "b"], {"a": 0.99, "b": 0.01}, anchor="a")
+    assert "off by" in caplog.text
+    caplog.clear()
+    mixing.fit_rates(members, ["a", "b"], {"a": 0.55, "b": 0.45}, anchor="a")
+    assert "off by" not in caplog.text
+
+
+def test_a_small_labelled_share_is_enough(spark):
+    docs, labels = corpus(spark, 240)
+    targets = {"high": 0.8, "low": 0.15, "toxic": 0.05}
+    got = mixing.mix(docs.drop("rate"), labels.where("doc_id % 3 = 0"), targets).collect()
+    r, n, p = np.array([x.rate for x in got]), np.array([x.n_tokens for x in got]), np.array([x.posterior for x in got])
+    total = (r * n) @ p
+    assert np.allclose(total / total.sum(), [0.8, 0.15, 0.05], atol=1e-4)
+    true = {x.doc_id: x.domain for x in labels.collect()}
+    assert np.mean([x.domain == true[x.doc_id] for x in got]) > 0.95
+
+
+def test_query_targets():
+    assert mixing.TARGETS == {"high": 0.95, "low": 0.03, "toxic": 0.02}
+
+
 def test_copies_follow_rates(spark):
     docs, labels = corpus(spark)
     out = mixing.resample(docs.withColumn("copies", F.lit(7)).drop("rate", "copies"), labels, {"high": 0.5, "low": 0.5})
