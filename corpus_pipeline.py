@@ -12,6 +12,10 @@ from deidflow.llm import bpe, mixing, neardup, pii, quality
 from deidflow.llm.shared import materialise, small_batches
 
 
+#: Similarity from which the near-dedup stage takes documents for copies; op1's own contract has 0.85.
+NEAR = 0.8
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules or their host's verdict reject go."""
     small_batches(spark)
@@ -21,7 +25,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: that of the smallest doc_id."""
     small_batches(spark)
-    return neardup.keep(docs)
+    return neardup.keep(docs, NEAR)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,16 +3,16 @@
 1. Every text becomes its set of distinct 5-word shingles (64-bit hashes), a MinHash signature and a digest of the set.
    Texts with equal digests form a class; its smallest doc_id stands for it from here on.
 2. Independent trees branch the classes: a node picks one or two signature positions by its own hash, and a class goes
-   to the child named by its minimum there. At depth ``FIRST`` a pair of similarity 0.85 is still together in a tree
+   to the child named by its minimum there. At depth ``FIRST`` a pair of the bound's similarity is still together in a tree
    with probability 0.8, in one of ten trees with 0.9999998. Nodes of one class are dropped.
 3. Every node at that depth compares its classes with its smallest one (a star), large nodes also with one picked by a
    hash; this joins most groups. Nodes of up to ``SMALL`` classes then compare exhaustively what is still apart.
-4. Larger nodes whose classes are not all joined branch on, ``STEP`` levels at a time, with the mean of 1 / 0.85 children
-   that keeps pairs of that similarity together in expectation; children that are small compare exhaustively, and
+4. Larger nodes whose classes are not all joined branch on, ``STEP`` levels at a time, with the mean of 1 / similarity
+   children that keeps pairs of that similarity together in expectation; children that are small compare exhaustively, and
    children whose classes are joined already are done. A node that is still large and mixed at depth ``DEEPEST`` is truly
    dense; it compares what is apart on full sets, in blocks of about ``IN_BLOCK`` classes, so that no task sees more than
    two blocks of it. Nothing is capped: no partner, candidate or node is dropped.
-5. Candidates pass a size bound (exact) and a sketch of 128 bytes (a miss at 0.85 is 5 sigma off), and are then
+5. Candidates pass a size bound (exact) and a sketch of 128 bytes (a miss at the bound is 5 sigma off), and are then
    confirmed on the full sets, which only classes with candidates bring along.
 6. Components by alternating large-star and small-star steps over the confirmed links.
 
@@ -24,7 +24,10 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+import math
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +40,14 @@ from .shared import drop_table, materialise, tidy, without
 SHINGLE = 5
 POSITIONS = 128
 TREES = 10
-SECOND_BRANCH = 0.35
-SECOND_BRANCH_BELOW = 0.18
 FIRST, STEP, DEEPEST = 2, 3, 5
 SMALL = 24
 #: Classes, and shingles on average, of a block when a large node compares exhaustively, block by block.
 IN_BLOCK, SHINGLES_IN_BLOCK = 128, 20_000
-#: Equal sketch bytes that a candidate needs, of 128: 0.85 less five standard deviations.
-SKETCH_MATCHES = 88
+#: Similarity of a link: the bound of op1's contract.
+SIMILARITY = 0.85
+#: Chance that a pair at the bound is together at depth FIRST of a tree.
+TOGETHER = 0.824
 #: Ids that are broadcast to find the texts of candidates; more are found by a shuffled join.
 MAX_BROADCAST_IDS = 2_000_000
 #: Rows of an Arrow batch of texts, of pairs of sets, and of pairs of blocks; columns of a product of incidence matrices.
@@ -56,6 +59,47 @@ _ADD = _rng.integers(0, 2**32, POSITIONS, dtype=np.uint64).astype(np.uint32)
 _SEED = np.uint64(0xC0FFEE1234567)
 
 
+@dataclass(frozen=True)
+class Bound:
+    """A similarity, in parts of 10,000, with all that follows from it."""
+
+    parts: int
+
+    @staticmethod
+    def of(similarity: float) -> Bound:
+        if not 0.5 <= similarity <= 1:
+            raise ValueError("the trees are made for similarities from 0.5 to 1")
+        return Bound(round(similarity * 10_000))
+
+    @property
+    def matches(self) -> int:
+        """Equal sketch bytes that a candidate needs: the bound less five standard deviations."""
+        s = self.parts / 10_000
+        return math.floor(POSITIONS * s - 5 * math.sqrt(POSITIONS * s * (1 - s)))
+
+    @property
+    def second(self) -> float:
+        """Chance of a second branch down to FIRST, so that pairs at the bound are together with TOGETHER."""
+        s = self.parts / 10_000
+
+        def together(second: float) -> float:
+            x = 1.0
+            for _ in range(FIRST):
+                x = 1 - (1 - s * x) * (1 - second * s * x)
+            return x
+
+        return next((k / 100 for k in range(101) if together(k / 100) >= TOGETHER), 1.0)
+
+    @property
+    def second_below(self) -> float:
+        """Chance of a second branch further down: 1 / similarity children in the mean."""
+        return min(1.0, -(-100 * (10_000 - self.parts) // self.parts) / 100)
+
+    def holds(self, part, whole):
+        """Whether part / whole is at least the bound, exactly."""
+        return 10_000 * part >= self.parts * whole
+
+
 def block_sets(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, bounds): the sorted distinct shingle hashes of row i are hashes[bounds[i]:bounds[i + 1]]."""
     n = len(offsets) - 1
@@ -118,11 +162,11 @@ def _descend(node: np.ndarray, row: np.ndarray, values: np.ndarray, levels: int,
     return node, row
 
 
-def first_nodes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def first_nodes(values: np.ndarray, second: float) -> tuple[np.ndarray, np.ndarray]:
     """(node, row) of every signature at depth FIRST of all trees."""
     n = len(values)
     roots = tv.mix(np.arange(1, TREES + 1, dtype=np.uint64) << np.uint64(32))
-    return _descend(np.repeat(roots, n), np.tile(np.arange(n), TREES), values, FIRST, SECOND_BRANCH)
+    return _descend(np.repeat(roots, n), np.tile(np.arange(n), TREES), values, FIRST, second)
 
 
 def _fingerprints(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,14 +198,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(len(column), POSITIONS)
 
 
-@tidy
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _describe(batches: Iterator[pa.RecordBatch], bound: Bound) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, j, raw, offsets in tv.blocks(batch.column("text")):
             h, bounds = block_sets(raw, offsets)
             values = signatures(h, bounds)
             a, b = _fingerprints(h, bounds)
-            node, row = first_nodes(values)
+            node, row = first_nodes(values, bound.second)
             has = np.diff(bounds)[row] > 0
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").slice(i, j - i), pa.array(np.diff(bounds), pa.int64()), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
@@ -169,25 +212,28 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ], ["doc_id", "n_shingles", "fp_a", "fp_b", "sketch", "nodes"])
 
 
-def describe(docs: DataFrame) -> DataFrame:
+def _with(bound: Bound, batches: Callable) -> Callable:
+    return tidy(functools.partial(batches, bound=bound))
+
+
+def describe(docs: DataFrame, bound: Bound) -> DataFrame:
     """doc_id, n_shingles, set digest, sketch and first tree nodes of every whole text."""
     return docs.select("doc_id", "text").mapInArrow(
-        _describe, "doc_id long, n_shingles long, fp_a long, fp_b long, sketch binary, nodes array<long>"
+        _with(bound, _describe), "doc_id long, n_shingles long, fp_a long, fp_b long, sketch binary, nodes array<long>"
     )
 
 
 _ROW = "node long, rep long, n long, sketch binary, comp long"
 
 
-@tidy
-def _deeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _deeper(batches: Iterator[pa.RecordBatch], bound: Bound) -> Iterator[pa.RecordBatch]:
     """The rows of nodes STEP levels on."""
     names = ["node", "rep", "n", "sketch", "comp"]
     for batch in batches:
         for at in range(0, batch.num_rows, 4096):
             part = batch.slice(at, 4096)
             node = part.column("node").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            node, row = _descend(node, np.arange(part.num_rows), _matrix(part.column("sketch")), STEP, SECOND_BRANCH_BELOW)
+            node, row = _descend(node, np.arange(part.num_rows), _matrix(part.column("sketch")), STEP, bound.second_below)
             rest = part.take(pa.array(row))
             yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), *(rest.column(c) for c in names[1:])], names)
 
@@ -198,8 +244,7 @@ def _mixed(rows: DataFrame) -> DataFrame:
     return rows.join(sizes.select("node", "size"), "node")
 
 
-@tidy
-def _pairs_in_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pairs_in_nodes(batches: Iterator[pa.RecordBatch], bound: Bound) -> Iterator[pa.RecordBatch]:
     """Pairs of small nodes that are still apart; rows come sorted by node, so nodes are runs (one may span batches)."""
     rest: pa.Table | None = None
 
@@ -214,9 +259,9 @@ def _pairs_in_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 break
             b = a + gap
             big, small = np.maximum(n[a], n[b]), np.minimum(n[a], n[b])
-            ok = (comp[a] != comp[b]) & (100 * small >= 85 * big)
+            ok = (comp[a] != comp[b]) & bound.holds(small, big)
             a, b = a[ok], b[ok]
-            ok = (sketch[a] == sketch[b]).sum(axis=1) >= SKETCH_MATCHES
+            ok = (sketch[a] == sketch[b]).sum(axis=1) >= bound.matches
             found.append(np.stack((np.minimum(rep[a[ok]], rep[b[ok]]), np.maximum(rep[a[ok]], rep[b[ok]]))))
         both = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], ["a", "b"])
@@ -257,8 +302,7 @@ def _incidence(h: np.ndarray, owner: np.ndarray, n: int, columns: np.ndarray) ->
     return out
 
 
-@tidy
-def _between_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _between_blocks(batches: Iterator[pa.RecordBatch], bound: Bound) -> Iterator[pa.RecordBatch]:
     """Links between the two blocks of each row (or within one that meets itself), of classes that are apart.
 
     Intersections of all pairs are one product of the blocks' incidence matrices over the shingles that both hold.
@@ -279,13 +323,13 @@ def _between_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             for at in range(0, len(both), COLUMNS):
                 some = both[at : at + COLUMNS]
                 common += np.rint(_incidence(ha, oa, len(ra), some) @ _incidence(hb, ob, len(rb), some).T).astype(np.int64)
-            i, j = np.nonzero((ca[:, None] != cb[None, :]) & (100 * common >= 85 * (na[:, None] + nb[None, :] - common)))
+            i, j = np.nonzero((ca[:, None] != cb[None, :]) & bound.holds(common, na[:, None] + nb[None, :] - common))
             found.append(np.stack((np.minimum(ra[i], rb[j]), np.maximum(ra[i], rb[j]))))
         links = np.unique(np.concatenate(found, axis=1), axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(links[0], pa.int64()), pa.array(links[1], pa.int64())], ["a", "b"])
 
 
-def _dense_links(rows: DataFrame, docs: DataFrame) -> DataFrame:
+def _dense_links(rows: DataFrame, docs: DataFrame, bound: Bound) -> DataFrame:
     """Links (a, b) of large nodes between classes that are apart, by pairs of blocks of full sets."""
     sets = sets_of(rows.select(F.col("rep").alias("doc_id")), docs)
     sizes = rows.groupBy("node").agg(F.greatest(F.ceil(F.count("*") / IN_BLOCK), F.ceil(F.sum("n") / SHINGLES_IN_BLOCK)).alias("k"))
@@ -296,25 +340,24 @@ def _dense_links(rows: DataFrame, docs: DataFrame) -> DataFrame:
     parts = lambda side: [F.col(f"x.{c}").alias(f"{side}_{c}") for c in ("rep", "n", "comp", "shingles")]
     one, two = blocks.select("node", "block", *parts("x")), blocks.select("node", F.col("block").alias("_other"), *parts("y"))
     met = one.join(two, "node").where("block <= _other").drop("node", "block", "_other")
-    links = met.mapInArrow(_between_blocks, "a long, b long")
+    links = met.mapInArrow(_with(bound, _between_blocks), "a long, b long")
     links = materialise(links.distinct(), "neardup-links", narrow=True, batch=BLOCK_PAIRS)
     for table in (sets, blocks):
         drop_table(docs.sparkSession, table)
     return links
 
 
-@tidy
-def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _likely(batches: Iterator[pa.RecordBatch], bound: Bound) -> Iterator[pa.RecordBatch]:
     """(a, b) of the rows whose sketches agree enough."""
     for batch in batches:
         for at in range(0, batch.num_rows, 8192):
             part = batch.slice(at, 8192)
-            same = (_matrix(part.column("sketch")) == _matrix(part.column("other"))).sum(axis=1) >= SKETCH_MATCHES
+            same = (_matrix(part.column("sketch")) == _matrix(part.column("other"))).sum(axis=1) >= bound.matches
             yield pa.RecordBatch.from_arrays([part.column(c).filter(pa.array(same)) for c in ("a", "b")], ["a", "b"])
 
 
-def _fit(a: str, b: str) -> F.Column:
-    return F.expr(f"100 * least({a}, {b}) >= 85 * greatest({a}, {b})")
+def _fit(a: str, b: str, bound: Bound) -> F.Column:
+    return F.expr(f"10000 * least({a}, {b}) >= {bound.parts} * greatest({a}, {b})")
 
 
 @tidy
@@ -326,9 +369,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(data, pa.binary())], ["rep", "shingles"])
 
 
-@tidy
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b) of the rows whose full sets have 100 * intersection >= 85 * union."""
+def _confirm(batches: Iterator[pa.RecordBatch], bound: Bound) -> Iterator[pa.RecordBatch]:
+    """(a, b) of the rows whose full sets are as similar as the bound."""
     for batch in batches:
         left, right = batch.column("set_a"), batch.column("set_b")
         ok = []
@@ -337,7 +379,7 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both = np.concatenate((p, q))
             both.sort(kind="stable")
             common = int((both[1:] == both[:-1]).sum())
-            ok.append(100 * common >= 85 * (len(both) - common))
+            ok.append(bound.holds(common, len(both) - common))
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(ok, pa.bool_())) for c in ("a", "b")], ["a", "b"])
 
 
@@ -351,13 +393,13 @@ def sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
     return sets
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, bound: Bound) -> DataFrame:
     """The candidate pairs (a, b) that hold on full sets; only texts that a pair names are read into sets."""
     pairs = materialise(pairs.distinct(), "neardup-pairs", narrow=True)
     sets = sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), docs)
     with_b = pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b")), "b")
     with_a = with_b.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a")), "a")
-    links = materialise(with_a.select("a", "b", "set_a", "set_b").mapInArrow(_confirm, "a long, b long").distinct(), "neardup-links", narrow=True, batch=SET_PAIRS)
+    links = materialise(with_a.select("a", "b", "set_a", "set_b").mapInArrow(_with(bound, _confirm), "a long, b long").distinct(), "neardup-links", narrow=True, batch=SET_PAIRS)
     for table in (pairs, sets):
         drop_table(docs.sparkSession, table)
     return links
@@ -388,10 +430,10 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
-    spark = docs.sparkSession
-    described = materialise(describe(docs), "neardup-described", batch=TEXTS)
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of ``docs``; links are pairs of ``similarity`` or more."""
+    spark, bound = docs.sparkSession, Bound.of(similarity)
+    described = materialise(describe(docs, bound), "neardup-described", batch=TEXTS)
     sets = described.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = sets.groupBy("fp_a", "fp_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
     classes = materialise(classes, "neardup-classes")
@@ -407,25 +449,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     def stars(rows: DataFrame, pivot: str) -> DataFrame:
         heads = rows.where(f"rep = {pivot}").select("node", F.col("n").alias("m"), F.col("sketch").alias("other"))
-        met = rows.where(f"rep <> {pivot}").join(heads, "node").where(_fit("n", "m"))
-        return met.select(F.least(pivot, "rep").alias("a"), F.greatest(pivot, "rep").alias("b"), "sketch", "other").mapInArrow(_likely, "a long, b long")
+        met = rows.where(f"rep <> {pivot}").join(heads, "node").where(_fit("n", "m", bound))
+        return met.select(F.least(pivot, "rep").alias("a"), F.greatest(pivot, "rep").alias("b"), "sketch", "other").mapInArrow(_with(bound, _likely), "a long, b long")
 
-    links = confirmed(stars(nodes, "pivot").union(stars(nodes.where(f"size > {SMALL}"), "picked")), docs)
+    links = confirmed(stars(nodes, "pivot").union(stars(nodes.where(f"size > {SMALL}"), "picked")), docs, bound)
     joined = components(links).select(F.col("id").alias("rep"), "component")
     marked = nodes.join(joined, "rep", "left").select("node", "rep", "n", "sketch", F.coalesce("component", "rep").alias("comp"))
     level, depth, more = materialise(_mixed(marked), "neardup-mixed"), FIRST, None
     while True:
         small = level.where(f"size <= {SMALL}").repartition("node").sortWithinPartitions("node")
-        pairs = small.select("node", "rep", "n", "sketch", "comp").mapInArrow(_pairs_in_nodes, "a long, b long")
+        pairs = small.select("node", "rep", "n", "sketch", "comp").mapInArrow(_with(bound, _pairs_in_nodes), "a long, b long")
         more = pairs if more is None else more.union(pairs)
         large = level.where(f"size > {SMALL}").select("node", "rep", "n", "sketch", "comp")
         if depth >= DEEPEST or large.isEmpty():
             break
-        level = materialise(_mixed(large.mapInArrow(_deeper, _ROW)), "neardup-mixed")
+        level = materialise(_mixed(large.mapInArrow(_with(bound, _deeper), _ROW)), "neardup-mixed")
         depth += STEP
-    links = links.union(confirmed(more, docs))
+    links = links.union(confirmed(more, docs, bound))
     if not large.isEmpty():
-        links = links.union(_dense_links(large, docs))
+        links = links.union(_dense_links(large, docs, bound))
     joined = components(links)
 
     rows = described.select("doc_id", "n_shingles", "fp_a", "fp_b")
@@ -435,9 +477,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def keep(docs: DataFrame) -> DataFrame:
+def keep(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One document of each group: the rows of ``docs`` whose doc_id is its component's smallest; rows repeated with id and text once."""
-    lost = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    lost = near_duplicates(docs, similarity).where("NOT kept").select("doc_id").distinct()
     left = without(docs, lost, ("doc_id",))
     twice = materialise(docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "neardup-twice", narrow=True)
     if twice.isEmpty():

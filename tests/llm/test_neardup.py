@@ -80,3 +80,25 @@ def test_keep_leaves_one_of_a_group(docs, prose):
     rows = [(5, base, "a"), (3, base + " tail", "b"), (9, prose(80), "c"), (None, base, "d")]
     kept = neardup.keep(docs(rows))
     assert {r.doc_id for r in kept.collect()} == {3, 9, None} and kept.where(F.col("n_words") == "x").count() == 3
+
+
+def test_similarity_is_a_parameter_of_every_step(spark, docs, prose):
+    import corpus_pipeline
+
+    rng, rows = random.Random(6), []
+    for k in range(0, 120, 2):  # three edits of 150 words leave a similarity of 0.81, most of the time
+        text = prose(150)
+        rows += [(k, text), (k + 1, edited(rng, text, 3))]
+    sets = {i: shingles(t) for i, t in rows}
+    near = [len(sets[k] & sets[k + 1]) / len(sets[k] | sets[k + 1]) for k in range(0, 120, 2)]
+    assert sum(0.8 <= x < 0.85 for x in near) >= 20
+    table = docs([(i, t, "s") for i, t in rows])
+    for similarity in (0.85, 0.8):
+        want = {i: i - 1 if i % 2 and near[i // 2] >= similarity else i for i in sets}
+        assert {r.doc_id: r.component_id for r in neardup.near_duplicates(table, similarity).collect()} == want
+    assert {r.doc_id for r in corpus_pipeline.neardup_stage(spark, table, "").collect()} == set(want.values())
+
+
+def test_bound():
+    old, low = neardup.Bound.of(0.85), neardup.Bound.of(0.8)
+    assert (old.matches, old.second, old.second_below) == (88, 0.35, 0.18) and (low.matches, low.second_below) == (79, 0.25) and low.second > 0.5
