@@ -43,6 +43,7 @@ PHONE = (
     r"|(?<![0-9A-Za-z])(?:\([0-9]{3}\) ?|[0-9]{3}[.\-])[0-9]{3}[.\-][0-9]{4}(?![0-9A-Za-z])"
 )
 KINDS = (("email", EMAIL), ("key_id", AWS), ("secret", SECRET), ("date", DATE), ("ssn", SSN), ("ipv4", IPV4), ("iban", IBAN), ("card", CARD), ("phone", PHONE))
+MAY_HOLD = r"[0-9@=:]|A[KS]IA"
 ANY = "|".join(f"(?:{p})" for _, p in KINDS)
 
 
@@ -245,8 +246,8 @@ def pseudonym(hit: Column, key: str = KEY) -> Column:
 def pseudonymise(docs: DataFrame, column: str = "text", key: str = KEY) -> DataFrame:
     """``docs`` with ``column`` pseudonymised and the array ``pii`` of (kind, value) of what was changed."""
     text = F.col(f"`{column}`")
-    # Only texts with a digit or an @ can hold a value; the others skip the search.
-    hits = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
+    # Every kind needs a digit, an @, the sign after a credential word or the start of a key id; texts without skip the search.
+    hits = F.when(text.rlike(MAY_HOLD), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
     found = docs.withColumn("_hits", hits)
     found = found.withColumn("_made", F.when(F.size("_hits") > 0, F.transform("_hits", lambda h: pseudonym(h, key))))
     parts = F.split(text, ANY, -1)
