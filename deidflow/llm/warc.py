@@ -32,6 +32,8 @@ END = b"\r\n\r\n"
 ID = "urn:page:"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MIN_REVISIT_BYTES = 0
+#: Bytes of a piece that are looked at first for the end of its header.
+HEAD_BYTES = 1 << 16
 #: Rows of revisits or of pieces that may be broadcast; more are joined by a shuffle.
 MAX_BROADCAST_ROWS = 500_000
 DATE = "1970-01-01T00:00:00Z"
@@ -94,13 +96,17 @@ _HEAD = "kind string, page_id long, refers_to long, digest string, head long, co
 _HEAD_FIELDS = [("kind", pa.string()), ("page_id", pa.int64()), ("refers_to", pa.int64()), ("digest", pa.string()), ("head", pa.int64()), ("content", pa.int64())]
 
 
-def parse_head(piece: bytes) -> tuple:
+def parse_head(piece: bytes | pa.Buffer) -> tuple:
     """(kind, page_id, refers_to, digest, header bytes, content length) of what follows a magic; nulls if it is no header."""
-    end = piece.find(END)
-    if end < 0:
-        return (None,) * 6
+    whole, end, size = memoryview(piece), -1, HEAD_BYTES
+    while end < 0:  # most headers are short, so long pieces are copied only as far as the header goes
+        start = bytes(whole[:size])
+        end = start.find(END)
+        if end < 0 and size >= len(whole):
+            return (None,) * 6
+        size *= 8
     fields = {}
-    for line in piece[:end].split(b"\r\n"):
+    for line in start[:end].split(b"\r\n"):
         name, colon, value = line.partition(b":")
         if not colon:
             return (None,) * 6
@@ -145,7 +151,7 @@ def _columns(places: list) -> list[pa.Array]:
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, places in _numbered(batches):
         pieces = [p.as_buffer() for p in batch.column("piece")]
-        heads = list(zip(*(parse_head(bytes(memoryview(p)[:65536]) if len(p) > 65536 else p.to_pybytes()) for p in pieces))) or [()] * 6
+        heads = list(zip(*(parse_head(p) for p in pieces))) or [()] * 6
         yield pa.RecordBatch.from_arrays(
             [*_columns(places), pa.array([len(p) for p in pieces], pa.int64()), *(pa.array(h, kind) for h, (_, kind) in zip(heads, _HEAD_FIELDS))],
             ["file", "split", "k", "at", "length", *(n for n, _ in _HEAD_FIELDS)],

@@ -40,3 +40,10 @@ def test_pointer_jumping(spark):
 def test_empty_table(spark, tmp_path):
     warc.write(spark.createDataFrame([], "page_id long, url string, html string"), f"file://{tmp_path}/w")
     assert warc.read(spark, f"file://{tmp_path}/w").count() == 0
+
+
+def test_a_header_longer_than_64_kb(spark, tmp_path):
+    rows = [(1, "http://a/" + "x" * 700_000, "first"), (2, "u", "second"), (3, "http://b/" + "y" * 70_000, "third" * 30_000), (4, "u", "fourth")]
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), f"file://{tmp_path}/w")
+    got = {r.page_id: bytes(r.payload).decode() for r in warc.read(spark, f"file://{tmp_path}/w").collect()}
+    assert got == {i: h for i, _, h in rows}
