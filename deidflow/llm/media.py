@@ -90,26 +90,26 @@ def lzw_decode(data: bytes, bits: int, limit: int) -> bytes:
     """The samples of an LZW stream, at most ``limit``; damaged streams give what comes before the damage."""
     clear, end = 1 << bits, (1 << bits) + 1
     base = [bytes((i,)) for i in range(clear)] + [b"", b""]
-    stream = int.from_bytes(data, "little") if len(data) < 64 else None
     out: list[bytes] = []
-    made, at, total = 0, 0, len(data) * 8
+    at, done, total = 0, 0, len(data) * 8
     raw = np.frombuffer(data + b"\0\0\0\0", np.uint8).astype(np.uint32)
-    del stream
+    table, last, size = base.copy(), b"", end + 1
     while at + bits + 1 <= total:
-        # Codes from here to the next clear code: their widths depend on their number alone.
+        # Codes from here to the next clear code: their widths depend on their number since the last one alone. A run without
+        # a clear code goes on in the next, with the table as it is.
         n = min(4096 - end + 8192, (total - at) // (bits + 1))
-        k = np.arange(n)
+        k = np.arange(done, done + n)
         width = np.minimum(np.maximum(bits + 1, np.floor(np.log2(clear + 1 + k)).astype(np.int64) + 1), 12)
         ends = at + np.cumsum(width)
         n = int(np.searchsorted(ends, total, "right"))
+        if not n:
+            break
         starts = (ends - width)[:n]
         word = raw[starts >> 3] | raw[(starts >> 3) + 1] << 8 | raw[(starts >> 3) + 2] << 16
         codes = (word >> (starts & 7).astype(np.uint32)) & ((1 << width[:n]) - 1).astype(np.uint32)
         stop = np.flatnonzero((codes == clear) | (codes == end))
         found = codes[: stop[0]].tolist() if len(stop) else codes.tolist()
-        table, last = base.copy(), b""
         add, put = table.append, out.append
-        size = end + 1
         for code in found:
             if code < size:
                 entry = table[code]
@@ -125,12 +125,12 @@ def lzw_decode(data: bytes, bits: int, limit: int) -> bytes:
             put(entry)
             last = entry
         if not len(stop):
-            made = -1
-            break
+            at, done = int(ends[n - 1]), done + n
+            continue
         at = int(ends[stop[0]])
         if codes[stop[0]] == end:
             break
-    del made
+        table, last, size, done = base.copy(), b"", end + 1, 0
     return b"".join(out)[:limit]
 
 
@@ -251,14 +251,45 @@ def histogram(frame: Frame) -> np.ndarray:
     return np.stack([np.bincount(colours[:, c], counts[used], BINS) for c in range(3)]).astype(np.int64)
 
 
+def shown_histogram(canvas: np.ndarray) -> np.ndarray:
+    """Opaque pixels of a canvas by red, green and blue bin: 3 x BINS counts."""
+    colours = canvas[canvas[:, :, 3] > 0, :3] // (256 // BINS)
+    return np.stack([np.bincount(colours[:, c], minlength=BINS) for c in range(3)]).astype(np.int64)
+
+
+def covers_itself(data: bytes) -> bool:
+    """Whether every frame is opaque and as large as the canvas, so that its samples are what is shown. Reads headers only."""
+    width, height, flags = struct.unpack_from("<HHB", data, 6)
+    at, clear = 13 + (3 * (2 << (flags & 7)) if flags & 0x80 else 0), False
+    while data[at] != 0x3B:
+        if data[at] == 0x21:
+            clear = bool(data[at + 3] & 1) if data[at + 1] == 0xF9 else clear
+            at += 2
+        elif data[at] == 0x2C:
+            left, top, w, h, bits = struct.unpack_from("<HHHHB", data, at + 1)
+            if clear or left or top or w < width or h < height:
+                return False
+            at += 11 + (3 * (2 << (bits & 7)) if bits & 0x80 else 0)
+            clear = False
+        else:
+            raise ValueError("damaged GIF")
+        while data[at]:
+            at += 1 + data[at]
+        at += 1
+    return True
+
+
 # --- columns -----------------------------------------------------------------------------------------------------
 
-FRAME_TYPE = "struct<index:int,start_ms:long,delay_ms:int,left:int,top:int,width:int,height:int,disposal:int,histogram:array<long>>"
+FRAME_TYPE = "struct<index:int,start_ms:long,delay_ms:int,left:int,top:int,width:int,height:int,disposal:int,histogram:array<long>,shown_histogram:array<long>>"
 _FRAME = pa.struct([
     ("index", pa.int32()), ("start_ms", pa.int64()), ("delay_ms", pa.int32()), ("left", pa.int32()), ("top", pa.int32()),
     ("width", pa.int32()), ("height", pa.int32()), ("disposal", pa.int32()), ("histogram", pa.list_(pa.int64())),
+    ("shown_histogram", pa.list_(pa.int64())),
 ])
 CHUNK = 64
+#: Pixels of a canvas that is drawn; a header may claim any size up to 65,535 squared.
+MAX_CANVAS = 1 << 25
 
 
 def store_texts(docs: DataFrame) -> DataFrame:
@@ -278,8 +309,10 @@ def store_texts(docs: DataFrame) -> DataFrame:
 def media_columns(media: DataFrame, samples: bool = False) -> DataFrame:
     """doc_id, n_bytes, payload digests read back from the stored samples, frames with times and histograms.
 
-    ``samples``: also the samples themselves. Frames are decoded one by one; canvases are drawn only for GIFs whose
-    frames overlap, as samples of full, opaque frames are what the canvas shows.
+    ``samples``: also the samples themselves. Frames are decoded one by one. A frame's ``histogram`` is that of its own samples, its
+    ``shown_histogram`` that of the canvas after it, by transparency and disposal; canvases are drawn only for GIFs with a
+    frame that is smaller than the canvas or has transparency, as samples of full, opaque frames are what the canvas shows.
+    A canvas of more than ``MAX_CANVAS`` pixels is not drawn, and its ``shown_histogram`` is null.
     """
 
     def one(data: bytes | None) -> tuple:
@@ -287,14 +320,18 @@ def media_columns(media: DataFrame, samples: bool = False) -> DataFrame:
             return (None,) * 7 + ("null",)
         crc, digest, size, tail, frames, start, parts = 0, hashlib.sha256(), 0, b"", [], 0, []
         try:
-            for k, f in enumerate(gif_frames(data, canvas=False)):
+            plain = data[:6] not in (b"GIF87a", b"GIF89a") or covers_itself(data)
+            draw = not plain and struct.unpack_from("<H", data, 6)[0] * struct.unpack_from("<H", data, 8)[0] <= MAX_CANVAS
+            for k, f in enumerate(gif_frames(data, canvas=draw)):
+                own = histogram(f).ravel().tolist()
                 body = f.samples.tobytes()
                 digest.update(body)
                 size += len(body)
                 tail = (tail + body)[-ROW:]
                 frames.append({
                     "index": k, "start_ms": start, "delay_ms": f.delay_ms, "left": f.left, "top": f.top, "width": f.width,
-                    "height": f.height, "disposal": f.disposal, "histogram": histogram(f).ravel().tolist(),
+                    "height": f.height, "disposal": f.disposal, "histogram": own,
+                    "shown_histogram": own if plain else shown_histogram(f.canvas).ravel().tolist() if draw else None,
                 })
                 start += f.delay_ms
                 if samples:

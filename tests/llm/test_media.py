@@ -60,3 +60,37 @@ def test_table(spark, prose):
 def test_bad_media_have_an_error(spark, data):
     r = media.media_columns(spark.createDataFrame([(1, 2, data)], "doc_id long, n_bytes long, media binary")).first()
     assert r.error and r.payload_bytes is None
+
+
+def deferred(data, bits=8):
+    """A code stream whose encoder keeps its full table and never clears it."""
+    clear, end = 1 << bits, (1 << bits) + 1
+    codes, table, prefix = [clear], {bytes((i,)): i for i in range(clear)}, b""
+    size = end + 1
+    for byte in data:
+        if prefix + bytes((byte,)) in table:
+            prefix += bytes((byte,))
+            continue
+        codes.append(table[prefix])
+        if size < 4096:
+            table[prefix + bytes((byte,))] = size
+            size += 1
+        prefix = bytes((byte,))
+    return [*codes, table[prefix], end]
+
+
+def test_deferred_clear_codes():
+    data = np.random.default_rng(1).integers(0, 256, 80_000, dtype=np.uint8).tobytes()
+    for part in (data, data[:5000], data[:12_030], data[:12_040]):
+        assert media.lzw_decode(media.pack_codes(deferred(part)), 8, len(part)) == part
+
+
+def test_columns_apply_transparency_and_disposal(spark):
+    palette = bytes((0, 0, 0, 70, 70, 70, 140, 140, 140, 210, 210, 210))  # one colour for each bin
+    frames = [(0, 0, 4, 4, [1] * 16, 1, None, False), (1, 1, 2, 2, [2, 3, 3, 2], 3, 3, False), (0, 0, 2, 2, [3] * 4, 2, None, False), (3, 3, 1, 1, [0], 0, None, False)]
+    full = [(0, 0, 4, 4, [2] * 16, 1, None, False)]
+    df = spark.createDataFrame([(1, 0, gif(frames, palette=palette)), (2, 0, gif(full, palette=palette))], "doc_id long, n_bytes long, media binary")
+    got = {r.doc_id: r.frames for r in media.media_columns(df).collect()}
+    assert [f.shown_histogram[:4] for f in got[1]] == [[0, 16, 0, 0], [0, 14, 2, 0], [0, 12, 0, 4], [1, 11, 0, 0]]
+    assert [f.histogram[:4] for f in got[1]] == [[0, 16, 0, 0], [0, 0, 2, 0], [0, 0, 0, 4], [1, 0, 0, 0]]
+    assert got[2][0].shown_histogram == got[2][0].histogram == [0, 0, 16, 0] * 3
