@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 
 KEY = "deidflow-demo-key"
 ROUNDS = 8
+#: Rounds of cuts at most; each takes a group or more off every such hit, and a hit has 19 groups at most.
+CUTS = 40
 DAYS = 73_000  # from 1900-01-01
 
 EMAIL = r"[A-Za-z0-9._%+\-]++@[A-Za-z0-9](?:[A-Za-z0-9.\-]*[A-Za-z0-9])?\.[A-Za-z]{2,}"
@@ -38,6 +40,7 @@ SSN = r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z\-])"
 IPV4 = r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 CARD = r"(?<![0-9A-Za-z.\-])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z])"
+ISSUED = r"^(?:[0-9]{13,19}|[2-6][0-9]{3}([ \-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|3[0-9]{3}([ \-])[0-9]{6}\2[0-9]{4,5})(?=[ \-]|$)"
 PHONE = (
     r"(?<![0-9A-Za-z])\+[1-9][0-9]{0,2}[ .\-]?\(?[0-9]{1,4}\)?(?:[ .\-]?[0-9]{2,4}){2,4}(?![0-9])"
     r"|(?<![0-9A-Za-z])(?:\([0-9]{3}\) ?|[0-9]{3}[.\-])[0-9]{3}[.\-][0-9]{4}(?![0-9A-Za-z])"
@@ -142,10 +145,15 @@ def mod97(text: Column) -> Column:
     return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0), add)
 
 
+def _iban_valid(hit: Column) -> Column:
+    plain = F.regexp_replace(hit, " ", "")
+    return mod97(F.concat(F.substr(plain, F.lit(5), F.length(plain)), F.substr(plain, F.lit(1), F.lit(4)))) == 1
+
+
 def _iban(hit: Column, key: str) -> Column:
     plain = F.regexp_replace(hit, " ", "")
     country, body = F.substr(plain, F.lit(1), F.lit(2)), F.substr(plain, F.lit(5), F.length(plain))
-    valid = mod97(F.concat(body, F.substr(plain, F.lit(1), F.lit(4)))) == 1
+    valid = _iban_valid(hit)
     check = lambda b: F.lpad((98 - mod97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0")
     made = _let(feistel_text(body, "iban", key), lambda b: F.concat(country, check(b), b))
 
@@ -158,6 +166,57 @@ def _iban(hit: Column, key: str) -> Column:
     return F.when(valid, spaced).otherwise(hit)
 
 
+def _cut(hit: Column) -> Column:
+    """Where to cut a card or account number that was taken with other groups: a length of ``hit``; null if it is to stay whole.
+
+    A card in a layout of issuers at the start of more groups ends there, and one after other groups starts there if the whole
+    fails its check. Looser layouts are not tried inside a hit, as one in ten rows of figures would pass for a card. An
+    account number that fails its check ends at its longest valid part, or else at its first group.
+    """
+    until = lambda i: F.substr(hit, F.lit(1), i)
+    after = lambda i: F.substr(hit, i + 2, F.length(hit))
+    ends = F.filter(F.sequence(F.length(hit) - 1, F.lit(1), F.lit(-1)), lambda i: F.substr(hit, i + 1, F.lit(1)).isin(" ", "-"))
+
+    def issued(text: Column) -> Column:
+        card = F.regexp_extract(text, ISSUED, 0)
+        return F.when((card != "") & (luhn_sum(_digits(card)) % 10 == 0), F.length(card))
+
+    def card(e: Column) -> Column:
+        inner = F.when(luhn_sum(_digits(hit)) % 10 != 0, F.get(F.reverse(F.filter(e, lambda i: issued(after(i)).isNotNull())), F.lit(0)))
+        return _let(issued(hit), lambda n: F.when(n < F.length(hit), n).when(n.isNull(), inner))
+
+    def iban(e: Column) -> Column:
+        valid = F.filter(e, lambda i: until(i).rlike(f"^(?:{IBAN})$") & _iban_valid(until(i)))
+        return F.when(~_iban_valid(hit), F.coalesce(F.get(valid, F.lit(0)), F.element_at(e, -1)))
+
+    is_iban, is_card = hit.rlike(f"^(?:{IBAN})$") & hit.contains(" "), hit.rlike(f"^(?:{CARD})$") & hit.rlike("[ -]")
+    return F.when(is_iban, _let(ends, iban)).when(is_card, _let(ends, card))
+
+
+def _pieces(text: Column) -> Column:
+    """``text`` cut so that the search takes no card or account number together with the groups after it.
+
+    The search takes as many groups as a format allows. Where ``_cut`` finds that other groups came along, the text is cut
+    there and searched again from there, until nothing is left to cut.
+    """
+
+    def cut(state: Column, _: Column) -> Column:
+        def again(s: Column) -> Column:
+            mark = F.concat(F.lit("\ufdd0"), F.sha2(s, 256))  # no text holds its own digest
+            hits = F.concat(F.regexp_extract_all(s, F.lit(ANY), F.lit(0)), F.array(F.lit("")))
+            marked = F.transform(hits, lambda h: _let(_cut(h), lambda n: F.when(n.isNull(), h).otherwise(F.concat(F.substr(h, F.lit(1), n), mark, F.substr(h, n + 1, F.length(h))))))
+            joined = F.array_join(F.flatten(F.zip_with(F.split(s, ANY, -1), marked, lambda p, h: F.array(p, h))), "")
+            return F.split(joined, mark)
+
+        longer = F.flatten(F.transform(state["pieces"], again))
+        then = F.struct(longer.alias("pieces"), F.lit(False).alias("done"))
+        made = _let(then, lambda t: F.struct(t["pieces"].alias("pieces"), (F.size(t["pieces"]) == F.size(state["pieces"])).alias("done")))
+        return F.when(state["done"], state).otherwise(made)
+
+    start = F.struct(F.array(text).alias("pieces"), F.lit(False).alias("done"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(CUTS)), start, cut)["pieces"]
+
+
 def _card(hit: Column, key: str) -> Column:
     digits = _digits(hit)
     body = F.substr(digits, F.lit(2), F.length(digits) - 2)
@@ -248,11 +307,17 @@ def pseudonymise(docs: DataFrame, column: str = "text", key: str = KEY) -> DataF
     text = F.col(f"`{column}`")
     # Every kind needs a digit, an @, the sign after a credential word or the start of a key id; texts without skip the search.
     hits = F.when(text.rlike(MAY_HOLD), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    found = docs.withColumn("_hits", hits)
-    found = found.withColumn("_made", F.when(F.size("_hits") > 0, F.transform("_hits", lambda h: pseudonym(h, key))))
-    parts = F.split(text, ANY, -1)
-    values = F.concat(F.transform("_made", lambda m: m["value"]), F.array(F.lit("")))
-    joined = F.array_join(F.flatten(F.zip_with(parts, values, lambda p, v: F.array(p, v))), "")
+    found = docs.withColumn("_hits", hits).withColumn("_parts", F.when(F.size("_hits") > 0, F.split(text, ANY, -1)))
+    # Few texts have a card or account number that fails its check; only they are cut and searched in pieces.
+    found = found.withColumn("_pieces", F.when(F.exists("_hits", lambda h: _cut(h).isNotNull()), _pieces(text)))
+    end = F.array(F.lit(""))
+    by_piece = F.flatten(F.transform("_pieces", lambda s: F.concat(F.regexp_extract_all(s, F.lit(ANY), F.lit(0)), end)))
+    found = found.withColumns({
+        "_hits": F.when(F.col("_pieces").isNotNull(), by_piece).otherwise(F.concat("_hits", end)),
+        "_parts": F.when(F.col("_pieces").isNotNull(), F.flatten(F.transform("_pieces", lambda s: F.split(s, ANY, -1)))).otherwise(F.col("_parts")),
+    })
+    found = found.withColumn("_made", F.when(F.size("_hits") > 1, F.transform("_hits", lambda h: F.when(h != "", pseudonym(h, key)).otherwise(F.struct(F.lit(None).cast("string").alias("kind"), h.alias("value"))))))
+    joined = F.array_join(F.flatten(F.zip_with("_parts", F.transform("_made", lambda m: m["value"]), lambda p, v: F.array(p, v))), "")
     changed = F.filter(F.zip_with("_hits", "_made", lambda h, m: F.when(h != m["value"], m)), lambda m: m.isNotNull())
     empty = F.array().cast("array<struct<kind:string,value:string>>")
     out = found.withColumn("_text", F.when(F.col("_made").isNotNull(), joined).otherwise(text)).withColumn("pii", F.when(F.col("_made").isNotNull(), changed).otherwise(empty))

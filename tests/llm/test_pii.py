@@ -90,3 +90,15 @@ def test_credentials_without_digits(spark):
     assert "correcthorse" not in a + b + d and "ABCDEFGHIJKLMNOP" not in c and re.fullmatch(r"key AKIA[A-Z]{16} end", c)
     assert a.split("=")[1].split()[0] == b.split()[-1] == d.split("=")[1]
     assert [[x.kind for x in r.pii] for r in plain] == [["secret"], ["secret"], ["key_id"], ["secret"]]
+
+
+def test_values_before_more_groups(spark):
+    card, spaced, iban = "4111111111111111", "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332"
+    one, both, bank = (r.text for r in run(spark, card, spaced, iban))
+    cases = {
+        f"{spaced} 12/26": f"{both} 12/26", f"{card} 3 times": f"{one} 3 times", f"{iban} BIC": f"{bank} BIC", f"{iban} BIC ES": f"{bank} BIC ES",
+        f"12 {spaced}": f"12 {both}", f"{card} 3 of {card} 4": f"{one} 3 of {one} 4", f"{iban} BIC, {card} 7": f"{bank} BIC, {one} 7", "10 20 30 41 " * 3: "10 20 30 41 " * 3,
+    }
+    assert [r.text for r in run(spark, *cases)] == list(cases.values())
+    rest = run(spark, f"{card} 123-45-6789", "123-45-6789")
+    assert rest[0].text == f"{one} {rest[1].text}" and [x.kind for x in rest[0].pii] == ["card", "ssn"]
