@@ -18,4 +18,5 @@ QUERIES = {
 }
 ORACLES = {
     "op4_quality": quality.ORACLE,
+    "op8_warc": warc.ORACLE,
 }
