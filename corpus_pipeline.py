@@ -30,7 +30,7 @@ def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data give way to pseudonyms of their format."""
-    return pii.pseudonymise(docs).drop("pii")
+    return pii.pseudonymise(docs, pii.session_key(spark)).select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

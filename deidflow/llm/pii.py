@@ -9,7 +9,8 @@ networks keyed with a secret:
 * bank account numbers (IBAN): letters and digits after the check digits, each within its own alphabet, with new check
   digits; the country stays;
 * IPv4 addresses: the four octets; social security numbers: valid areas, groups and serials;
-* dates from 1900 to 2099: the day number over a 73,000-day calendar, written back in the same layout;
+* dates from 1900 to 2099: year, month and day within the dates that the same layout can show, padding included; slash dates
+  are month first, or day first where the month would be over 12, and stay so;
 * e-mail addresses: letters and digits of the part before the @, each within its own alphabet; credentials (key ids,
   tokens, passwords): likewise.
 
@@ -18,7 +19,9 @@ What fails its check is no personal data and stays, as does all other text.
 
 Defined results: a null text stays null, an empty one empty; a text without findings is returned unchanged; any length is
 read whole; values that overlap are taken from the left; repeated rows are kept; an empty table gives an empty result;
-other columns pass through untouched, whatever their names.
+other columns pass through untouched, whatever their names. The findings stand in the column ``pii``, or ``pii_``, ``pii__``
+and so on where that name is taken (``findings`` tells which). There is no default key: whoever has it can undo nothing, but
+can test guesses, so a caller brings its own secret.
 """
 
 from __future__ import annotations
@@ -26,11 +29,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEY = "deidflow-demo-key"
+#: The key of the registered query and pipeline, if the session has no ``spark.deidflow.pii.key``; it is public, so it hides nothing.
+DEMO_KEY = "deidflow-demo-key"
+KEY_SETTING = "spark.deidflow.pii.key"
 ROUNDS = 8
 #: Rounds of cuts at most; each takes a group or more off every such hit, and a hit has 19 groups at most.
 CUTS = 40
-DAYS = 73_000  # from 1900-01-01
+FIRST_YEAR, YEARS = 1900, 200
 
 EMAIL = r"[A-Za-z0-9._%+\-]++@[A-Za-z0-9](?:[A-Za-z0-9.\-]*[A-Za-z0-9])?\.[A-Za-z]{2,}"
 AWS = r"(?<![A-Za-z0-9])A[KS]IA[0-9A-Z]{16}(?![A-Za-z0-9])"
@@ -55,21 +60,22 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), lambda x: use(x)), 1)
 
 
-def _noise(tweak: str, half: Column, round_: Column, key: str, digits: int = 12) -> Column:
+def _noise(tweak: Column, half: Column, round_: Column, key: str, digits: int = 12) -> Column:
     """A keyed non-negative number from one half of the state."""
-    text = F.concat(F.lit(f"{key}|{tweak}|"), round_.cast("string"), F.lit("|"), half.cast("string"))
+    text = F.concat(F.lit(f"{key}|"), tweak, F.lit("|"), round_.cast("string"), F.lit("|"), half.cast("string"))
     return F.conv(F.substring(F.sha2(text, 256), 1, digits), 16, 10).cast("long")
 
 
-def feistel(left: Column, right: Column, a: int, b: int, tweak: str, key: str) -> Column:
+def feistel(left: Column, right: Column, a: int | Column, b: int | Column, tweak: str | Column, key: str) -> Column:
     """struct(l, r): a keyed permutation of the pairs with 0 <= l < a and 0 <= r < b."""
+    a, b, tweak = (x if isinstance(x, Column) else F.lit(x) for x in (a, b, tweak))
 
     def step(state: Column, k: Column) -> Column:
-        l = F.pmod(state["l"] + _noise(tweak, state["r"], k, key), F.lit(a)).cast("long")
+        l = F.pmod(state["l"] + _noise(tweak, state["r"], k, key), a).cast("long")
         return F.struct(l.alias("l"), state["r"].alias("r"))
 
     def back(state: Column, k: Column) -> Column:
-        r = F.pmod(state["r"] + _noise(tweak + "'", state["l"], k, key), F.lit(b)).cast("long")
+        r = F.pmod(state["r"] + _noise(F.concat(tweak, F.lit("'")), state["l"], k, key), b).cast("long")
         return F.struct(state["l"].alias("l"), r.alias("r"))
 
     start = F.struct(left.cast("long").alias("l"), right.cast("long").alias("r"))
@@ -259,19 +265,63 @@ def _ssn(hit: Column, key: str) -> Column:
     return F.when(valid, _let(state, show)).otherwise(hit)
 
 
+def _permuted_day(year: Column, month: Column, day: Column, short_month: Column, low: Column, short_day: Column, tweak: Column, key: str) -> Column:
+    """struct(y, m, d): a keyed permutation of the dates of 200 years with months up to 12 (``short_month``: 9) and days from ``low`` (``short_day``: up to 9).
+
+    Days up to 28 are in every month; the 29th, 30th and 31st each move among the months, and 29 February among the leap years
+    (49 from 1904 to 2096), that have them.
+    """
+    y, leap, late = year - FIRST_YEAR, (month == 2) & (day == 29), day > 28
+    held = F.when(day == 31, F.array(*(F.lit(m) for m in (1, 3, 5, 7, 8, 10, 12)))).when(late, F.array(*(F.lit(m) for m in (1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12)))).otherwise(F.sequence(F.lit(1), F.lit(12)))
+
+    def moved(months: Column) -> Column:
+        n, place = F.size(months), F.array_position(months, month) - 1
+        nth = F.floor((year - 1904) / 4)
+        start = F.struct(
+            F.when(leap, F.floor(nth / 7)).when(late, y).otherwise(y * n + place).cast("long").alias("l"), F.when(leap, nth % 7).when(late, place).otherwise(day - low).cast("long").alias("r"),
+            F.when(leap, 7).when(late, YEARS).otherwise(n * YEARS).alias("a"), F.when(leap, 7).when(late, n).otherwise(F.when(short_day, 9).otherwise(28) - low + 1).alias("b"),
+        )
+        made = _let(start, lambda x: feistel(x["l"], x["r"], x["a"], x["b"], F.concat(tweak, x["a"].cast("string"), F.lit("."), x["b"].cast("string"), F.when(late, F.concat(F.lit("."), day.cast("string"))).otherwise("")), key))
+
+        def date(s: Column) -> Column:
+            in_order = F.when(late, s["l"]).otherwise(F.floor(s["l"] / n)) + FIRST_YEAR
+            which = F.get(months, F.when(late, s["r"]).otherwise(s["l"] % n).cast("int"))
+            return F.struct(
+                F.when(leap, (s["l"] * 7 + s["r"]) * 4 + 1904).otherwise(in_order).cast("long").alias("y"), F.when(leap, 2).otherwise(which).cast("long").alias("m"),
+                F.when(late, day).otherwise(s["r"] + low).cast("long").alias("d"),
+            )
+
+        return _let(made, date)
+
+    return _let(F.filter(held, lambda m: ~short_month | (m <= 9)), moved)
+
+
 def _date(hit: Column, key: str) -> Column:
-    """ISO dates, day.month.year, and month/day/year or, where that is no date, day/month/year; padding follows the value."""
-    layouts = (
-        ("-", r"^\d{4}-\d\d-\d\d$", "yyyy-MM-dd"), (".", r"^\d\d\.\d\d\.\d{4}$", "dd.MM.yyyy"), (".", r"\.", "d.M.yyyy"),
-        ("/", r"^\d\d/\d\d/\d{4}$", "MM/dd/yyyy"), ("/", "/", "M/d/yyyy"), ("/", r"^\d\d/\d\d/\d{4}$", "dd/MM/yyyy"), ("/", "/", "d/M/yyyy"),
-    )
-    out = hit
-    for _, shape, layout in reversed(layouts):
-        day = F.datediff(F.try_to_timestamp(hit, F.lit(layout)).cast("date"), F.lit("1900-01-01").cast("date"))
-        state = feistel(F.floor(day / 365), day % 365, DAYS // 365, 365, "date", key)
-        made = _let(F.when(day.between(0, DAYS - 1), state), lambda s: F.date_format(F.date_add(F.lit("1900-01-01").cast("date"), (s["l"] * 365 + s["r"]).cast("int")), layout))  # noqa: B023
-        out = F.when(hit.rlike(shape) & day.between(0, DAYS - 1), made).otherwise(out)
-    return out
+    """ISO dates, day.month.year, and month/day/year or, where that is no date, day/month/year; padding stays.
+
+    A date moves only among those that the same layout shows with as many digits, so no two texts share a pseudonym.
+    """
+    iso, dotted = hit.contains("-"), hit.contains(".")
+    parts = F.split(hit, r"[-./]")
+    one, two, three = (F.get(parts, F.lit(k)) for k in range(3))
+    a, b, c = (x.try_cast("int") for x in (one, two, three))
+    valid = lambda y, m, d: F.try_make_timestamp(y, m, d, F.lit(0), F.lit(0), F.lit(0)).isNotNull() & y.between(FIRST_YEAR, FIRST_YEAR + YEARS - 1)
+    month_first = ~iso & ~dotted & valid(c, a, b)
+    year, month, day = F.when(iso, a).otherwise(c), F.when(iso, b).when(month_first, a).otherwise(b), F.when(iso, c).when(month_first, b).otherwise(a)
+    short = lambda text: F.length(text) == 1
+    short_month = F.when(iso, False).when(month_first, short(one)).otherwise(short(two))
+    short_day = F.when(iso, False).when(month_first, short(two)).otherwise(short(one))
+    name = F.when(iso, "iso").when(dotted, "dot").when(month_first, "month").otherwise("day")
+    low = F.when(iso | dotted | month_first, 1).otherwise(13)
+    state = _permuted_day(year, month, day, short_month, low, short_day, name, key)
+
+    def show(s: Column) -> Column:
+        m = F.when(short_month, s["m"].cast("string")).otherwise(F.lpad(s["m"].cast("string"), 2, "0"))
+        d = F.when(short_day, s["d"].cast("string")).otherwise(F.lpad(s["d"].cast("string"), 2, "0"))
+        y = s["y"].cast("string")
+        return F.when(iso, F.concat_ws("-", y, m, d)).when(dotted, F.concat_ws(".", d, m, y)).when(month_first, F.concat_ws("/", m, d, y)).otherwise(F.concat_ws("/", d, m, y))
+
+    return F.when(valid(year, month, day), F.coalesce(_let(state, show), hit)).otherwise(hit)
 
 
 def _email(hit: Column, key: str) -> Column:
@@ -291,7 +341,7 @@ def _key_id(hit: Column, key: str) -> Column:
 _MAKE = {"email": _email, "key_id": _key_id, "secret": _tail, "date": _date, "ssn": _ssn, "ipv4": _ipv4, "iban": _iban, "card": _card, "phone": _phone}
 
 
-def pseudonym(hit: Column, key: str = KEY) -> Column:
+def pseudonym(hit: Column, key: str) -> Column:
     """struct(kind, value) of one found value."""
     kind, value = F.lit(None).cast("string"), hit
     for name, pattern in reversed(KINDS):
@@ -302,12 +352,25 @@ def pseudonym(hit: Column, key: str = KEY) -> Column:
     return F.struct(kind.alias("kind"), value.alias("value"))
 
 
-def pseudonymise(docs: DataFrame, column: str = "text", key: str = KEY) -> DataFrame:
-    """``docs`` with ``column`` pseudonymised and the array ``pii`` of (kind, value) of what was changed."""
-    text = F.col(f"`{column}`")
+def findings(columns: list[str]) -> str:
+    """The name of the column of findings besides these columns."""
+    name = "pii"
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
+def pseudonymise(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
+    """``docs`` with ``column`` pseudonymised and an array of (kind, value) of what was changed."""
+    if not key:
+        raise ValueError("pseudonyms need a key")
+    own = docs.columns
+    at = own.index(column)
+    found = docs.toDF(*(f"_c{k}" for k in range(len(own))))  # names of this function's own cannot clash with these
+    text = F.col(f"_c{at}")
     # Every kind needs a digit, an @, the sign after a credential word or the start of a key id; texts without skip the search.
     hits = F.when(text.rlike(MAY_HOLD), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    found = docs.withColumn("_hits", hits).withColumn("_parts", F.when(F.size("_hits") > 0, F.split(text, ANY, -1)))
+    found = found.withColumn("_hits", hits).withColumn("_parts", F.when(F.size("_hits") > 0, F.split(text, ANY, -1)))
     # Few texts have a card or account number that fails its check; only they are cut and searched in pieces.
     found = found.withColumn("_pieces", F.when(F.exists("_hits", lambda h: _cut(h).isNotNull()), _pieces(text)))
     end = F.array(F.lit(""))
@@ -320,11 +383,15 @@ def pseudonymise(docs: DataFrame, column: str = "text", key: str = KEY) -> DataF
     joined = F.array_join(F.flatten(F.zip_with("_parts", F.transform("_made", lambda m: m["value"]), lambda p, v: F.array(p, v))), "")
     changed = F.filter(F.zip_with("_hits", "_made", lambda h, m: F.when(h != m["value"], m)), lambda m: m.isNotNull())
     empty = F.array().cast("array<struct<kind:string,value:string>>")
-    out = found.withColumn("_text", F.when(F.col("_made").isNotNull(), joined).otherwise(text)).withColumn("pii", F.when(F.col("_made").isNotNull(), changed).otherwise(empty))
-    return out.select(*(F.col("_text").alias(c) if c == column else F.col(f"`{c}`") for c in docs.columns), "pii")
+    out = found.withColumn("_text", F.when(F.col("_made").isNotNull(), joined).otherwise(text)).withColumn("_pii", F.when(F.col("_made").isNotNull(), changed).otherwise(empty))
+    return out.select(*(F.col("_text" if k == at else f"_c{k}").alias(c) for k, c in enumerate(own)), F.col("_pii").alias(findings(own)))
+
+
+def session_key(spark: SparkSession) -> str:
+    return spark.conf.get(KEY_SETTING, None) or DEMO_KEY
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = pseudonymise(docs)
+    found = pseudonymise(docs, session_key(spark))
     return found.select("doc_id", "text", F.size("pii").cast("long").alias("n_pii"), F.array_join(F.array_sort(F.array_distinct("pii.kind")), ",").alias("kinds"))
