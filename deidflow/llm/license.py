@@ -4,7 +4,7 @@
    (lines up to a blank one), its runs of lines that consist of template words for the most part (wrapped headers inside code),
    and its whole text. Units become sparse vectors over the words of the templates: term frequency times inverse document
    frequency, which is counted over all files; a unit's other words count in its length with the greatest weight.
-2. Only units that share a *leading* word with a template are compared. The leading words of a template are its heaviest, so
+2. Only units that share a *leading* word with a template are compared. The leading words of a template are its rarest, so
    many that what remains of its vector is shorter than ``NEAR``: a unit without any of them cannot reach that cosine, so
    nothing is lost. Files without such a word are left out by the words that were counted for the frequencies.
 3. Units meet the templates on shared words; the cosine decides: ``NEAR`` or more is a match. A file's best match is its
@@ -113,7 +113,7 @@ class Index:
             weights = {w: tf * self.idf[w] for w, tf in Counter(split_words(text)).items()}
             norm = math.sqrt(sum(v * v for v in weights.values()))
             rest = 1.0
-            for w in sorted(weights, key=lambda w: (-weights[w], w)):
+            for w in sorted(weights, key=lambda w: (df[w], -weights[w], w)):
                 self.rows.append((k, licence, k >= len(notices), w, weights[w] / norm))
                 if rest >= (near - 1e-9) ** 2:
                     self.leading.add(w)
