@@ -18,5 +18,6 @@ QUERIES = {
 }
 ORACLES = {
     "op4_quality": quality.ORACLE,
+    "op7_webtext": webtext.ORACLE,
     "op8_warc": warc.ORACLE,
 }
