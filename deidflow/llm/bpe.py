@@ -1,18 +1,21 @@
 """BPE encoding and decoding with a minimal acyclic transducer as lexicon.
 
-The lexicon holds frequent words (by default the whole words of the vocabulary) with their token ids. It is compiled
-on the driver into a shared-suffix automaton whose transitions carry word counts, so that the path of a word spells
+The lexicon holds the words that are most frequent in the corpus, counted by Spark over all texts, and the whole words of
+the vocabulary, with their token ids. It is compiled on the driver into a shared-suffix automaton whose transitions carry word counts, so that the path of a word spells
 its rank, and the rank finds its ids (the id outputs). Spark ships the file to every executor, where the workers
-memory-map it. Words that the automaton does not accept are merged exactly, pair by pair, in rank order.
+memory-map it. Words that the automaton does not accept are merged exactly, in rank order, long ones by a heap of their
+pairs, so that a run of any length takes n log n steps. What the lexicon holds changes no result.
 
 Defined results: a null text is an empty one, an empty text has no ids and decodes to the empty text; equal texts have
-equal values; repeated rows are kept; an empty table gives an empty result; any text length is encoded whole. Classes and lower
+equal values; repeated rows are kept; a null doc_id is kept; an empty table gives an empty result; any text and any word is
+encoded whole; other columns, whatever their names, are ignored. Classes and lower
 case of characters are those of this Python's Unicode version; newer characters may differ from other implementations.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import mmap
 import os
@@ -24,6 +27,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .shared import scratch_path, tidy, write_bytes
 
@@ -31,6 +35,10 @@ VOCABULARY = "word_bpe_49k.json"
 END = "</w>"
 #: Entries of a worker's memos of white-space words and of pre-tokens; a memo is emptied when full.
 MEMO = 300_000
+#: Words of the corpus that the lexicon holds at most, and letters of such a word at most.
+FREQUENT, LONGEST = 1 << 16, 40
+#: Pre-tokens of more letters are merged by a heap.
+SHORT = 48
 
 
 def byte_letters() -> list[str]:
@@ -149,6 +157,8 @@ class Model:
         """Ids of one pre-token by exact merges: the lowest rank first, leftmost among equals."""
         parts = [self.letters[b] for b in word]
         parts[-1] += END
+        if len(parts) > SHORT:
+            return [self.vocab[p] for p in self._merged(parts) if p in self.vocab]
         rank, none = self.ranks.get, 1 << 30
         ranks = [rank(pair, none) for pair in zip(parts, parts[1:])]
         while ranks and (best := min(ranks)) != none:
@@ -161,6 +171,25 @@ class Model:
                 ranks[at] = rank((parts[at], parts[at + 1]), none)
         return [self.vocab[p] for p in parts if p in self.vocab]
 
+    def _merged(self, parts: list[str | None]) -> list[str]:
+        """The same over a linked list, with the pairs in a heap by rank and place."""
+        rank, n = self.ranks.get, len(parts)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(parts, parts[1:])) if (r := rank((a, b))) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, i, a, b = heapq.heappop(heap)
+            j = after[i]
+            if parts[i] != a or j >= n or parts[j] != b:  # one of the two was merged since
+                continue
+            parts[i], parts[j], after[i] = a + b, None, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for k in (before[i], i):
+                if k >= 0 and after[k] < n and (r := rank((parts[k], parts[after[k]]))) is not None:
+                    heapq.heappush(heap, (r, k, parts[k], parts[after[k]]))
+        return [p for p in parts if p is not None]
+
     def whole_words(self) -> Iterator[tuple[bytes, list[int]]]:
         """The vocabulary's whole words with the ids that the merges give them."""
         back = {c: b for b, c in enumerate(self.letters)}
@@ -194,6 +223,9 @@ class Encoder:
 
     def word(self, word: str) -> tuple[str, int, str]:
         """(ids, their number, decoded tokens) of a word without white space."""
+        if word.isascii() and word.isalpha():
+            low = word.lower()
+            return self.pieces.get(low) or self.piece(low)
         low = unicodedata.normalize("NFC", word).replace("\u03a3", "\u03c3").lower()
         found = [self.pieces.get(p) or self.piece(p) for p in self.pattern.findall(low)]
         if len(found) == 1:
@@ -261,8 +293,7 @@ def _encoder(name: str, model) -> Encoder:
 def ship(spark: SparkSession, path: str, frequent: Iterable[str] = ()) -> tuple[str, object]:
     """Compile the lexicon of a vocabulary file and hand it to Spark: (file name, broadcast model).
 
-    ``frequent``: further words, already normalised, to hold besides the vocabulary's own. Both parts are bounded by
-    the vocabulary (a few MB), whatever the corpus.
+    ``frequent``: further words, already normalised, to hold besides the vocabulary's own: some MB, whatever the corpus.
     """
     model = Model.load(path)
     entries = dict(model.whole_words())
@@ -282,9 +313,22 @@ def default_vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
-def encode(docs: DataFrame, path: str | None = None, frequent: Iterable[str] = (), ids: bool = True) -> DataFrame:
-    """``docs`` keys with token_ids (if ``ids``), n_tokens, ids_sha256 and decoded_sha256 of every whole text."""
-    name, model = ship(docs.sparkSession, path or default_vocabulary(), frequent)
+def frequent_words(docs: DataFrame, most: int = FREQUENT) -> list[str]:
+    """The most frequent normalised words of all whole texts, up to ``most`` of ``LONGEST`` letters, as pre-tokens.
+
+    Words are counted before they are shuffled; the driver gets the first ``most`` alone.
+    """
+    words = docs.select(F.explode(F.split(F.lower("text"), " ")).alias("word")).where(F.length("word").between(2, LONGEST))
+    counts = words.groupBy("word").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(most)
+    whole = _piece_pattern().fullmatch
+    plain = (unicodedata.normalize("NFC", r["word"]) for r in counts.collect())
+    return [w for w in plain if w.isalpha() and w == w.lower() and whole(w)]
+
+
+def encode(docs: DataFrame, path: str | None = None, frequent: Iterable[str] | None = None, ids: bool = True) -> DataFrame:
+    """``docs`` keys with token_ids (if ``ids``), n_tokens, ids_sha256 and decoded_sha256 of every whole text; ``frequent`` words are counted if not given."""
+    words = frequent_words(docs) if frequent is None else frequent
+    name, model = ship(docs.sparkSession, path or default_vocabulary(), words)
 
     @tidy
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,8 +344,6 @@ def encode(docs: DataFrame, path: str | None = None, frequent: Iterable[str] = (
                     out.append(pa.array([encoder.ids(t) for t in texts], pa.list_(pa.int32())))
                     names.append("token_ids")
                 yield pa.RecordBatch.from_arrays(out, names)
-        encoder.memo.clear()
-        encoder.pieces.clear()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * ids
     return docs.select("doc_id", "text").mapInArrow(batches, schema)

@@ -58,3 +58,32 @@ def test_table(spark, library):
         assert (r.token_ids, r.n_tokens, decoded[r.doc_id]) == (ids, len(ids), text)
         assert (r.ids_sha256, r.decoded_sha256) == (hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
     assert bpe.encode(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("word", ["abcdefghijklmnopqrstuvwxyz" * 200, "the" * 3000, "a" * 5000, "日本語の文字" * 700, "0123456789" * 30, "é" * 99, "Zq" * 25, "!?" * 400])
+def test_long_words_equal_the_library(encoder, library, word):
+    assert encoder.ids(word) == library.encode(word, add_special_tokens=False).ids
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="abeinrst", min_size=40, max_size=300))
+def test_the_heap_merges_as_the_plain_loop(model, text):
+    short, bpe.SHORT = bpe.SHORT, 10_000
+    plain = model.merge(text.encode())
+    bpe.SHORT = short
+    assert model.merge(text.encode()) == plain
+
+
+def test_a_word_of_200_000_letters_is_quick(encoder):
+    import time
+
+    start = time.time()
+    assert len(encoder.ids("qwertyuiopasdfgh" * 12_500)) > 10_000 and time.time() - start < 15
+
+
+def test_frequent_words_are_counted_and_change_nothing(spark):
+    texts = ["alphaomega Zq7 alphaomega", "ALPHAOMEGA betaomega it's", "betaomega x\ny alphaomega", None, "", "É É É"]
+    df = spark.createDataFrame([(k, t, "w", 1) for k, t in enumerate(texts)], "doc_id long, text string, word string, n int")
+    assert bpe.frequent_words(df) == ["alphaomega", "betaomega"] and bpe.frequent_words(df, 1) == ["alphaomega"] and bpe.frequent_words(df.limit(0)) == []
+    with_, without = (sorted(tuple(r) for r in bpe.encode(df, frequent=f, ids=False).collect()) for f in (None, ()))
+    assert with_ == without
