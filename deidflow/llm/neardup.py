@@ -1,7 +1,7 @@
 """MinHash near-duplicate links by a chosen-path similarity join.
 
 1. Every text becomes its set of distinct 5-word shingles (64-bit hashes), a MinHash signature and a digest of the set.
-   Texts with equal digests form a class; its smallest doc_id stands for it from here on.
+   Texts with equal digests form a class; its smallest doc_id stands for it from here on. Empty texts take no part.
 2. Independent trees branch the classes: a node picks one or two signature positions by its own hash, and a class goes
    to the child named by its minimum there. At depth ``FIRST`` a pair of the bound's similarity is still together in a tree
    with probability 0.8, in one of ten trees with 0.9999998. Nodes of one class are dropped.
@@ -10,8 +10,8 @@
 4. Larger nodes whose classes are not all joined branch on, ``STEP`` levels at a time, with the mean of 1 / similarity
    children that keeps pairs of that similarity together in expectation; children that are small compare exhaustively, and
    children whose classes are joined already are done. A node that is still large and mixed at depth ``DEEPEST`` is truly
-   dense; it compares what is apart on full sets, in blocks of about ``IN_BLOCK`` classes, so that no task sees more than
-   two blocks of it. Nothing is capped: no partner, candidate or node is dropped.
+   dense; it compares what is apart on full sets, in blocks of about ``IN_BLOCK`` classes, a row for each pair of blocks, and
+   keeps links that join the same classes as all of them do. Nothing is capped: no partner, candidate or node is dropped.
 5. Candidates pass a size bound (exact) and a sketch of 128 bytes (a miss at the bound is 5 sigma off), and are then
    confirmed on the full sets, which only classes with candidates bring along.
 6. Components by alternating large-star and small-star steps over the confirmed links.
@@ -50,6 +50,10 @@ SIMILARITY = 0.85
 TOGETHER = 0.824
 #: Ids that are broadcast to find the texts of candidates; more are found by a shuffled join.
 MAX_BROADCAST_IDS = 2_000_000
+#: From so many rows on, a key is heavy: what belongs to it is broadcast, or dealt to ``PARTS`` tasks by a second key.
+HEAVY, PARTS = 512, 64
+#: Classes in groups that are broadcast with their components (some 32 bytes each); of more, only heavy ones are.
+MAX_BROADCAST_GROUPS = 1_000_000
 #: Rows of an Arrow batch of texts, of pairs of sets, and of pairs of blocks; columns of a product of incidence matrices.
 TEXTS, SET_PAIRS, BLOCK_PAIRS, COLUMNS = 1024, 512, 8, 4096
 
@@ -238,10 +242,31 @@ def _deeper(batches: Iterator[pa.RecordBatch], bound: Bound) -> Iterator[pa.Reco
             yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), *(rest.column(c) for c in names[1:])], names)
 
 
+def spread_join(rows: DataFrame, facts: DataFrame, key: str, size: str, unit: str) -> DataFrame:
+    """``rows`` with ``facts`` (one row for each ``key``, with the number ``size`` of its rows) by an inner join that no key makes uneven.
+
+    Heavy keys are few: at most one for every ``HEAVY`` rows. Up to ``MAX_BROADCAST_IDS`` of them are broadcast; of more, each
+    is repeated for ``PARTS`` parts that the rows are dealt to by a hash of ``unit``.
+    """
+    heavy = materialise(facts.where(f"{size} > {HEAVY}"), "neardup-heavy", narrow=True)
+    n = heavy.count()
+    if not n:
+        return rows.join(facts, key)
+    light = facts.where(f"{size} <= {HEAVY}")
+    if n <= MAX_BROADCAST_IDS:
+        ids = F.broadcast(heavy.select(key))
+        return rows.join(ids, key, "left_anti").join(light, key).unionByName(rows.join(F.broadcast(heavy), key))
+    part = F.pmod(F.xxhash64(unit), F.lit(PARTS)).cast("int")
+    every = heavy.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    dealt = rows.withColumn("_part", part)
+    return dealt.join(light, key).drop("_part").unionByName(dealt.join(every, [key, "_part"]).drop("_part"))
+
+
 def _mixed(rows: DataFrame) -> DataFrame:
     """The rows (node, rep, n, sketch, comp) of nodes whose classes are of two components or more, with the node's size."""
     sizes = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("comp").alias("_low"), F.max("comp").alias("_high")).where("_low < _high")
-    return rows.join(sizes.select("node", "size"), "node")
+    sizes = materialise(sizes.select("node", "size"), "neardup-sizes", narrow=True)
+    return spread_join(rows, sizes, "node", "size", "rep")
 
 
 def _pairs_in_nodes(batches: Iterator[pa.RecordBatch], bound: Bound) -> Iterator[pa.RecordBatch]:
@@ -302,8 +327,29 @@ def _incidence(h: np.ndarray, owner: np.ndarray, n: int, columns: np.ndarray) ->
     return out
 
 
+def _forest(near: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of links that join what all links of ``near`` join, fewer than there are rows and columns; equal ``names`` are one."""
+    up = list(range(len(names)))
+
+    def top(x: int) -> int:
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    left, right = names[: near.shape[0]].tolist(), names[near.shape[0] :].tolist()
+    kept = []
+    for i in np.flatnonzero(near.any(axis=1)).tolist():
+        for j in np.flatnonzero(near[i]).tolist():
+            a, b = top(left[i]), top(right[j])
+            if a != b:
+                up[a] = b
+                kept.append((i, j))
+    at = np.array(kept, np.int64).reshape(-1, 2)
+    return at[:, 0], at[:, 1]
+
+
 def _between_blocks(batches: Iterator[pa.RecordBatch], bound: Bound) -> Iterator[pa.RecordBatch]:
-    """Links between the two blocks of each row (or within one that meets itself), of classes that are apart.
+    """Links between the two blocks of each row (or within one that meets itself) that join its classes that are apart.
 
     Intersections of all pairs are one product of the blocks' incidence matrices over the shingles that both hold.
     """
@@ -323,7 +369,8 @@ def _between_blocks(batches: Iterator[pa.RecordBatch], bound: Bound) -> Iterator
             for at in range(0, len(both), COLUMNS):
                 some = both[at : at + COLUMNS]
                 common += np.rint(_incidence(ha, oa, len(ra), some) @ _incidence(hb, ob, len(rb), some).T).astype(np.int64)
-            i, j = np.nonzero((ca[:, None] != cb[None, :]) & bound.holds(common, na[:, None] + nb[None, :] - common))
+            near = (ca[:, None] != cb[None, :]) & bound.holds(common, na[:, None] + nb[None, :] - common)
+            i, j = _forest(near, np.unique(np.concatenate((ra, rb)), return_inverse=True)[1])
             found.append(np.stack((np.minimum(ra[i], rb[j]), np.maximum(ra[i], rb[j]))))
         links = np.unique(np.concatenate(found, axis=1), axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(links[0], pa.int64()), pa.array(links[1], pa.int64())], ["a", "b"])
@@ -332,14 +379,17 @@ def _between_blocks(batches: Iterator[pa.RecordBatch], bound: Bound) -> Iterator
 def _dense_links(rows: DataFrame, docs: DataFrame, bound: Bound) -> DataFrame:
     """Links (a, b) of large nodes between classes that are apart, by pairs of blocks of full sets."""
     sets = sets_of(rows.select(F.col("rep").alias("doc_id")), docs)
-    sizes = rows.groupBy("node").agg(F.greatest(F.ceil(F.count("*") / IN_BLOCK), F.ceil(F.sum("n") / SHINGLES_IN_BLOCK)).alias("k"))
-    placed = rows.select("node", "rep", "n", "comp").join(sizes, "node").join(sets, "rep")
+    sizes = rows.groupBy("node").agg(F.greatest(F.ceil(F.count("*") / IN_BLOCK), F.ceil(F.sum("n") / SHINGLES_IN_BLOCK)).alias("k"), F.count("*").alias("size"))
+    sizes = materialise(sizes, "neardup-sizes", narrow=True)
+    placed = spread_join(rows.select("node", "rep", "n", "comp"), sizes, "node", "size", "rep").join(sets, "rep")
     members = F.collect_list(F.struct("rep", "n", "comp", "shingles"))
-    blocks = placed.groupBy("node", F.pmod(F.xxhash64("rep"), "k").alias("block")).agg(members.alias("x"))
+    blocks = placed.groupBy("node", "k", F.pmod(F.xxhash64("rep"), "k").alias("block")).agg(members.alias("x"))
     blocks = materialise(blocks, "neardup-blocks")
     parts = lambda side: [F.col(f"x.{c}").alias(f"{side}_{c}") for c in ("rep", "n", "comp", "shingles")]
-    one, two = blocks.select("node", "block", *parts("x")), blocks.select("node", F.col("block").alias("_other"), *parts("y"))
-    met = one.join(two, "node").where("block <= _other").drop("node", "block", "_other")
+    # Each pair of blocks is a key of its own half way: a task gets a block and, one after another, those that it meets.
+    one = blocks.select("node", "block", F.explode(F.sequence("block", F.col("k") - 1)).alias("_other"), *parts("x"))
+    two = blocks.select("node", F.col("block").alias("_other"), *parts("y"))
+    met = one.join(two, ["node", "_other"]).drop("node", "block", "_other", "k")
     links = met.mapInArrow(_with(bound, _between_blocks), "a long, b long")
     links = materialise(links.distinct(), "neardup-links", narrow=True, batch=BLOCK_PAIRS)
     for table in (sets, blocks):
@@ -397,9 +447,19 @@ def confirmed(pairs: DataFrame, docs: DataFrame, bound: Bound) -> DataFrame:
     """The candidate pairs (a, b) that hold on full sets; only texts that a pair names are read into sets."""
     pairs = materialise(pairs.distinct(), "neardup-pairs", narrow=True)
     sets = sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), docs)
-    with_b = pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b")), "b")
-    with_a = with_b.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a")), "a")
-    links = materialise(with_a.select("a", "b", "set_a", "set_b").mapInArrow(_with(bound, _confirm), "a long, b long").distinct(), "neardup-links", narrow=True, batch=SET_PAIRS)
+    # A pivot meets many: its pairs are dealt to tasks of about HEAVY, and its set is sent to each.
+    tasks = F.ceil(F.count("*") / HEAVY).cast("int").alias("tasks")
+    spread = {}
+    for side in "ab":
+        many = materialise(pairs.groupBy(side).agg(tasks).where("tasks > 1"), "neardup-many", narrow=True)
+        spread[side] = F.broadcast(many) if many.count() <= MAX_BROADCAST_IDS else many
+    with_sets = pairs
+    for side, other in ("ba", "ab"):
+        dealt = with_sets.join(spread[side], side, "left").withColumn("_part", F.pmod(F.xxhash64(other), F.coalesce("tasks", F.lit(1))).cast("int")).drop("tasks")
+        own = sets.select(F.col("rep").alias(side), F.col("shingles").alias(f"set_{side}")).join(spread[side], side, "left")
+        own = own.withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("tasks", F.lit(1)) - 1))).drop("tasks")
+        with_sets = dealt.join(own, [side, "_part"]).drop("_part")
+    links = materialise(with_sets.select("a", "b", "set_a", "set_b").mapInArrow(_with(bound, _confirm), "a long, b long").distinct(), "neardup-links", narrow=True, batch=SET_PAIRS)
     for table in (pairs, sets):
         drop_table(docs.sparkSession, table)
     return links
@@ -430,26 +490,34 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
+def _named(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` with the component of their class, if any: heavy classes are broadcast, others joined by a shuffle."""
+    heavy = groups.where(f"size > {HEAVY}").select("class", "component")
+    first = rows.join(F.broadcast(heavy) if heavy.count() <= MAX_BROADCAST_GROUPS else heavy, "class", "left")
+    rest = first.where("component IS NULL").drop("component").join(groups.where(f"size <= {HEAVY}").select("class", "component"), "class", "left")
+    return first.where("component IS NOT NULL").unionByName(rest)
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``; links are pairs of ``similarity`` or more."""
     spark, bound = docs.sparkSession, Bound.of(similarity)
     described = materialise(describe(docs, bound), "neardup-described", batch=TEXTS)
     sets = described.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = sets.groupBy("fp_a", "fp_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    classes = materialise(classes, "neardup-classes")
-    reps = sets.join(classes.select("fp_a", "fp_b", "n_shingles", "rep"), ["fp_a", "fp_b", "n_shingles"]).where("doc_id = rep")
-    reps = reps.select("rep", F.col("n_shingles").alias("n"), "sketch", "nodes").dropDuplicates(["rep", "n", "sketch"])
-    reps = materialise(reps, "neardup-reps")
+    first = F.min(F.struct(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch", "nodes")).alias("x")
+    classes = sets.groupBy("fp_a", "fp_b").agg(first, F.count("*").alias("size"))
+    classes = materialise(classes.select("fp_a", "fp_b", "size", "x.*"), "neardup-classes")
+    reps = classes.select("rep", "n", "sketch", "nodes")
 
     slim = reps.select("rep", F.explode("nodes").alias("node"))
     picked = F.min_by("rep", F.xxhash64("node", "rep"))
     sizes = slim.groupBy("node").agg(F.count("*").alias("size"), F.min("rep").alias("pivot"), picked.alias("picked")).where("size > 1")
-    nodes = slim.join(sizes, "node").join(reps.select("rep", "n", "sketch"), "rep")
+    sizes = materialise(sizes, "neardup-sizes", narrow=True)
+    nodes = spread_join(slim, sizes, "node", "size", "rep").join(reps.select("rep", "n", "sketch"), "rep")
     nodes = materialise(nodes.select("node", "rep", "n", "sketch", "size", "pivot", "picked"), "neardup-nodes")
 
     def stars(rows: DataFrame, pivot: str) -> DataFrame:
-        heads = rows.where(f"rep = {pivot}").select("node", F.col("n").alias("m"), F.col("sketch").alias("other"))
-        met = rows.where(f"rep <> {pivot}").join(heads, "node").where(_fit("n", "m", bound))
+        heads = rows.where(f"rep = {pivot}").select("node", "size", F.col("n").alias("m"), F.col("sketch").alias("other")).dropDuplicates(["node"])
+        met = spread_join(rows.where(f"rep <> {pivot}").drop("size"), heads, "node", "size", "rep").where(_fit("n", "m", bound))
         return met.select(F.least(pivot, "rep").alias("a"), F.greatest(pivot, "rep").alias("b"), "sketch", "other").mapInArrow(_with(bound, _likely), "a long, b long")
 
     links = confirmed(stars(nodes, "pivot").union(stars(nodes.where(f"size > {SMALL}"), "picked")), docs, bound)
@@ -470,10 +538,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         links = links.union(_dense_links(large, docs, bound))
     joined = components(links)
 
-    rows = described.select("doc_id", "n_shingles", "fp_a", "fp_b")
-    named = rows.join(classes, ["fp_a", "fp_b", "n_shingles"], "left").withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.col("rep")))
-    named = named.join(joined.select(F.col("id").alias("rep"), "component"), "rep", "left")
-    found = named.select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
+    # Only what is in a group of two texts or more needs the joins: a class of two rows, or one that is linked.
+    linked = joined.select(F.col("id").alias("rep"), "component")
+    groups = classes.join(linked, "rep", "left").where("size > 1 OR component IS NOT NULL").select("fp_a", "fp_b", "size", F.coalesce("component", "rep").alias("component"))
+    groups = materialise(groups.withColumn("class", F.struct("fp_a", "fp_b")).select("class", "size", "component"), "neardup-groups", narrow=True)
+    rows = described.select("doc_id", "n_shingles", F.struct("fp_a", "fp_b").alias("class"))
+    usable = F.expr("n_shingles > 0 AND doc_id IS NOT NULL")
+    named = rows.where(usable).join(F.broadcast(groups), "class", "left") if groups.count() <= MAX_BROADCAST_GROUPS else _named(rows.where(usable), groups)
+    alone = rows.where(~usable).withColumn("component", F.lit(None).cast("long"))
+    found = named.select("doc_id", "n_shingles", "component").unionByName(alone.select("doc_id", "n_shingles", "component"))
+    found = found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
@@ -490,3 +564,28 @@ def keep(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: All pairs that share a shingle, which a small table allows: what the trees find must be all of it.
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS m FROM s GROUP BY doc_id
+), c AS (
+  SELECT doc_id, n, min(doc_id) OVER (PARTITION BY m, n) AS rep FROM n
+), r AS (
+  SELECT s.doc_id, n, g FROM s JOIN c USING (doc_id) WHERE doc_id = rep
+), l AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM r a JOIN r b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT DISTINCT x AS a, x AS b FROM l UNION SELECT reach.a, l.y FROM reach JOIN l ON l.x = reach.b
+), low AS (
+  SELECT a, min(b) AS component FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(c.n, 0)::BIGINT AS n_shingles, coalesce(low.component, c.rep, doc_id) AS component_id, doc_id = coalesce(low.component, c.rep, doc_id) AS kept
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN low ON low.a = c.rep
+"""

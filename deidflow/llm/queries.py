@@ -17,6 +17,7 @@ QUERIES = {
     "op10_gif": media.query,
 }
 ORACLES = {
+    "op1_neardup": neardup.ORACLE,
     "op4_quality": quality.ORACLE,
     "op7_webtext": webtext.ORACLE,
     "op8_warc": warc.ORACLE,

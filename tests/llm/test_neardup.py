@@ -102,3 +102,34 @@ def test_similarity_is_a_parameter_of_every_step(spark, docs, prose):
 def test_bound():
     old, low = neardup.Bound.of(0.85), neardup.Bound.of(0.8)
     assert (old.matches, old.second, old.second_below) == (88, 0.35, 0.18) and (low.matches, low.second_below) == (79, 0.25) and low.second > 0.5
+
+
+@pytest.mark.parametrize("broadcast", [0, 10**6])
+def test_heavy_keys_are_spread(docs, prose, monkeypatch, broadcast):
+    for name, value in {"HEAVY": 3, "PARTS": 3, "SMALL": 4, "IN_BLOCK": 8, "MAX_BROADCAST_IDS": broadcast, "MAX_BROADCAST_GROUPS": broadcast}.items():
+        monkeypatch.setattr(neardup, name, value)
+    rng, base = random.Random(6), prose(120)
+    rows = [(k, edited(rng, base, rng.randrange(2, 9))) for k in range(40)] + [(100 + k, base) for k in range(30)] + [(200 + k, None) for k in range(20)]
+    rows += [(300 + k, prose(40)) for k in range(10)]
+    want = brute(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs([(i, t, "s") for i, t in rows])).collect()}
+    assert got == want
+
+
+def test_a_forest_joins_what_all_links_join():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        near = rng.random((12, 9)) < 0.12
+        names = np.arange(21)
+        i, j = neardup._forest(near, names)
+
+        def parts(links):
+            label = list(range(21))
+            for _ in range(21):
+                for a, b in links:
+                    label[a] = label[12 + b] = min(label[a], label[12 + b])
+            return label
+
+        assert near[i, j].all() and parts(list(zip(i, j))) == parts(list(zip(*np.nonzero(near)))) and len(i) < 21
