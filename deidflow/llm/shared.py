@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; where it is unset (tests, one machine) a temporary folder."""
+    """The cluster's ``spark.checkpoint.dir``; where it is unset on one machine (tests) a temporary folder."""
     place = spark.conf.get("spark.checkpoint.dir", None)
     if not place:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         place = f"file://{tempfile.mkdtemp(prefix='deidflow-')}"
         spark.conf.set("spark.checkpoint.dir", place)
     return place.rstrip("/")
