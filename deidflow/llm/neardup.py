@@ -523,7 +523,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     links = confirmed(stars(nodes, "pivot").union(stars(nodes.where(f"size > {SMALL}"), "picked")), docs, bound)
     joined = components(links).select(F.col("id").alias("rep"), "component")
     marked = nodes.join(joined, "rep", "left").select("node", "rep", "n", "sketch", F.coalesce("component", "rep").alias("comp"))
+    marked = materialise(marked, "neardup-marked")  # _mixed reads its rows more than once
     level, depth, more = materialise(_mixed(marked), "neardup-mixed"), FIRST, None
+    drop_table(spark, nodes)
+    drop_table(spark, marked)
     while True:
         small = level.where(f"size <= {SMALL}").repartition("node").sortWithinPartitions("node")
         pairs = small.select("node", "rep", "n", "sketch", "comp").mapInArrow(_with(bound, _pairs_in_nodes), "a long, b long")
@@ -531,7 +534,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         large = level.where(f"size > {SMALL}").select("node", "rep", "n", "sketch", "comp")
         if depth >= DEEPEST or large.isEmpty():
             break
-        level = materialise(_mixed(large.mapInArrow(_with(bound, _deeper), _ROW)), "neardup-mixed")
+        deeper = materialise(large.mapInArrow(_with(bound, _deeper), _ROW), "neardup-deeper")
+        level = materialise(_mixed(deeper), "neardup-mixed")
+        drop_table(spark, deeper)
         depth += STEP
     links = links.union(confirmed(more, docs, bound))
     if not large.isEmpty():
