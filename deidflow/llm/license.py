@@ -131,9 +131,9 @@ def keyed(files: DataFrame) -> DataFrame:
 
 
 def held_words(files: DataFrame, words: list[str]) -> DataFrame:
-    """key and the words of the templates in each whole text that has some."""
+    """key and the words of the templates in each whole text."""
     held = F.array_intersect(_words(F.coalesce(F.col("text"), F.lit(""))), _literal(words))
-    return files.select("key", held.alias("held")).where(F.size("held") > 0)
+    return files.select("key", held.alias("held"))  # without a filter, which would work the words out twice
 
 
 def document_frequencies(held: DataFrame, words: list[str]) -> dict[str, int]:
@@ -142,23 +142,31 @@ def document_frequencies(held: DataFrame, words: list[str]) -> dict[str, int]:
     return dict.fromkeys(words, 0) | {r["term"]: r["n"] for r in counts}
 
 
+def _numbers(values) -> Column:
+    return F.from_json(F.lit(json.dumps(list(values))), "array<double>")
+
+
 def _literal(words) -> Column:
     return F.from_json(F.lit(json.dumps(sorted(words))), "array<string>")
 
 
-def units_of(files: DataFrame, words: list[str], leading: set[str]) -> DataFrame:
-    """key, unit, kind, top and words of the units that have a leading word."""
-    known, lead = _literal(words), _literal(leading)
+def units_of(files: DataFrame, index: Index, near: float, leading: set[str] | None = None) -> DataFrame:
+    """key, unit, kind, top and words of the units that have a leading word and may reach ``near``.
+
+    What a unit's other words weigh at least, and what its known words weigh, bound its cosine from above; so prose around a
+    notice is left out before words are counted one by one.
+    """
+    known, lead = _literal(index.idf), _literal(index.leading if leading is None else leading)
     every = files.select("key", F.posexplode(F.split("text", LINE)).alias("place", "line")).select("key", "place", _words(F.col("line")).alias("words"))
     order = Window.partitionBy("key").orderBy("place")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
     every = every.withColumn("first", F.coalesce(F.size(F.lag("words").over(order)), F.lit(0)) == 0).where(F.size("words") > 0)
     # A paragraph begins after a blank line or at the start; runs, of lines that are alike in this, leave blank lines out.
-    like = (2 * F.size(F.filter("words", lambda x: F.array_contains(known, x))) >= F.size("words")).alias("like")
-    line = materialise(every.select("key", "place", "words", "first", like), "licence-lines")
-    turn = (F.col("like") != F.coalesce(F.lag("like").over(order), F.lit(False))).cast("int")
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    line = line.select("key", "words", "like", (F.row_number().over(order) - 1).alias("at"), F.sum(F.col("first").cast("int")).over(upto).alias("paragraph"), turn.alias("turn"), "place")
-    line = line.withColumn("run", F.sum("turn").over(upto))
+    like = 2 * F.size(F.array_intersect("words", known)) >= F.size(F.array_distinct("words"))
+    line = every.select("key", "place", "words", "first", like.alias("like"))
+    line = line.withColumn("turn", (F.col("like") != F.coalesce(F.lag("like").over(order), F.lit(False))).cast("int"))
+    line = line.select("key", "words", "like", (F.row_number().over(order) - 1).alias("at"), F.sum(F.col("first").cast("int")).over(upto).alias("paragraph"), F.sum("turn").over(upto).alias("run"))
+    line = materialise(line, "licence-lines")
 
     def together(by: str, of: DataFrame) -> DataFrame:
         grouped = of.groupBy("key", F.col(by).cast("int").alias("unit")).agg(F.array_sort(F.collect_list(F.struct("at", "words"))).alias("parts"))
@@ -168,7 +176,13 @@ def units_of(files: DataFrame, words: list[str], leading: set[str]) -> DataFrame
     single = line.select("key", F.col("at").alias("unit"), F.lit("line").alias("kind"), (F.col("at") < TOP).alias("top"), "words")
     whole = files.select("key", F.lit(0).alias("unit"), F.lit("whole").alias("kind"), F.lit(True).alias("top"), _words(F.col("text")).alias("words"))
     found = single.union(together("paragraph", line)).union(together("run", line.where("like"))).union(whole)
-    return found.where(F.size(F.array_intersect("words", lead)) > 0)
+    found = found.where(F.size(F.array_intersect("words", lead)) > 0)
+    weights = _numbers(index.idf[w] for w in sorted(index.idf))
+    shared = F.array_intersect("words", known)
+    # Terms are few; each is counted in the unit.
+    heavy = F.aggregate(shared, F.lit(0.0), lambda total, w: total + F.pow(F.get(weights, F.array_position(known, w).cast("int") - 1) * F.size(F.filter("words", lambda x: x == w)), F.lit(2.0)))
+    others = (F.size(F.array_distinct("words")) - F.size(shared)) * index.most**2
+    return found.where((1 - near**2) * heavy * (1 + 1e-9) >= near**2 * others)
 
 
 def match_units(units: DataFrame, index: Index) -> DataFrame:
@@ -195,18 +209,18 @@ def own_licences(files: DataFrame, near: float = NEAR) -> DataFrame:
     """key, licence, score and is_licence_file of the ``keyed`` files that have a licence of their own."""
     words = vocabulary()
     held = materialise(held_words(files, words), "licence-words")
-    index = Index(files.count(), document_frequencies(held, words), near)
+    index = Index(held.count(), document_frequencies(held, words), near)
     named = materialise(held.where(F.size(F.array_intersect("held", _literal(index.leading))) > 0).select("key").distinct(), "licence-files", narrow=True)
     if named.count() <= MAX_BROADCAST_FILES:
         some = files.join(F.broadcast(named), "key", "left_semi")
     else:
         some = files.where(F.size(F.array_intersect(_words(F.coalesce(F.col("text"), F.lit(""))), _literal(index.leading))) > 0)
-    some = materialise(some.select("key", "text"), "licence-texts").dropDuplicates(["key"])
-    units = materialise(units_of(some, words, index.leading), "licence-units")
+    some = materialise(some.select("key", "text").dropDuplicates(["key"]), "licence-texts")
+    units = materialise(units_of(some, index, near), "licence-units")
     matched = match_units(units, index).where(F.col("cosine") >= near)
     best = F.min(F.struct((-F.col("cosine")).alias("minus"), "licence"))
     held_by = lambda kind: F.col("kind") == kind
-    totals = units.where("kind = 'whole'").select("key", F.size("words").alias("total"))
+    totals = some.select("key", F.size(_words(F.col("text"))).alias("total"))
     own = matched.groupBy("key").agg(
         best.alias("best"), F.bool_or(held_by("whole") | F.col("title")).alias("as_whole"),
         F.greatest(F.sum(F.when(held_by("line"), F.col("n_words")).otherwise(0)), F.max("n_words")).alias("held"),

@@ -81,8 +81,8 @@ def test_leading_words_lose_nothing(spark):
     words_ = lic.vocabulary()
     counts = lic.document_frequencies(lic.held_words(files, words_), words_)
     index = lic.Index(len(WRAPPED), counts, lic.NEAR)
-    every = lic.units_of(files, words_, set(words_))
-    lead = {(r.key, r.kind, r.unit) for r in lic.units_of(files, words_, index.leading).collect()}
+    every = lic.units_of(files, index, 0.0, set(words_))
+    lead = {(r.key, r.kind, r.unit) for r in lic.units_of(files, index, lic.NEAR).collect()}
     near = {(r.key, r.kind, r.unit) for r in lic.match_units(every, index).where(f"cosine >= {lic.NEAR}").collect()}
     assert near <= lead and len(near) > 10 and len(lead) < every.count()
 
