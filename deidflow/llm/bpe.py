@@ -14,6 +14,7 @@ case of characters are those of this Python's Unicode version; newer characters
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import json
@@ -29,7 +30,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import scratch_path, tidy, write_bytes
+from .shared import drop_table, materialise, scratch_path, tidy, write_bytes
 
 VOCABULARY = "word_bpe_49k.json"
 END = "</w>"
@@ -67,14 +68,14 @@ class Transducer:
         self.ids, at = view[at : at + 4 * self.n_ids].cast("I"), at + 4 * self.n_ids
         self.width, at = view[at : at + 2 * self.n_arcs].cast("H"), at + 2 * self.n_arcs
         self.final, at = view[at : at + self.n_arcs], at + self.n_arcs
-        self.find, self.labels = buffer.find, at
+        self.find = bytes(view[at : at + self.n_arcs]).find  # a label is one byte; the other tables stay where they are
 
     def rank(self, word: bytes) -> int:
-        skip, target, width, ends, find, labels = self.skip, self.target, self.width, self.final, self.find, self.labels
+        skip, target, width, ends, find = self.skip, self.target, self.width, self.final, self.find
         arc, wide, found, final = self.root, self.root_width, 0, self.start_final
-        for k in range(len(word)):
-            i = find(word[k : k + 1], labels + arc, labels + arc + wide) - labels
-            if i < 0 or not wide:
+        for byte in word:
+            i = find(byte, arc, arc + wide)
+            if i < 0:
                 return -1
             found += skip[i] + (1 if final else 0)  # a word that ends here comes before longer ones
             final, arc, wide = ends[i], target[i], width[i]
@@ -204,12 +205,18 @@ _SPLIT = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\
 _ODD = re.compile("[\x1c-\x1f]")
 
 
+@functools.cache
 def _piece_pattern() -> re.Pattern:
     import regex
 
     return regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
+def _whole(word: str) -> bool:
+    """Whether the word is one pre-token."""
+    return _piece_pattern().fullmatch(word) is not None
+
+
 class Encoder:
     """Encodes and decodes texts with a model and its lexicon; results of white-space words are memoised."""
 
@@ -223,10 +230,12 @@ class Encoder:
 
     def word(self, word: str) -> tuple[str, int, str]:
         """(ids, their number, decoded tokens) of a word without white space."""
-        if word.isascii() and word.isalpha():
+        if word.isascii():  # in its own normal form
             low = word.lower()
-            return self.pieces.get(low) or self.piece(low)
-        low = unicodedata.normalize("NFC", word).replace("\u03a3", "\u03c3").lower()
+            if word.isalpha():
+                return self.pieces.get(low) or self.piece(low)
+        else:
+            low = unicodedata.normalize("NFC", word).replace("\u03a3", "\u03c3").lower()
         found = [self.pieces.get(p) or self.piece(p) for p in self.pattern.findall(low)]
         if len(found) == 1:
             return found[0]
@@ -316,13 +325,22 @@ def default_vocabulary() -> str:
 def frequent_words(docs: DataFrame, most: int = FREQUENT) -> list[str]:
     """The most frequent normalised words of all whole texts, up to ``most`` of ``LONGEST`` letters, as pre-tokens.
 
-    Words are counted before they are shuffled; the driver gets the first ``most`` alone.
+    Words are counted in parts before they are shuffled. Counts of counts tell from which count on ``most`` words or fewer are
+    left, so that the driver gets no more than these, from however many tasks.
     """
     words = docs.select(F.explode(F.split(F.lower("text"), " ")).alias("word")).where(F.length("word").between(2, LONGEST))
-    counts = words.groupBy("word").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(most)
-    whole = _piece_pattern().fullmatch
-    plain = (unicodedata.normalize("NFC", r["word"]) for r in counts.collect())
-    return [w for w in plain if w.isalpha() and w == w.lower() and whole(w)]
+    counts = materialise(words.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "bpe-words", narrow=True)
+    steps = F.floor(F.log2("n") * 16).cast("int")  # classes of counts, some hundred in all
+    classes = sorted((r["step"], r["words"]) for r in counts.groupBy(steps.alias("step")).agg(F.count("*").alias("words")).collect())
+    least, total = None, 0
+    for step, size in reversed(classes):
+        if total + size > most:
+            break
+        least, total = step, total + size
+    found = [] if least is None else counts.where(steps >= least).select("word").collect()
+    drop_table(docs.sparkSession, counts)
+    plain = sorted(unicodedata.normalize("NFC", r["word"]) for r in found)
+    return [w for w in plain if w.isalpha() and w == w.lower() and _whole(w)]
 
 
 def encode(docs: DataFrame, path: str | None = None, frequent: Iterable[str] | None = None, ids: bool = True) -> DataFrame:
@@ -344,6 +362,8 @@ def encode(docs: DataFrame, path: str | None = None, frequent: Iterable[str] | N
                     out.append(pa.array([encoder.ids(t) for t in texts], pa.list_(pa.int32())))
                     names.append("token_ids")
                 yield pa.RecordBatch.from_arrays(out, names)
+        encoder.memo.clear()
+        encoder.pieces.clear()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * ids
     return docs.select("doc_id", "text").mapInArrow(batches, schema)

@@ -84,6 +84,6 @@ def test_a_word_of_200_000_letters_is_quick(encoder):
 def test_frequent_words_are_counted_and_change_nothing(spark):
     texts = ["alphaomega Zq7 alphaomega", "ALPHAOMEGA betaomega it's", "betaomega x\ny alphaomega", None, "", "É É É"]
     df = spark.createDataFrame([(k, t, "w", 1) for k, t in enumerate(texts)], "doc_id long, text string, word string, n int")
-    assert bpe.frequent_words(df) == ["alphaomega", "betaomega"] and bpe.frequent_words(df, 1) == ["alphaomega"] and bpe.frequent_words(df.limit(0)) == []
+    assert bpe.frequent_words(df) == ["alphaomega", "betaomega"] and bpe.frequent_words(df, 1) == ["alphaomega"] and bpe.frequent_words(df, 0) == [] and bpe.frequent_words(df.limit(0)) == []
     with_, without = (sorted(tuple(r) for r in bpe.encode(df, frequent=f, ids=False).collect()) for f in (None, ()))
     assert with_ == without
