@@ -329,7 +329,7 @@ def frequent_words(docs: DataFrame, most: int = FREQUENT) -> list[str]:
     left, so that the driver gets no more than these, from however many tasks.
     """
     words = docs.select(F.explode(F.split(F.lower("text"), " ")).alias("word")).where(F.length("word").between(2, LONGEST))
-    counts = materialise(words.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "bpe-words", narrow=True)
+    counts = materialise(words.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "bpe-words")
     steps = F.floor(F.log2("n") * 16).cast("int")  # classes of counts, some hundred in all
     classes = sorted((r["step"], r["words"]) for r in counts.groupBy(steps.alias("step")).agg(F.count("*").alias("words")).collect())
     least, total = None, 0
