@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a table that is written as Parquet and read as the next one's ``docs``.
 All but the last return the columns of ``documents``.
+
+Defined results: a document with a null or empty text fails the quality rules and goes, as do those of rejected hosts; a null
+doc_id is kept, without near-duplicates; rows repeated with id and text are one document after near-dedup; documents of
+any length pass whole; ties in a group of near-duplicates go to the smallest doc_id; labels of documents that are gone, or
+with nulls, have no part; without labels all rates are 1; other columns, whatever their names, pass through all stages
+but the last; empty tables give an empty result.
 """
 
 from __future__ import annotations
