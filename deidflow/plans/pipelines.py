@@ -113,7 +113,7 @@ def _scrubbed_file(data: bytes, pixels: np.ndarray | None, uri: str, salt: str,
     if pixels is not None:
         low, high = float(pixels.min()), float(pixels.max())
         put(
-            dicom.element("PixelData", pixels.tobytes()), dicom.element("WindowCenter", f"{(low + high) / 2:g}"), dicom.element("WindowWidth", f"{max(high - low, 1):g}"),
+            *dicom.pixel_elements(body, pixels), dicom.element("WindowCenter", f"{(low + high) / 2:g}"), dicom.element("WindowWidth", f"{max(high - low, 1):g}"),
             dicom.element("BurnedInAnnotation", "NO"),
         )
         audit.append(("(0028,0301)", "BurnedInAnnotation", "ATTEST", False))

@@ -7,6 +7,8 @@ syntaxes are refused for the file, which then carries an error instead of rows.
 from __future__ import annotations
 
 import hashlib
+import math
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -39,11 +41,13 @@ TAGS = {
     0x00186018: ("UL", "RegionLocationMinX0"), 0x0018601A: ("UL", "RegionLocationMinY0"), 0x0018601C: ("UL", "RegionLocationMaxX1"), 0x0018601E: ("UL", "RegionLocationMaxY1"),
     0x0020000D: ("UI", "StudyInstanceUID"), 0x0020000E: ("UI", "SeriesInstanceUID"), 0x00200010: ("SH", "StudyID"), 0x00200013: ("IS", "InstanceNumber"), 0x00200032: ("DS", "ImagePositionPatient"),
     0x00200037: ("DS", "ImageOrientationPatient"), 0x00200052: ("UI", "FrameOfReferenceUID"), 0x00280002: ("US", "SamplesPerPixel"), 0x00280004: ("CS", "PhotometricInterpretation"),
-    0x00280008: ("IS", "NumberOfFrames"), 0x00280010: ("US", "Rows"), 0x00280011: ("US", "Columns"), 0x00280030: ("DS", "PixelSpacing"), 0x00280100: ("US", "BitsAllocated"), 0x00280101: ("US", "BitsStored"),
+    0x00280006: ("US", "PlanarConfiguration"), 0x00280008: ("IS", "NumberOfFrames"), 0x00280010: ("US", "Rows"), 0x00280011: ("US", "Columns"), 0x00280030: ("DS", "PixelSpacing"), 0x00280100: ("US", "BitsAllocated"), 0x00280101: ("US", "BitsStored"),
     0x00280102: ("US", "HighBit"), 0x00280103: ("US", "PixelRepresentation"), 0x00280301: ("CS", "BurnedInAnnotation"), 0x00281050: ("DS", "WindowCenter"), 0x00281051: ("DS", "WindowWidth"),
     0x00400275: ("SQ", "RequestAttributesSequence"), 0x0040A124: ("UI", "UID"), 0x7FE00010: ("OW", "PixelData"),
 }
 NUMBERS = {name: number for number, (_, name) in TAGS.items()}
+#: UIDs of the roots in use, with the padding that they may have.
+_UID = re.compile(rb"(?:1\.[23]|2\.25)(?:\.[0-9]+)+(?:\\(?:1\.[23]|2\.25)(?:\.[0-9]+)+)*\0?")
 _FORMATS = {"US": "H", "SS": "h", "UL": "I", "SL": "i", "FL": "f", "FD": "d"}
 
 
@@ -96,11 +100,27 @@ def _elements(data: bytes, at: int, end: int, explicit: bool, stop_at: int | Non
             raise DicomError("compressed pixels")
         if at + length > end:
             raise DicomError("cut file")
-        out.append(Element(tag, vr, data[at : at + length]))
+        if vr == "UN":
+            out.append(_unlisted(tag, data, at, at + length, depth))
+        else:
+            out.append(Element(tag, vr, data[at : at + length]))
         at += length
     return out, at
 
 
+def _unlisted(tag: int, data: bytes, at: int, end: int, depth: int) -> Element:
+    """An element of unknown representation: a sequence if it is made of items to its end, a UID if it reads like one."""
+    value = data[at:end]
+    if value[:4] == struct.pack("<HH", ITEM >> 16, ITEM & 0xFFFF):
+        try:
+            items, stop = _items(data, at, end, False, depth)
+            if stop == end:
+                return Element(tag, "SQ", items)
+        except (DicomError, struct.error):
+            pass
+    return Element(tag, "UI" if _UID.fullmatch(value) else "UN", value)
+
+
 def _items(data: bytes, at: int, end: int, explicit: bool, depth: int) -> tuple[list[list[Element]], int]:
     items = []
     while at + 8 <= end:
@@ -160,7 +180,7 @@ def value_of(elements: list[Element], keyword: str) -> str | None:
 
 
 def frames(elements: list[Element]) -> list[np.ndarray]:
-    """Frames of H x W or H x W x C samples in the file's own integer type."""
+    """Frames of H x W or H x W x C samples in the file's own integer type; colours that come plane by plane are put pixel by pixel."""
     number = lambda k, default: int(float(value_of(elements, k) or default))
     rows, cols, n, samples, bits, signed = (number(k, v) for k, v in (("Rows", 0), ("Columns", 0), ("NumberOfFrames", 1), ("SamplesPerPixel", 1), ("BitsAllocated", 8), ("PixelRepresentation", 0)))
     raw = next((e.value for e in elements if e.tag == PIXELS), None)
@@ -170,9 +190,27 @@ def frames(elements: list[Element]) -> list[np.ndarray]:
     size = rows * cols * samples
     if len(raw) < size * n * kind.itemsize:
         raise DicomError("cut pixels")
-    shape = (rows, cols) if samples == 1 else (rows, cols, samples)
     all_samples = np.frombuffer(raw, kind, size * n)
-    return [all_samples[k * size : (k + 1) * size].reshape(shape) for k in range(n)]
+    parts = [all_samples[k * size : (k + 1) * size] for k in range(n)]
+    if samples == 1:
+        return [p.reshape(rows, cols) for p in parts]
+    if number("PlanarConfiguration", 0) == 1:
+        return [np.ascontiguousarray(p.reshape(samples, rows, cols).transpose(1, 2, 0)) for p in parts]
+    return [p.reshape(rows, cols, samples) for p in parts]
+
+
+def pixel_elements(elements: list[Element], pixels: np.ndarray) -> list[Element]:
+    """What the file says about new samples (those of ``frames``, one after another): type, bits, frames and order of colours."""
+    size = math.prod(int(float(value_of(elements, k) or 1)) for k in ("Rows", "Columns", "SamplesPerPixel"))
+    bits, before = 8 * pixels.dtype.itemsize, value_of(elements, "BitsAllocated")
+    made = [element("PixelData", pixels.tobytes()), element("BitsAllocated", bits), element("PixelRepresentation", int(pixels.dtype.kind == "i"))]
+    if str(bits) != before:  # else the file's own bits stored hold
+        made += [element("BitsStored", bits), element("HighBit", bits - 1)]
+    if int(float(value_of(elements, "SamplesPerPixel") or 1)) > 1:
+        made.append(element("PlanarConfiguration", 0))
+    if pixels.size != size:
+        made.append(element("NumberOfFrames", pixels.size // size))
+    return made
 
 
 # --- writing -------------------------------------------------------------------------------------------------------

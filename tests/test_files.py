@@ -122,3 +122,45 @@ def test_commands(tmp_path, capsys):
     assert cli.main(["deidentify", str(tmp_path / "none"), str(tmp_path / "out")]) == 2
     lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
     assert lines[1]["runs"][0]["saved"] == 1 and lines[2]["status"] == "pass"
+
+
+def _colour_file(planar):
+    rgb = np.arange(3 * 4 * 5, dtype=np.uint8).reshape(4, 5, 3)
+    raw = (rgb.transpose(2, 0, 1) if planar else rgb).tobytes()
+    e = dicom.element
+    return rgb, dicom.build([
+        e("SOPClassUID", "1.2.3"), e("SOPInstanceUID", "1.2.4"), e("Rows", 4), e("Columns", 5), e("SamplesPerPixel", 3), e("PhotometricInterpretation", "RGB"),
+        e("PlanarConfiguration", planar), e("BitsAllocated", 8), e("BitsStored", 8), e("HighBit", 7), e("PixelRepresentation", 0), e("PixelData", raw),
+    ])
+
+
+@pytest.mark.parametrize("planar", [0, 1])
+def test_colours_by_plane_or_by_pixel(planar):
+    rgb, data = _colour_file(planar)
+    (frame,) = dicom.frames(dicom.parse(data))
+    assert (frame == rgb).all()
+    frame = frame.copy()
+    frame[1:3, 2:4] = 0
+    new, _ = pipelines._scrubbed_file(data, frame.ravel(), "u", "salt", {}, False)
+    elements = dicom.parse(new)
+    assert dicom.value_of(elements, "PlanarConfiguration") == "0" and (dicom.frames(elements)[0] == frame).all()
+
+
+def _implicit(tag, value):
+    import struct
+
+    return struct.pack("<HHI", tag >> 16, tag & 0xFFFF, len(value)) + value
+
+
+def test_unlisted_sequences_and_uids_of_implicit_files_are_scrubbed():
+    name, uid = dicom.NUMBERS["PatientName"], b"1.2.840.99999.7\0"
+    item = _implicit(name, b"Doe^Jane") + _implicit(0x00080018, uid)
+    body = _implicit(0x00080018, b"1.2.3.4\0") + _implicit(0x00321064, _implicit(dicom.ITEM, item)) + _implicit(0x00400555, uid) + _implicit(0x00400556, b"\xfe\xff\x00\xe0junk")
+    meta = dicom._written([dicom.Element(dicom.NUMBERS["TransferSyntaxUID"], "UI", dicom.IMPLICIT)])
+    data = b"\0" * 128 + b"DICM" + meta + body
+    elements = dicom.parse(data)
+    assert [p for p, e in dicom.walk(elements) if e.tag == name] == ["(0032,1064)[0]"]
+    assert next(e for e in elements if e.tag == 0x00400556).vr == "UN"
+    new, audit = pipelines._scrubbed_file(data, None, "u", "salt", {dicom.name(name): "REMOVE"}, False)
+    assert b"Doe" not in new and uid[:-1] not in new and ("(0010,0010)", "PatientName", "REMOVE", True) in audit
+    assert sum(a[2] == "REMAP" for a in audit) == 3
