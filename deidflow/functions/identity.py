@@ -43,11 +43,22 @@ def remap_uid(uid: Column, salt: str, fallback: Column | None = None) -> Column:
     source = trim(F.coalesce(uid, F.lit("")))
     if fallback is not None:
         source = F.when(source == "", trim(F.coalesce(fallback, F.lit("")))).otherwise(source)
-    digest = F.sha2(F.concat(F.lit(salt), source), 256)
-    digits = F.concat(*(F.lpad(F.conv(F.substring(digest, k, 15), 16, 10), 19, "0") for k in (1, 16, 31)))
-    # A component has no leading zero: the first digit is 1 to 9.
-    head = (F.conv(F.substring(digest, 46, 4), 16, 10).cast("long") % 9 + 1).cast("string")
-    return F.concat(F.lit(rules.UID_ROOT), head, F.substring(digits, 1, 63 - len(rules.UID_ROOT)))
+
+    def spelled(digest: Column) -> Column:
+        digits = F.concat(*(F.lpad(F.conv(F.substring(digest, k, 15), 16, 10), 19, "0") for k in (1, 16, 31)))
+        # A component has no leading zero: the first digit is 1 to 9.
+        head = (F.conv(F.substring(digest, 46, 4), 16, 10).cast("long") % 9 + 1).cast("string")
+        return F.concat(F.lit(rules.UID_ROOT), head, F.substring(digits, 1, 63 - len(rules.UID_ROOT)))
+
+    # The digest is worked out once, not once for each of its parts.
+    return F.get(F.transform(F.array(F.sha2(F.concat(F.lit(salt), source), 256)), spelled), F.lit(0))
+
+
+def remap_uids(value: Column, salt: str, keyword: Column | None = None) -> Column:
+    """Each of several UIDs parted by backslashes; those that name no instance stay as they are."""
+    keyword = F.lit("") if keyword is None else keyword
+    each = F.transform(F.split(value, r"\\"), lambda u: F.when(is_preserved_uid(keyword, u), u).otherwise(remap_uid(u, salt)))
+    return F.array_join(each, "\\")
 
 
 def apply_action(action: Column, value: Column, vr: Column, salt: str) -> Column:

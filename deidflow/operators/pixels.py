@@ -1,8 +1,8 @@
-"""Masks of rectangles, as rows of scan lines and bitmaps; no image is held in a row."""
+"""Masks of rectangles, as stretches of scan lines; no image is held in a row and no pixel is one."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from deidflow.functions.geometry import clamp
@@ -17,18 +17,18 @@ def clamped(boxes: DataFrame, width: int, height: int) -> DataFrame:
     )
 
 
-def mask_pixels(boxes: DataFrame, key: str, width: int) -> DataFrame:
-    """key and pixel number of every pixel of the rectangles x0, y0, x1, y1; equal rectangles count once."""
+def scan_lines(boxes: DataFrame, key: str) -> DataFrame:
+    """key, row, x0 and x1 of the rectangles' lines: the longest of those that begin at one place, so a line has no more rows than pixels."""
     solid = boxes.where("x1 > x0 AND y1 > y0").select(key, "x0", "y0", "x1", "y1").distinct()
     lines = solid.select(key, "x0", "x1", F.explode(F.sequence("y0", F.col("y1") - 1)).alias("row"))
-    return lines.select(key, F.explode(F.sequence(F.col("row") * width + F.col("x0"), F.col("row") * width + F.col("x1") - 1)).alias("pixel"))
+    return lines.groupBy(key, "row", "x0").agg(F.max("x1").alias("x1"))
 
 
-def union_area(boxes: DataFrame, key: str, width: int) -> DataFrame:
-    """key and the number of distinct pixels, or-ed as bitmaps by bucket: partial results are small whatever overlaps."""
-    pixels = mask_pixels(boxes, key, width).withColumn("pixel", F.col("pixel").cast("long"))
-    buckets = pixels.groupBy(key, F.bitmap_bucket_number("pixel").alias("bucket")).agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("pixel"))).alias("n"))
-    return buckets.groupBy(key).agg(F.sum("n").alias("pixels"))
+def union_area(boxes: DataFrame, key: str, width: int | None = None) -> DataFrame:
+    """key and the number of distinct pixels: on each line, what a stretch adds to those that begin before it."""
+    before = Window.partitionBy(key, "row").orderBy("x0").rowsBetween(Window.unboundedPreceding, -1)
+    lines = scan_lines(boxes, key).withColumn("_from", F.greatest(F.col("x0"), F.coalesce(F.max("x1").over(before), F.col("x0"))))
+    return lines.groupBy(key).agg(F.sum(F.greatest(F.lit(0), F.col("x1") - F.col("_from"))).cast("long").alias("pixels"))
 
 
 def phi_area(regions: DataFrame, key: str, width: int, height: int) -> DataFrame:

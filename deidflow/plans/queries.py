@@ -129,7 +129,10 @@ def uid_remap_integrity(spark, d):
 
 
 @query(
-    f"WITH {_ELEMENTS} SELECT uri, 1::BIGINT AS removed, 1::BIGINT AS private_removed, 3::BIGINT AS dummied, 1::BIGINT AS zeroed FROM e GROUP BY uri"
+    _SCRUBBED.rstrip() + ", a AS (SELECT uri, tag, value_out FROM o WHERE path = '' AND (action IS NULL OR action <> 'REMOVE')) "
+    "SELECT e.uri, count(*) FILTER (WHERE a.uri IS NULL AND ('0x' || substr(e.tag, 2, 4))::INT % 2 = 0) AS removed, count(*) FILTER (WHERE a.uri IS NULL AND ('0x' || substr(e.tag, 2, 4))::INT % 2 = 1) AS private_removed, "
+    "count(*) FILTER (WHERE value_out LIKE 'TOKEN_%' AND value_out <> e.value) AS dummied, count(*) FILTER (WHERE value_out IN ('', '0', '00000000') AND value_out <> e.value) AS zeroed "
+    "FROM e LEFT JOIN a ON a.uri = e.uri AND a.tag = e.tag WHERE e.path = '' GROUP BY e.uri"
 )
 def header_diff(spark, d):
     before = _customer_elements(spark, d).where("path = ''")
@@ -520,3 +523,64 @@ def dicom_roundtrip_fixture(spark, d):
     from deidflow.plans import fixtures
 
     return fixtures.roundtrip(spark)
+
+
+# --- further operators -----------------------------------------------------------------------------------------------
+
+_MODALITY = "CASE l_linenumber % 5 WHEN 0 THEN 'ct' WHEN 1 THEN 'MR' WHEN 2 THEN 'SR' WHEN 3 THEN 'US' END"
+
+
+@query(f"SELECT l_orderkey, l_linenumber, {_MODALITY} AS modality FROM lineitem WHERE upper({_MODALITY}) IN ({', '.join(repr(m) for m in rules.MODALITIES)})")
+def accepted_modalities(spark, d):
+    """Slices of the modalities that are read; others, and those without one, are not."""
+    slices = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.expr(_MODALITY).alias("modality"))
+    return series.accepted(slices)
+
+
+@query(f"SELECT doc_id, {_sql_token('text')} AS token FROM documents")
+def token_of_bytes(spark, d):
+    """Tokens of whole texts as raw bytes."""
+    return _t(spark, d, "documents").select("doc_id", identity.token_bytes(F.coalesce("text", F.lit("")).cast("binary"), SALT).alias("token"))
+
+
+_UIDS = "'1.2.3.' || o_orderkey || chr(92) || '1.2.840.10008.1.2' || chr(92) || '1.2.3.' || o_custkey"
+
+
+@query(
+    f"SELECT o_orderkey, {_sql_uid(chr(39) + '1.2.3.' + chr(39) + ' || o_orderkey')} || chr(92) || '1.2.840.10008.1.2' || chr(92) || {_sql_uid(chr(39) + '1.2.3.' + chr(39) + ' || o_custkey')} AS uids FROM orders"
+)
+def uid_remap_multi_valued(spark, d):
+    """Several UIDs in one value; those of the standard stay."""
+    return _t(spark, d, "orders").select("o_orderkey", identity.remap_uids(F.expr(_UIDS), SALT).alias("uids"))
+
+
+_LABEL = "CASE l_linenumber % 4 WHEN 0 THEN 'B-PATIENT' WHEN 1 THEN 'I-DATE' WHEN 2 THEN 'O' ELSE 'B-DRUG' END"
+
+
+@query(
+    f"SELECT l_orderkey, bool_or(regexp_replace({_LABEL}, '^[BI]-', '') IN ({', '.join(repr(m) for m in rules.PHI_LABELS)})) AS phi FROM lineitem GROUP BY l_orderkey"
+)
+def ner_labels(spark, d):
+    """Whether a model's labels of a fragment name personal data."""
+    labels = _t(spark, d, "lineitem").select("l_orderkey", fragments.is_phi_label(F.array(F.expr(_LABEL))).alias("phi"))
+    return labels.groupBy("l_orderkey").agg(F.bool_or("phi").alias("phi"))
+
+
+@query(
+    rf"SELECT p_partkey, CASE WHEN len(string_split_regex({_SQL_TRIM % 'name'}, '\s+')) <= 3 THEN 'The patient record shows ' || name || '.' ELSE name END AS sentence "
+    "FROM (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN '  ' || p_name ELSE p_name || ' ' || p_type END AS name FROM part)"
+)
+def carrier_sentences(spark, d):
+    """Short fragments inside a sentence."""
+    name = F.expr("CASE WHEN p_partkey % 3 = 0 THEN '  ' || p_name ELSE p_name || ' ' || p_type END")
+    return _t(spark, d, "part").select("p_partkey", fragments.carrier(name).alias("sentence"))
+
+
+@query(
+    f"WITH {_CLAMPED}, l AS (SELECT DISTINCT user_id // 10 AS study, unnest(range(y0, y1)) AS y, x0, x1 FROM c WHERE x1 > x0 AND y1 > y0), "
+    f"p AS (SELECT DISTINCT study, y, unnest(range(x0, x1)) AS x FROM l) SELECT study, count(*) AS diagnostic_pixels, {WIDTH * HEIGHT} - count(*) AS phi_pixels FROM p GROUP BY study"
+)
+def us_phi_area_of_series(spark, d):
+    """The ultrasound mask of a series: the union of its slices' diagnostic rectangles."""
+    regions = _boxes(spark, d).withColumn("study", F.expr("user_id div 10"))
+    return pixels.phi_area(regions, "study", WIDTH, HEIGHT)
