@@ -36,3 +36,8 @@ def output_path(relative: Column, salt: str, out: str, suffix: Column) -> Column
     name = F.concat(F.regexp_replace(F.element_at(parts, -1), r"([^.])\.[^.]*$", "$1"), suffix)
     middle = F.when(F.size(parts) > 2, F.array_join(F.slice(parts, F.lit(2), F.size(parts) - 2), "/"))
     return F.concat_ws("/", F.lit(out), target_token(relative, salt), middle, name)
+
+
+def run_folder(out: str, day) -> str:
+    """The folder of a run that begins at ``day`` (a date or time)."""
+    return f"{out.rstrip('/')}/run_{day.strftime('%Y%m%d_%H%M%S')}"

@@ -32,6 +32,13 @@ def bench_summary(runs: DataFrame, seconds: str = "seconds", ok: str = "ok") ->
     )
 
 
+def bench_quality(files: DataFrame, f1: str = "f1", truth: str = "truth", before: str = "bytes_in", after: str = "bytes_out") -> DataFrame:
+    """Mean and population deviation of F1 over files with a truth, and bytes out by bytes in (1 at least)."""
+    scored = F.when(F.col(truth) > 0, F.col(f1))
+    ratio = F.coalesce(F.sum(after), F.lit(0)) / F.greatest(F.coalesce(F.sum(before), F.lit(0)), F.lit(1))
+    return files.agg(F.count(scored).alias("n_scored"), F.round(F.avg(scored), 4).alias("f1_mean"), F.round(F.stddev_pop(scored), 4).alias("f1_std"), F.round(ratio, 4).alias("bytes_ratio"))
+
+
 def ground_truth_join(detections: DataFrame, truth: DataFrame, on: list[str], least: float = 0.5) -> DataFrame:
     """Pairs of the same frame whose rectangles (x, y, w, h) overlap by ``least`` or more: equal keys first, overlap as the rest."""
     t = truth.select(*on, *(F.col(c).alias(f"t_{c}") for c in ("x", "y", "w", "h")), F.col("id").alias("truth_id"))

@@ -42,6 +42,26 @@ def run_summary(detections: DataFrame) -> DataFrame:
     return detections.agg(F.countDistinct("source_path").alias("files_with_detections"), F.count("*").alias("regions"), *by)
 
 
+def tags_by_action(tags: DataFrame) -> DataFrame:
+    """Audit rows by action, and of how many files."""
+    return tags.groupBy("action").agg(F.count("*").alias("n_tags"), F.countDistinct("source_path").alias("n_files"))
+
+
+def header_audit(tags: DataFrame, limit: int = 30) -> DataFrame:
+    """The first ``limit`` audit rows in the order of path and tag."""
+    return tags.orderBy("source_path", "tag", "action").limit(limit)
+
+
+def job_summary(files: DataFrame, key: str = "source_path") -> DataFrame:
+    """path and the JSON entry of each file of a job; files of one name in two folders stay apart."""
+    return files.select(F.col(key).alias("path"), F.to_json(F.struct(F.col(key).alias("path"), *(c for c in files.columns if c != key))).alias("entry"))
+
+
+def artifacts(paths: DataFrame, path: str = "path") -> DataFrame:
+    """Distinct paths in order, with the extension in lower case."""
+    return paths.select(path).distinct().withColumn("kind", F.lower(F.regexp_extract(path, r"\.([^./]+)$", 1))).orderBy(path)
+
+
 def by_source_name(rows: DataFrame, name: str, key: str = "source_path") -> DataFrame:
     return rows.where(F.col(key).endswith(name))
 

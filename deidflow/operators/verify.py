@@ -73,3 +73,10 @@ def verdict(findings: DataFrame) -> DataFrame:
     """One row: failures, warnings, status."""
     bad = F.count_if(F.col("severity") == "error")
     return findings.agg(bad.alias("failures"), F.count_if(F.col("severity") == "warning").alias("warnings"), F.when(bad > 0, "fail").otherwise("pass").alias("status"))
+
+
+def totals(files: DataFrame, checks: list[dict], findings: DataFrame, run_checks: int = 0) -> DataFrame:
+    """One row: files, checks evaluated (each file check on each file, and the run's), failures, warnings, passed, status."""
+    n = files.agg(F.count("*").alias("files"))
+    out = n.crossJoin(verdict(findings)).withColumn("checks_evaluated", F.col("files") * len(checks) + run_checks)  # one row and one row
+    return out.withColumn("passed", F.col("checks_evaluated") - F.col("failures") - F.col("warnings"))

@@ -174,7 +174,7 @@ def run_dicom(
                 try:
                     if not error:
                         parts = [np.frombuffer(f["pixels"], np.dtype(f["dtype"])) for f in r.all]
-                        data, found_audit = _scrubbed_file(r.content, np.concatenate(parts) if parts else None, r.uri, salt, table, False)
+                        data, found_audit = _scrubbed_file(r.content, np.concatenate(parts) if parts else None, r.uri, salt, table, series)
                         audit = [dict(zip(("tag", "keyword", "action", "redacted"), a)) for a in found_audit]
                         uid, new = (dicom.value_of(dicom.parse(x, pixels=False), "SOPInstanceUID") for x in (r.content, data))
                 except Exception as e:  # noqa: BLE001  the file fails, not the run

@@ -584,3 +584,58 @@ def us_phi_area_of_series(spark, d):
     """The ultrasound mask of a series: the union of its slices' diagnostic rectangles."""
     regions = _boxes(spark, d).withColumn("study", F.expr("user_id div 10"))
     return pixels.phi_area(regions, "study", WIDTH, HEIGHT)
+
+
+@query(
+    "WITH f AS (SELECT c_custkey % 3 = 0 AS raw FROM customer JOIN nation ON c_nationkey = n_nationkey) "
+    f"SELECT count(*) AS files, sum(CASE WHEN raw THEN {len(_RAW_FAILS) + 2} ELSE 2 END)::BIGINT AS failures, 0::BIGINT AS warnings, 'fail' AS status, count(*) * {len(rules.checklist(rules.CHECKLIST)['dicom_checks'])} AS checks_evaluated, "
+    f"(count(*) * {len(rules.checklist(rules.CHECKLIST)['dicom_checks'])} - sum(CASE WHEN raw THEN {len(_RAW_FAILS) + 2} ELSE 2 END))::BIGINT AS passed FROM f"
+)
+def verify_totals(spark, d):
+    checks, out = rules.checklist(rules.CHECKLIST)["dicom_checks"], _outputs(spark, d)
+    return verify.totals(out.select("uri").distinct(), checks, verify.file_findings(out, checks))
+
+
+@query(
+    "SELECT count(s) AS n_scored, round(avg(s), 4) AS f1_mean, round(stddev_pop(s), 4) AS f1_std, round(sum(bytes_out) / greatest(sum(bytes_in), 1), 4) AS bytes_ratio FROM ("
+    "SELECT CASE WHEN l_linenumber > 1 THEN l_discount END AS s, l_orderkey AS bytes_in, l_partkey AS bytes_out FROM lineitem)"
+)
+def bench_quality(spark, d):
+    files = _t(spark, d, "lineitem").select(F.col("l_discount").alias("f1"), (F.col("l_linenumber") - 1).alias("truth"), F.col("l_orderkey").alias("bytes_in"), F.col("l_partkey").alias("bytes_out"))
+    return measures.bench_quality(files)
+
+
+_TAG_ROWS = "t AS (SELECT source || '/' || lang AS source_path, '(0010,' || lpad((doc_id % 7)::VARCHAR, 4, '0') || ')' AS tag, ['DUMMY', 'ZERO', 'REMOVE', 'KEEP', 'REMAP'][doc_id % 5 + 1] AS action FROM documents)"
+
+
+def _tag_rows(spark, d) -> DataFrame:
+    action = F.element_at(F.array(*(F.lit(a) for a in ("DUMMY", "ZERO", "REMOVE", "KEEP", "REMAP"))), (F.col("doc_id") % 5 + 1).cast("int"))
+    tag = F.concat(F.lit("(0010,"), F.lpad((F.col("doc_id") % 7).cast("string"), 4, "0"), F.lit(")"))
+    return _t(spark, d, "documents").select(F.concat("source", F.lit("/"), "lang").alias("source_path"), tag.alias("tag"), action.alias("action"))
+
+
+@query(f"WITH {_TAG_ROWS} SELECT action, count(*) AS n_tags, count(DISTINCT source_path) AS n_files FROM t GROUP BY action")
+def run_summary_tags(spark, d):
+    return reports.tags_by_action(_tag_rows(spark, d))
+
+
+@query(f"WITH {_TAG_ROWS} SELECT source_path, tag, action FROM t ORDER BY source_path NULLS FIRST, tag, action LIMIT 30")
+def header_audit_first(spark, d):
+    """The first 30 rows of the audit, as a report shows them."""
+    return reports.header_audit(_tag_rows(spark, d))
+
+
+@query(
+    "SELECT path, '{\"path\":\"' || path || '\",\"n_chars\":' || n || ',\"status\":\"' || status || '\"}' AS entry FROM "
+    "(SELECT source || '/' || doc_id AS path, n_chars AS n, CASE WHEN n_chars > 1000 THEN 'processed' ELSE 'failed' END AS status FROM documents WHERE source IS NOT NULL AND n_chars IS NOT NULL)"
+)
+def job_summary_entries(spark, d):
+    files = _t(spark, d, "documents").where("source IS NOT NULL AND n_chars IS NOT NULL")
+    status = F.when(F.col("n_chars") > 1000, "processed").otherwise("failed")
+    return reports.job_summary(files.select(F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("source_path"), "n_chars", status.alias("status")))
+
+
+@query("SELECT path, lower(regexp_extract(path, '\\.([^./]+)$', 1)) AS kind FROM (SELECT DISTINCT source || '/' || (doc_id % 50) || CASE WHEN doc_id % 2 = 0 THEN '.DCM' ELSE '.png' END AS path FROM documents)")
+def artifacts_sorted(spark, d):
+    name = F.concat("source", F.lit("/"), (F.col("doc_id") % 50).cast("string"), F.when(F.col("doc_id") % 2 == 0, ".DCM").otherwise(".png"))
+    return reports.artifacts(_t(spark, d, "documents").select(name.alias("path")))

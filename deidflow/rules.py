@@ -132,6 +132,29 @@ def salt(config: dict | None = None, env: dict[str, str] | None = None) -> str:
     return configured or env.get(SALT_VARIABLE, "") or DEFAULT_SALT
 
 
+def required(config: dict, path: str) -> Any:
+    """The value at a dotted path; a missing, null or blank one is an error that names the path."""
+    value: Any = config
+    for name in path.split("."):
+        value = value.get(name) if isinstance(value, dict) else None
+    if value is None or isinstance(value, str) and not value.strip():
+        raise RuleError(f"configuration needs {path}")
+    return value
+
+
+def workers(value: Any, most: int) -> int:
+    """A number of workers from 1 to ``most``; null or 0 asks for all."""
+    if value in (None, "", 0, "0"):
+        return most
+    try:
+        n = int(str(value))
+    except ValueError as e:
+        raise RuleError(f"not a number of workers: {value!r}") from e
+    if n < 0:
+        raise RuleError(f"not a number of workers: {value!r}")
+    return min(n, most)
+
+
 _TAG = re.compile(r"^\(?\s*(?:0x)?([0-9A-Fa-f]{4})\s*,?\s*(?:0x)?([0-9A-Fa-f]{4})\s*\)?$")
 
 

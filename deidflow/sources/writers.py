@@ -16,6 +16,18 @@ from pyspark.sql import functions as F
 
 
 def put(path: str, data: bytes) -> None:
+    """A local or mounted path is written beside its place and renamed; a path of another file system by that system."""
+    if "://" in path and not path.startswith("file:"):
+        from pyarrow import fs
+
+        system, where = fs.FileSystem.from_uri(path)
+        system.create_dir(os.path.dirname(where), recursive=True)
+        own = f"{where}.{uuid.uuid4().hex}.part"
+        with system.open_output_stream(own) as out:
+            out.write(data)
+        system.move(own, where)
+        return
+    path = path.removeprefix("file://").removeprefix("file:")
     os.makedirs(os.path.dirname(path), exist_ok=True)
     own = f"{path}.{uuid.uuid4().hex}.part"
     with open(own, "wb") as f:
@@ -33,7 +45,7 @@ def write_files(rows: DataFrame, path: str = "path", content: str = "content") -
                 try:
                     if data is None:
                         raise ValueError("not scrubbed")
-                    put(where.removeprefix("file:"), bytes(data))
+                    put(where, bytes(data))
                     out.append((where, True, None))
                 except (OSError, ValueError) as e:
                     out.append((where, False, type(e).__name__))
@@ -43,17 +55,22 @@ def write_files(rows: DataFrame, path: str = "path", content: str = "content") -
 
 
 def write_report(report: DataFrame, folder: str) -> None:
-    """One CSV with a header, also for no rows. Reports are aggregates of a run, small by nature."""
+    """A folder of CSV files with a header each, one file for no rows."""
     if "ocr_text" in report.columns:
         raise ValueError("a report may not hold text")
-    report.coalesce(1).write.mode("overwrite").option("header", "true").csv(folder)
+    _write_csv(report, folder)
+
+
+def _write_csv(report: DataFrame, folder: str) -> None:
+    # Rows grow with the detections, so they are not brought into one task; a report without rows still has its header.
+    (report.limit(0).coalesce(1) if report.isEmpty() else report).write.mode("overwrite").option("header", "true").csv(folder)
 
 
 def write_phi_report(report: DataFrame, folder: str, outputs: str) -> None:
     """The report with text, only to a folder that is set and is not the outputs' folder."""
     if not folder or os.path.realpath(folder) == os.path.realpath(outputs):
         raise ValueError("the report with text needs a folder of its own")
-    report.coalesce(1).write.mode("overwrite").option("header", "true").csv(folder)
+    _write_csv(report, folder)
 
 
 def copy_for_review(rows: DataFrame, review: str, root: str) -> DataFrame:

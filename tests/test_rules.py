@@ -36,3 +36,22 @@ def test_bad_rules_fail_early():
         with pytest.raises(rules.RuleError):
             rules.checklist(bad)
     assert len(rules.checklist(rules.CHECKLIST)["dicom_checks"]) == 11
+
+
+def test_required_values_and_workers():
+    config = {"a": {"b": 3, "c": " ", "d": None}}
+    assert rules.required(config, "a.b") == 3 and [rules.workers(v, 8) for v in (None, 0, "4", 20)] == [8, 8, 4, 8]
+    for path in ("a.c", "a.d", "a.x", "a.b.z"):
+        with pytest.raises(rules.RuleError, match=path):
+            rules.required(config, path)
+    for value in ("many", -1):
+        with pytest.raises(rules.RuleError):
+            rules.workers(value, 8)
+
+
+def test_run_folder():
+    import datetime
+
+    from deidflow.functions import paths
+
+    assert paths.run_folder("/out/", datetime.datetime(2024, 2, 3, 4, 5, 6)) == "/out/run_20240203_040506"
