@@ -31,6 +31,12 @@ def union_area(boxes: DataFrame, key: str, width: int | None = None) -> DataFram
     return lines.groupBy(key).agg(F.sum(F.greatest(F.lit(0), F.col("x1") - F.col("_from"))).cast("long").alias("pixels"))
 
 
+def union_with(boxes: DataFrame, existing: DataFrame, key: str) -> DataFrame:
+    """``union_area`` of the rectangles and those of a mask that stands already."""
+    columns = [key, "x0", "y0", "x1", "y1"]
+    return union_area(boxes.select(*columns).unionByName(existing.select(*columns)), key)
+
+
 def phi_area(regions: DataFrame, key: str, width: int, height: int) -> DataFrame:
     """Pixels outside the diagnostic rectangles; a frame without a valid rectangle has no such mask and no row."""
     inside = union_area(clamped(regions, width, height), key, width)

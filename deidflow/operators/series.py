@@ -38,6 +38,19 @@ def singletons(slices: DataFrame, keys: Sequence[str]) -> DataFrame:
     return slices.join(sizes, list(keys)).withColumn("singleton", F.col("n_slices") == 1)
 
 
+def ragged(frames: DataFrame, keys: Sequence[str], shape: Sequence[str] = ("rows", "columns")) -> DataFrame:
+    """The series whose frames are of several shapes, with their number and an error; such a series is no volume."""
+    shapes = frames.groupBy(*keys).agg(F.countDistinct(F.struct(*shape)).alias("n_shapes"))
+    return shapes.where("n_shapes > 1").withColumn("error", F.lit("SeriesLoadError"))
+
+
+def miscounted(frames: DataFrame, uris: DataFrame, key: str) -> DataFrame:
+    """The volumes whose number of frames is not that of the files they are to be saved to."""
+    n, m = frames.groupBy(key).agg(F.count("*").alias("n_frames")), uris.groupBy(key).agg(F.count("*").alias("n_uris"))
+    both = n.join(m, key, "full_outer").fillna(0, ["n_frames", "n_uris"])
+    return both.where("n_frames <> n_uris")
+
+
 def folders(images: DataFrame, root: str, path: str = "path") -> DataFrame:
     """``images`` with the key of their group: the parent folder, or for files of the root their own path."""
     parent = F.regexp_replace(path, "/[^/]*$", "")

@@ -639,3 +639,32 @@ def job_summary_entries(spark, d):
 def artifacts_sorted(spark, d):
     name = F.concat("source", F.lit("/"), (F.col("doc_id") % 50).cast("string"), F.when(F.col("doc_id") % 2 == 0, ".DCM").otherwise(".png"))
     return reports.artifacts(_t(spark, d, "documents").select(name.alias("path")))
+
+
+@query(
+    "SELECT l_orderkey, count(DISTINCT (l_linenumber % 2, l_partkey % 2)) AS n_shapes, 'SeriesLoadError' AS error FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT (l_linenumber % 2, l_partkey % 2)) > 1"
+)
+def series_ragged(spark, d):
+    """Series of frames of several shapes."""
+    frames = _t(spark, d, "lineitem").select("l_orderkey", (F.col("l_linenumber") % 2).alias("rows"), (F.col("l_partkey") % 2).alias("columns"))
+    return series.ragged(frames, ["l_orderkey"])
+
+
+@query(
+    "SELECT k AS order_key, coalesce(n, 0) AS n_frames, coalesce(m, 0) AS n_uris FROM (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1) FULL JOIN (SELECT o_orderkey AS k, 3 AS m FROM orders) USING (k) WHERE coalesce(n, 0) <> coalesce(m, 0)"
+)
+def series_miscounted(spark, d):
+    """Volumes whose depth is not the number of their files."""
+    uris = _t(spark, d, "orders").select(F.col("o_orderkey").alias("order_key"), F.explode(F.sequence(F.lit(1), F.lit(3))))
+    return series.miscounted(_t(spark, d, "lineitem").select(F.col("l_orderkey").alias("order_key")), uris, "order_key")
+
+
+@query(
+    f"WITH {_CLAMPED}, a AS (SELECT user_id, x0, y0, x1, y1 FROM c UNION ALL SELECT user_id, 10, 20, 60, 30 FROM c WHERE event_id % 3 = 0), "
+    "l AS (SELECT DISTINCT user_id, unnest(range(y0, y1)) AS y, x0, x1 FROM a WHERE x1 > x0 AND y1 > y0) SELECT user_id, count(*) AS pixels FROM (SELECT DISTINCT user_id, y, unnest(range(x0, x1)) AS x FROM l) GROUP BY user_id"
+)
+def union_mask_with_existing(spark, d):
+    """The union of new rectangles and a mask that stands already."""
+    boxes = pixels.clamped(_boxes(spark, d), WIDTH, HEIGHT)
+    old = boxes.where("event_id % 3 = 0").select("user_id", *(F.lit(v).alias(c) for c, v in zip(("x0", "y0", "x1", "y1"), (10, 20, 60, 30))))
+    return pixels.union_with(boxes, old, "user_id")

@@ -164,3 +164,20 @@ def test_unlisted_sequences_and_uids_of_implicit_files_are_scrubbed():
     new, audit = pipelines._scrubbed_file(data, None, "u", "salt", {dicom.name(name): "REMOVE"}, False)
     assert b"Doe" not in new and uid[:-1] not in new and ("(0010,0010)", "PatientName", "REMOVE", True) in audit
     assert sum(a[2] == "REMAP" for a in audit) == 3
+
+
+def test_inputs_by_mode(spark, tmp_path):
+    from deidflow.sources import inputs
+
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "x.dcm").write_bytes(synthetic.dicom_file(1))
+    (tmp_path / "a").write_bytes(synthetic.dicom_file(2))
+    (tmp_path / "c.png").write_bytes(images.png(np.zeros((2, 2), np.uint8)))
+    (tmp_path / "b" / "a.JPG").write_bytes(b"x")
+    (tmp_path / "no.dcm").write_bytes(b"nothing")
+    names = lambda mode: [(r.uri.rsplit("/", 1)[1], r.kind) for r in inputs.discover_inputs(spark, f"file://{tmp_path}", mode).collect()]
+    both = [("a", "dicom"), ("x.dcm", "dicom"), ("a.JPG", "image"), ("c.png", "image")]
+    assert names("auto") == both and names("dicom") == both[:2] and names("image") == both[2:]
+    for folder, mode in ((f"file://{tmp_path}", "pdf"), (f"file://{tmp_path}/none", "auto")):
+        with pytest.raises(inputs.InputError):
+            inputs.discover_inputs(spark, folder, mode)
