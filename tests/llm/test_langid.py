@@ -48,3 +48,66 @@ def test_edges(spark):
     assert [got[k].lang_pred for k in (1, 2, 3)] == ["und"] * 3 and got[5].lang_pred == "en" and got[1].score == 0
     assert langid.fit(df.limit(0)) is None and langid.predict(df, None, "doc_id").where(F.col("lang_pred") != "und").count() == 0
     assert langid.predict(df.limit(0), model, "doc_id").count() == 0
+
+
+def plain_buckets(text):
+    """Buckets of the trigrams of one text, byte by byte."""
+    raw = [c if c >= 0x80 or 0x61 <= c <= 0x7A else 0 for c in text.lower().encode()]
+    out = []
+    for k in range(len(raw) - 2):
+        a, b, c = raw[k : k + 3]
+        if b:
+            h = (a * 0x9E3779B1 + b * 0x85EBCA77 + c * 0xC2B2AE3D) % 2**32
+            h ^= h >> 15
+            out.append((h * 0x2C1B3C6D % 2**32) >> 18)
+    return out
+
+
+def plain_model(rows):
+    """(languages, codewords, tables of bits, weights) by plain loops over labelled texts."""
+    import itertools
+    import math
+
+    langs = sorted({lang for _, lang in rows})
+    counts = {x: [langid.SMOOTH] * langid.BUCKETS for x in langs}
+    for text, lang in rows:
+        for b in plain_buckets(text):
+            counts[lang][b] += 1
+    share = {x: [c / sum(v) for c in v] for x, v in counts.items()}
+    # All splits of the languages into two sides that both hold some, with the last language on the side +1.
+    codes = [dict(zip(langs, (*signs, 1))) for signs in itertools.product((-1, 1), repeat=len(langs) - 1) if -1 in signs]
+    bits = []
+    for code in codes:
+        sides = [[x for x in langs if code[x] == s] for s in (1, -1)]
+        mean = [[sum(share[x][b] for x in side) / len(side) for b in range(langid.BUCKETS)] for side in sides]
+        odds = [math.log(p) - math.log(m) for p, m in zip(*mean)]
+        high, low = (sum(sum(s * o for s, o in zip(share[x], odds)) for x in side) / len(side) for side in sides)
+        half = (high - low) / 2
+        bits.append((code, [(o - (high + low) / 2) / half for o in odds], half))
+    return langs, bits
+
+
+def plain_decode(model, text):
+    import math
+
+    langs, bits = model
+    at = plain_buckets(text)
+    total = sum(half for _, _, half in bits)
+    margins = [max(-8, min(8, sum(table[b] for b in at) / len(at))) if at else 0.0 for _, table, _ in bits]
+    loss = {x: sum(half / total * math.exp(-code[x] * m) for (code, _, half), m in zip(bits, margins)) for x in langs}
+    best = min(langs, key=lambda x: (loss[x], x))
+    return best, 1 / sum(math.exp(-langid.SHARPNESS * (v - loss[best])) for v in loss.values())
+
+
+def test_fit_and_decoding_equal_plain_loops(spark):
+    pools = {"xx": "lorem ipsum dolor sit amet", "yy": "der die das und nicht über", "zz": "le la les que être ça"}
+    rng = __import__("random").Random(3)
+    rows = [(" ".join(rng.choice(pools[x].split()) for _ in range(rng.randrange(3, 20))), x) for x in pools for _ in range(30)]
+    labelled = spark.createDataFrame([(k, t, x) for k, (t, x) in enumerate(rows)], "doc_id long, text string, lang string")
+    model, plain = langid.fit(labelled), plain_model(rows)
+    texts = [t for t, _ in rows[::7]] + ["", "12 34", "a", "ab", "und la dolor", "ÜBER ÇA", "amet amet être", None, "der " * 20_000, "der die", "der die"]
+    docs = spark.createDataFrame([(k, t, "clash") for k, t in enumerate(texts)], "doc_id long, text string, score string")
+    got = {r.doc_id: r for r in langid.predict(docs, model, "doc_id").collect()}
+    for k, t in enumerate(texts):
+        best, score = plain_decode(plain, t or "") if any(c.isalpha() for c in t or "") else ("und", 0.0)
+        assert got[k].lang_pred == best and abs(got[k].score - score) < 1e-4, t
