@@ -279,10 +279,9 @@ class Encoder:
 
     def digests(self, text: str) -> tuple[int, str, str]:
         parts = self.text(text)
-        filled = [p for p in parts if p[1]] if any(not p[1] for p in parts) else parts
-        if not filled:
-            return 0, hashlib.sha256(b"").hexdigest(), hashlib.sha256(b"").hexdigest()
-        ids, numbers, tokens = zip(*filled)
+        ids, numbers, tokens = zip(*parts) if parts else ((), (), ())
+        if 0 in numbers:  # words that leave nothing
+            ids, tokens = ([x for x, n in zip(column, numbers) if n] for column in (ids, tokens))
         return sum(numbers), hashlib.sha256(" ".join(ids).encode()).hexdigest(), hashlib.sha256(" ".join(tokens).encode()).hexdigest()
 
 
