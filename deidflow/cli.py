@@ -54,8 +54,13 @@ def deidentify(a) -> tuple[dict, int]:
     return {"runs": totals}, code
 
 
+#: Findings of the document; all of them go to the folder that ``--out`` names.
+FINDINGS_SHOWN = 1000
+
+
 def verify(a) -> tuple[dict, int]:
     from deidflow.operators import verify as v
+    from deidflow.plans.tables import keep
     from deidflow.sources import dicom
 
     spec = yaml.safe_load(Path(a.checklist).read_text()) if a.checklist else rules.CHECKLIST
@@ -66,9 +71,12 @@ def verify(a) -> tuple[dict, int]:
     reports = {n: spark.read.option("header", "true").csv(str(folder / n)) for n in ("pixel_detections.csv", "tag_actions.csv") if (folder / n).exists()}
     outputs = elements.where("path = '' AND tag = '(0008,0018)'").selectExpr("value AS deid_sop_uid")
     findings = v.file_findings(elements, checks["dicom_checks"]).unionByName(v.run_findings(spark, checks["run_checks"], reports, outputs))
-    rows = [r.asDict() for r in findings.orderBy("file", "check").collect()]
-    total = v.verdict(findings).first().asDict()
-    return {"checklist": checks["name"], **total, "findings": rows}, 1 if total["status"] == "fail" else 0
+    findings = keep(findings, "findings")  # read three times from here on
+    if a.out:
+        findings.write.mode("overwrite").option("header", "true").csv(a.out)
+    shown = [r.asDict() for r in findings.orderBy("file", "check").limit(FINDINGS_SHOWN).collect()]
+    total = v.totals(elements.select("uri").distinct(), checks["dicom_checks"], findings, len(checks["run_checks"])).first().asDict()
+    return {"checklist": checks["name"], **total, "findings": shown, "findings_total": findings.count()}, 1 if total["status"] == "fail" else 0
 
 
 def fixture(a) -> tuple[dict, int]:
@@ -94,6 +102,7 @@ def main(argv: list[str] | None = None) -> int:
     v = commands.add_parser("verify")
     v.add_argument("run_dir")
     v.add_argument("--checklist", default="")
+    v.add_argument("--out", default="", help="folder for all findings as CSV; the document shows the first of them")
     f = commands.add_parser("fixture")
     f.add_argument("output")
     f.add_argument("--number", type=int, default=1)

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet below ``spark.checkpoint.dir`` and read back; a temporary folder only where that is unset."""
+    """``df`` written as Parquet below ``spark.checkpoint.dir`` and read back; a temporary folder only where that is unset on one machine."""
     spark = df.sparkSession
     place = spark.conf.get("spark.checkpoint.dir", None)
     if not place:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         place = f"file://{tempfile.mkdtemp(prefix='deidflow-')}"
         spark.conf.set("spark.checkpoint.dir", place)
     path = f"{place.rstrip('/')}/deidflow/{name}-{uuid.uuid4().hex}"
