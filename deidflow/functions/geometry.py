@@ -11,7 +11,7 @@ def keyframes(n: Column, sample_pct: float = 0.10, floor: int = 3, ceiling: int
     k = F.greatest(F.lit(floor), F.least(F.lit(ceiling), F.bround(n * F.lit(sample_pct)))).cast("int")
     spread = F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.bround(i * (n - 1) / (k - 1)).cast("int"))
     both = F.array_sort(F.array_distinct(F.concat(spread, F.array(F.lit(0), (n - 1).cast("int")))))
-    return F.when(n <= 0, F.array().cast("array<int>")).when(n <= floor, F.sequence(F.lit(0), (n - 1).cast("int"))).otherwise(both)
+    return F.when(F.coalesce(n, F.lit(0)) <= 0, F.array().cast("array<int>")).when(n <= floor, F.sequence(F.lit(0), (n - 1).cast("int"))).otherwise(both)
 
 
 def corners_to_box(corners: Column) -> Column:

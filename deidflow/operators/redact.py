@@ -43,6 +43,25 @@ def blank(frame: np.ndarray, boxes: list[tuple[int, int, int, int]]) -> np.ndarr
     return out
 
 
+def union_mask(frames: list[np.ndarray], boxes: list[dict], regions: list[dict] | None, mask_mode: str = "box") -> np.ndarray:
+    """The pixels to zero on every frame of a file: those of its rectangles, without ultrasound regions.
+
+    ``diff``: of each rectangle only what is not zero on the frame on which it was found (frame_index of this file).
+    """
+    h, w = frames[0].shape[:2]
+    mask = np.zeros((h, w), bool)
+    for b in boxes:
+        part = np.s_[max(0, b["y"]) : min(h, max(0, b["y"] + b["h"])), max(0, b["x"]) : min(w, max(0, b["x"] + b["w"]))]
+        if mask_mode == "box":
+            mask[part] = True
+        else:
+            there = frames[b["frame_index"]][part] != 0
+            mask[part] |= there if there.ndim == 2 else there.any(axis=2)
+    for g in regions if regions is not None else ():
+        mask[g["y0"] : g["y1"], g["x0"] : g["x1"]] = False
+    return mask
+
+
 def detect(frames: DataFrame, reader: Callable[[], Reader]) -> DataFrame:
     """Raw detections of ``frames``; ``us_regions`` (array of x0, y0, x1, y1), if there, are hidden from the reader.
 

@@ -1,6 +1,6 @@
 """De-identification runs over DICOM files and images, as composed tables.
 
-discover -> frames -> detect (keyframes of volumes only) -> decide -> redact -> scrub -> route -> write. Audit tables are
+discover -> detect (keyframes of volumes only) -> decide -> redact and scrub -> route -> write. Audit tables are
 views of the plan; detections are written once, as pixels, reports and routes all read them.
 """
 
@@ -33,35 +33,6 @@ class Run:
     tag_actions: DataFrame | None
 
 
-def us_regions(found: DataFrame) -> DataFrame:
-    """uri and valid rectangles of ultrasound files; equal ones once, clamped to the frame, none of no area."""
-    schema = "uri string, us_regions array<struct<x0:int,y0:int,x1:int,y1:int>>"
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for uri, data in zip(batch.uri, batch.content):
-                try:
-                    e = dicom.parse(data, pixels=False)
-                except dicom.DicomError:
-                    continue
-                if dicom.value_of(e, "Modality") != "US":
-                    continue
-                h, w = int(dicom.value_of(e, "Rows") or 0), int(dicom.value_of(e, "Columns") or 0)
-                boxes = set()
-                for item in next((x.value for x in e if x.tag == dicom.NUMBERS["SequenceOfUltrasoundRegions"]), []):
-                    v = [dicom.value_of(item, k) for k in ("RegionLocationMinX0", "RegionLocationMinY0", "RegionLocationMaxX1", "RegionLocationMaxY1")]
-                    if None not in v:
-                        x0, y0, x1, y1 = max(0, int(v[0])), max(0, int(v[1])), min(w, int(v[2])), min(h, int(v[3]))
-                        if x1 > x0 and y1 > y0:
-                            boxes.add((x0, y0, x1, y1))
-                if boxes:
-                    out.append((uri, [dict(zip(("x0", "y0", "x1", "y1"), b)) for b in sorted(boxes)]))
-            yield pd.DataFrame(out, columns=["uri", "us_regions"])
-
-    return found.select("uri", "content").mapInPandas(rows, schema)
-
-
 def _scrubbed_file(data: bytes, pixels: np.ndarray | None, uri: str, salt: str, actions: dict[str, str], keep_geometry: bool) -> tuple[bytes, list[tuple]]:
     """A file's new bytes and its audit rows, in the order actions, private drop, pixels, UIDs, attestation."""
     from deidflow.operators.headers import CODES, METHOD, PIXEL_CODE
@@ -133,57 +104,77 @@ def volumes_of(slices: DataFrame) -> DataFrame:
     return ordered.join(keyed.groupBy("series_key").agg(F.count("*").cast("int").alias("n_slices")), "series_key")
 
 
+def _placed(found: DataFrame, series: bool, us: bool, sampling: dict) -> DataFrame:
+    """uri, content, volume, us_regions and ``wanted`` (the frames to read) of files; without ``series`` no row is shuffled."""
+    said = found.withColumn("_f", dicom.facts("content")).select("uri", "content", F.col("_f.n_frames").alias("n_frames"), F.col("_f.us_regions").alias("us_regions"))
+    if not us:
+        said = said.withColumn("us_regions", F.lit(None).cast(dicom.REGIONS))
+    own = keyframes(F.col("n_frames"), **sampling)
+    if not series:
+        return said.select("uri", "content", F.col("uri").alias("volume"), "us_regions", own.alias("wanted"))
+    one = F.col("series_key").isNotNull() & (F.col("n_frames") == 1)
+    read = F.when(F.array_contains(keyframes(F.col("n_slices"), **sampling), F.col("ordinal")), F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    joined = said.drop("content").join(volumes_of(dicom.slices(found)), "uri", "left")
+    places = keep(joined.select("uri", F.when(one, F.col("series_key")).otherwise(F.col("uri")).alias("volume"), "us_regions", F.when(one, read).otherwise(own).alias("wanted")), "places")
+    shared = places.where("us_regions IS NOT NULL").groupBy("volume").agg(F.array_distinct(F.flatten(F.collect_list("us_regions"))).alias("us_regions"))
+    return found.join(places.drop("us_regions").join(shared, "volume", "left"), "uri")
+
+
 def run_dicom(
     spark: SparkSession, folder: str, out: str, reader: Callable[[], redact.Reader], model=None, salt: str | None = None, actions: dict[str, str] | None = None,
-    mask_mode: str = "box", to_review: bool = True, series: bool = False,
+    mask_mode: str = "box", to_review: bool = True, series: bool = False, us: bool = True, sampling: dict | None = None,
 ) -> Run:
     """A run over the DICOM files below ``folder``; nothing is written until ``write`` is asked for.
 
-    Volumes are read on their keyframes, and what is found there is zeroed on all frames. ``series``: single-frame files of
-    one series and geometry are a volume together, in slice order, and share their route. Detections and scrubbed files
-    are written once to the shared folder, as several results read them.
+    Volumes are read on their keyframes (``sampling``: sample_pct, floor, ceiling), and what is found there is zeroed on all
+    frames. ``series``: single-frame files of one series and geometry are a volume together, in slice order, and share their
+    route and their ultrasound regions, which ``us`` switches. Only rectangles are joined to files, and each file is read,
+    redacted and scrubbed by one task. Detections and scrubbed files are written once to the shared folder, as several
+    results read them.
     """
+    if mask_mode not in ("box", "diff") or (series and mask_mode == "diff"):
+        raise rules.RuleError(f"mask mode {mask_mode!r} does not fit")  # diff looks at the frame of the detection, which lies in another file
     salt, table = salt or rules.salt(), rules.actions(rules.PII_ACTIONS if actions is None else actions)
     found = dicom.files(spark, folder)
-    frames = dicom.frame_rows(found).join(us_regions(found), "uri", "left")
-    volume = [F.col("uri").alias("volume"), F.col("frame_index").alias("volume_index"), F.col("n_frames").alias("volume_size")]
-    if series:
-        placed = volumes_of(dicom.slices(found))
-        own = [F.col("uri"), F.col("frame_index"), F.col("n_frames")]
-        joined = frames.join(placed, "uri", "left")
-        one = F.col("series_key").isNotNull() & (F.col("n_frames") == 1)
-        frames = joined.withColumns({f"_{k}": F.when(one, F.col(c)).otherwise(o) for k, c, o in zip(("volume", "index", "size"), ("series_key", "ordinal", "n_slices"), own)}).drop("series_key", "ordinal", "n_slices")
-        volume = [F.col("_volume").alias("volume"), F.col("_index").alias("volume_index"), F.col("_size").alias("volume_size")]
-    frames = frames.select(*(c for c in frames.columns if not c.startswith("_")), *volume)
-    picked = frames.where((F.col("volume_size") == 1) | F.array_contains(keyframes(F.col("volume_size")), F.col("volume_index")))
-    raw = keep(redact.detect(picked, reader), "detections")
-    decided = redact.decide(raw, model).join(frames.select("uri", "frame_index", "volume"), ["uri", "frame_index"])
-    done = redact.apply(frames.drop("volume_index", "volume_size"), redact.volume_boxes(decided, "volume"), ["volume"], mask_mode)
-    volumes = done.groupBy("uri").agg(F.array_sort(F.collect_list(F.struct("frame_index", "pixels", "dtype"))).alias("all"), F.max("error").alias("frame_error"))
-    bad = raw.groupBy("uri").agg(F.max("error").alias("reader_error"))
-    low = decided.groupBy("volume").agg(F.count_if(F.col("decision") == "low_confidence").alias("low"))
-    low = frames.select("uri", "volume").distinct().join(low, "volume").select("uri", "low")
-    ready = found.join(volumes, "uri", "left").join(bad, "uri", "left").join(low, "uri", "left")
+    placed = _placed(found, series, us, sampling or {})
+    raw = keep(redact.detect(dicom.frame_rows(placed.where(F.size("wanted") > 0)), reader), "detections")
+    decided = redact.decide(raw, model)
+    decided = decided.join(placed.select("uri", "volume"), "uri") if series else decided.withColumn("volume", F.col("uri"))
+    box = F.struct("frame_index", *(F.col(f"bbox.{k}").alias(k) for k in "xywh"))
+    per_volume = decided.groupBy("volume").agg(F.collect_set(F.when(F.col("decision") == "redacted", box)).alias("boxes"), F.count_if(F.col("decision") == "low_confidence").cast("int").alias("low"))
+    bad = raw.where("error IS NOT NULL").groupBy("uri").agg(F.max("error").alias("reader_error"))
+    ready = placed.join(per_volume, "volume", "left").join(bad, "uri", "left").fillna({"low": 0})
 
     def scrub(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for r in batch.itertuples(index=False):
-                error = r.reader_error or r.frame_error
+                error, stage = r.reader_error or None, "detect" if r.reader_error else None
                 data = audit = uid = new = None
-                try:
-                    if not error:
-                        parts = [np.frombuffer(f["pixels"], np.dtype(f["dtype"])) for f in r.all]
-                        data, found_audit = _scrubbed_file(r.content, np.concatenate(parts) if parts else None, r.uri, salt, table, series)
+                if not error:
+                    try:
+                        stage = "read"
+                        frames = dicom.frames(dicom.parse(r.content))
+                        stage = "redact"
+                        if frames and r.boxes is not None and len(r.boxes):
+                            mask = redact.union_mask(frames, r.boxes, r.us_regions, mask_mode)
+                            frames = [f.copy() for f in frames]
+                            for f in frames:
+                                f[mask] = 0
+                        stage = "scrub"
+                        data, found_audit = _scrubbed_file(r.content, np.concatenate([f.reshape(-1) for f in frames]) if frames else None, r.uri, salt, table, series)
                         audit = [dict(zip(("tag", "keyword", "action", "redacted"), a)) for a in found_audit]
                         uid, new = (dicom.value_of(dicom.parse(x, pixels=False), "SOPInstanceUID") for x in (r.content, data))
-                except Exception as e:  # noqa: BLE001  the file fails, not the run
-                    data, error = None, type(e).__name__
-                rows.append((r.uri, data, uid, new, audit, error, int(r.low) if r.low == r.low and r.low is not None else 0))
-            yield pd.DataFrame(rows, columns=["uri", "content", "original_sop_uid", "deid_sop_uid", "audit", "error", "low"])
-
-    schema = "uri string, content binary, original_sop_uid string, deid_sop_uid string, audit array<struct<tag:string,keyword:string,action:string,redacted:boolean>>, error string, low int"
-    scrubbed = keep(ready.select("uri", "content", "all", "frame_error", "reader_error", "low").mapInPandas(scrub, schema), "scrubbed")
+                        stage = None
+                    except dicom.DicomError as e:
+                        data, error = None, str(e)
+                    except Exception as e:  # noqa: BLE001  the file fails, not the run
+                        data, error = None, type(e).__name__
+                rows.append((r.uri, data, uid, new, audit, error, stage, int(r.low)))
+            yield pd.DataFrame(rows, columns=["uri", "content", "original_sop_uid", "deid_sop_uid", "audit", "error", "error_stage", "low"])
+
+    schema = "uri string, content binary, original_sop_uid string, deid_sop_uid string, audit array<struct<tag:string,keyword:string,action:string,redacted:boolean>>, error string, error_stage string, low int"
+    scrubbed = keep(ready.select("uri", "content", "boxes", "us_regions", "reader_error", "low").mapInPandas(scrub, schema), "scrubbed")
     root = folder.rstrip("/")
     relative = F.regexp_replace(F.regexp_replace("uri", "^file:", ""), "^" + root.removeprefix("file:") + "/", "")
     outputs = scrubbed.withColumn("path", output_path(relative, salt, out, F.lit(".dcm"))).withColumn("route", reports.route(F.when(F.lit(to_review), F.col("low")).otherwise(0), F.col("error")))

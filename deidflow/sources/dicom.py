@@ -1,7 +1,7 @@
-"""DICOM Part 10 in and out: explicit and implicit little endian and deflated headers, nested sequences, native pixels.
+"""DICOM Part 10 in and out: explicit and implicit little endian and deflated headers, nested sequences, native and run-length pixels.
 
-Files come from Spark's ``binaryFile`` source and become long-form headers or frames in bounded batches; compressed pixel
-syntaxes are refused for the file, which then carries an error instead of rows.
+Files come from Spark's ``binaryFile`` source and become long-form headers or frames in bounded batches; other compressed
+pixel syntaxes are refused for the file, which then carries an error instead of rows.
 """
 
 from __future__ import annotations
@@ -16,13 +16,13 @@ from typing import Any, NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deidflow import rules
 from deidflow.functions.paths import may_be_dicom
 
-IMPLICIT, EXPLICIT, DEFLATED = "1.2.840.10008.1.2", "1.2.840.10008.1.2.1", "1.2.840.10008.1.2.1.99"
+IMPLICIT, EXPLICIT, DEFLATED, RUN_LENGTH = "1.2.840.10008.1.2", "1.2.840.10008.1.2.1", "1.2.840.10008.1.2.1.99", "1.2.840.10008.1.2.5"
 LONG_VRS = frozenset("OB OD OF OL OV OW SQ SV UC UN UR UT UV".split())
 TEXT_VRS = frozenset("AE AS CS DA DS DT IS LO LT PN SH ST TM UC UI UR UT".split())
 UNDEFINED = 0xFFFFFFFF
@@ -58,7 +58,7 @@ class DicomError(ValueError):
 class Element(NamedTuple):
     tag: int
     vr: str
-    value: Any  # bytes, or a list of items (lists of elements) for sequences
+    value: Any  # bytes, a list of items (lists of elements) for sequences, or a tuple of fragments for run-length pixels
 
 
 def name(tag: int) -> str:
@@ -92,12 +92,14 @@ def _elements(data: bytes, at: int, end: int, explicit: bool, stop_at: int | Non
         else:
             vr = TAGS.get(tag, ("UN",))[0]
             length, at = struct.unpack_from("<I", data, at + 4)[0], at + 8
-        if vr == "SQ" or (length == UNDEFINED and tag != PIXELS):
+        if length == UNDEFINED and tag == PIXELS:
+            fragments, at = _fragments(data, at, end)
+            out.append(Element(tag, vr, fragments))
+            continue
+        if vr == "SQ" or length == UNDEFINED:
             items, at = _items(data, at, end if length == UNDEFINED else at + length, explicit and vr == "SQ", depth)
             out.append(Element(tag, "SQ", items))
             continue
-        if length == UNDEFINED:
-            raise DicomError("compressed pixels")
         if at + length > end:
             raise DicomError("cut file")
         if vr == "UN":
@@ -121,6 +123,48 @@ def _unlisted(tag: int, data: bytes, at: int, end: int, depth: int) -> Element:
     return Element(tag, "UI" if _UID.fullmatch(value) else "UN", value)
 
 
+def _fragments(data: bytes, at: int, end: int) -> tuple[tuple[bytes, ...], int]:
+    """The items of encapsulated pixels, without the table of offsets that comes first."""
+    parts = []
+    while at + 8 <= end:
+        group, number, length = struct.unpack_from("<HHI", data, at)
+        at += 8
+        if group << 16 | number == SEQUENCE_END:
+            return tuple(parts[1:]), at
+        if group << 16 | number != ITEM or at + length > end:
+            break
+        parts.append(data[at : at + length])
+        at += length
+    raise DicomError("cut file")
+
+
+def _run_length(fragment: bytes, rows: int, cols: int, samples: int, size: int) -> np.ndarray:
+    """A frame's samples, pixel by pixel, of one fragment: a segment for each byte of each colour, high bytes first."""
+    n, *starts = struct.unpack_from("<16I", fragment)
+    if n != samples * size:
+        raise DicomError("damaged pixels")
+    planes = np.empty((samples, size, rows * cols), np.uint8)
+    for k in range(n):
+        planes[k // size, size - 1 - k % size] = _unpacked(fragment[starts[k] : starts[k + 1] if k + 1 < n else len(fragment)], rows * cols)
+    return np.ascontiguousarray(planes.transpose(2, 0, 1)).reshape(-1)
+
+
+def _unpacked(segment: bytes, wanted: int) -> np.ndarray:
+    """The first ``wanted`` bytes of a segment of copied stretches (0 to 127: one more byte) and repeats (129 to 255: 257 less)."""
+    out, at = bytearray(), 0
+    while len(out) < wanted and at + 1 < len(segment):
+        code, at = segment[at], at + 1
+        if code < 128:
+            out += segment[at : at + code + 1]
+            at += code + 1
+        elif code > 128:
+            out += segment[at : at + 1] * (257 - code)
+            at += 1
+    if len(out) < wanted:
+        raise DicomError("cut pixels")
+    return np.frombuffer(out, np.uint8, wanted)
+
+
 def _items(data: bytes, at: int, end: int, explicit: bool, depth: int) -> tuple[list[list[Element]], int]:
     items = []
     while at + 8 <= end:
@@ -144,7 +188,7 @@ def parse(data: bytes, pixels: bool = True) -> list[Element]:
         syntax = next((text(e.value) for e in meta if e.tag == NUMBERS["TransferSyntaxUID"]), IMPLICIT)
         if syntax == DEFLATED:
             data, at = zlib.decompress(data[at:], -zlib.MAX_WBITS), 0
-        elif syntax not in (IMPLICIT, EXPLICIT) and pixels:
+        elif syntax not in (IMPLICIT, EXPLICIT, RUN_LENGTH) and pixels:
             raise DicomError("compressed pixels")
         body, _ = _elements(data, at, len(data), syntax != IMPLICIT, None if pixels else PIXELS)
     except (struct.error, zlib.error, IndexError) as e:
@@ -160,6 +204,8 @@ def shown(e: Element) -> str:
     """An element's value as text; several values are parted by backslashes."""
     if isinstance(e.value, str):
         return e.value
+    if isinstance(e.value, tuple):
+        return b"".join(e.value).hex()
     if e.vr in _FORMATS:
         size = struct.calcsize(_FORMATS[e.vr])
         return "\\".join(f"{v:g}" if e.vr in ("FL", "FD") else str(v) for v in struct.unpack(f"<{len(e.value) // size}{_FORMATS[e.vr]}", e.value[: len(e.value) // size * size]))
@@ -179,22 +225,35 @@ def value_of(elements: list[Element], keyword: str) -> str | None:
     return next((shown(e) for e in elements if e.tag == NUMBERS[keyword] and not isinstance(e.value, list)), None)
 
 
+def frame_count(elements: list[Element]) -> int:
+    return int(float(value_of(elements, "NumberOfFrames") or 1))
+
+
 def frames(elements: list[Element]) -> list[np.ndarray]:
     """Frames of H x W or H x W x C samples in the file's own integer type; colours that come plane by plane are put pixel by pixel."""
     number = lambda k, default: int(float(value_of(elements, k) or default))
-    rows, cols, n, samples, bits, signed = (number(k, v) for k, v in (("Rows", 0), ("Columns", 0), ("NumberOfFrames", 1), ("SamplesPerPixel", 1), ("BitsAllocated", 8), ("PixelRepresentation", 0)))
+    rows, cols, samples, bits, signed = (number(k, v) for k, v in (("Rows", 0), ("Columns", 0), ("SamplesPerPixel", 1), ("BitsAllocated", 8), ("PixelRepresentation", 0)))
+    n = frame_count(elements)
     raw = next((e.value for e in elements if e.tag == PIXELS), None)
     if raw is None or bits not in (8, 16):
         raise DicomError("no native pixels")
     kind = np.dtype(("i" if signed else "u") + str(bits // 8)).newbyteorder("<")
     size = rows * cols * samples
+    planar = number("PlanarConfiguration", 0) == 1
+    if isinstance(raw, tuple):
+        if len(raw) != n:
+            raise DicomError("damaged pixels")
+        try:
+            raw, planar = b"".join(_run_length(f, rows, cols, samples, kind.itemsize).tobytes() for f in raw), False
+        except struct.error as e:
+            raise DicomError("damaged pixels") from e
     if len(raw) < size * n * kind.itemsize:
         raise DicomError("cut pixels")
     all_samples = np.frombuffer(raw, kind, size * n)
     parts = [all_samples[k * size : (k + 1) * size] for k in range(n)]
     if samples == 1:
         return [p.reshape(rows, cols) for p in parts]
-    if number("PlanarConfiguration", 0) == 1:
+    if planar:
         return [np.ascontiguousarray(p.reshape(samples, rows, cols).transpose(1, 2, 0)) for p in parts]
     return [p.reshape(rows, cols, samples) for p in parts]
 
@@ -342,20 +401,61 @@ def slices(found: DataFrame, modalities: tuple[str, ...] = rules.MODALITIES) ->
     return found.select("uri", "content").mapInPandas(rows, SLICE).where(F.upper("modality").isin(*modalities))
 
 
+REGIONS = "array<struct<x0:int,y0:int,x1:int,y1:int>>"
+
+
+def us_regions(elements: list[Element]) -> list[dict[str, int]] | None:
+    """Valid rectangles of an ultrasound file; equal ones once, clamped to the frame, none of no area."""
+    if value_of(elements, "Modality") != "US":
+        return None
+    h, w = int(value_of(elements, "Rows") or 0), int(value_of(elements, "Columns") or 0)
+    boxes = set()
+    for item in next((x.value for x in elements if x.tag == NUMBERS["SequenceOfUltrasoundRegions"]), []):
+        v = [value_of(item, k) for k in ("RegionLocationMinX0", "RegionLocationMinY0", "RegionLocationMaxX1", "RegionLocationMaxY1")]
+        if None not in v:
+            x0, y0, x1, y1 = max(0, int(v[0])), max(0, int(v[1])), min(w, int(v[2])), min(h, int(v[3]))
+            if x1 > x0 and y1 > y0:
+                boxes.add((x0, y0, x1, y1))
+    return [dict(zip(("x0", "y0", "x1", "y1"), b)) for b in sorted(boxes)] or None
+
+
+def facts(content: Column) -> Column:
+    """struct(n_frames, us_regions) of a file's header, beside its bytes, which stay where they are; nulls for an unreadable file."""
+
+    @F.pandas_udf(f"n_frames int, us_regions {REGIONS}")
+    def read(files: pd.Series) -> pd.DataFrame:
+        out = []
+        for data in files:
+            try:
+                e = parse(data, pixels=False)
+                out.append((frame_count(e), us_regions(e)))
+            except (DicomError, ValueError):
+                out.append((None, None))
+        return pd.DataFrame(out, columns=["n_frames", "us_regions"]).astype({"n_frames": "Int32"})
+
+    return read(content)
+
+
 def frame_rows(found: DataFrame) -> DataFrame:
-    """One row per frame, so that no volume is held in a cell; a file without native pixels is one row with an error."""
+    """One row per frame, so that no volume is held in a cell; a file without readable pixels is one row with an error.
+
+    ``wanted`` (indices), if there, chooses frames; ``us_regions``, if there, goes along.
+    """
+    chosen, along = "wanted" in found.columns, ["us_regions"] * ("us_regions" in found.columns)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in FRAMES.split(", ")]
+        names = [c.split()[0] for c in FRAMES.split(", ")] + along
         for batch in batches:
-            for uri, data in zip(batch.uri, batch.content):
+            for r in batch.itertuples(index=False):
+                more = (r.us_regions,) if along else ()
                 try:
-                    all_frames = frames(parse(data))
+                    all_frames = frames(parse(r.content))
                 except DicomError as e:
-                    yield pd.DataFrame([(uri, None, None, None, None, None, None, None, str(e))], columns=names)
+                    yield pd.DataFrame([(r.uri, None, None, None, None, None, None, None, str(e), *more)], columns=names)
                     continue
-                for k, f in enumerate(all_frames):
-                    row = (uri, k, len(all_frames), f.shape[0], f.shape[1], 1 if f.ndim == 2 else f.shape[2], f.dtype.str, f.tobytes(), None)
+                for k in r.wanted if chosen else range(len(all_frames)):
+                    f = all_frames[k]
+                    row = (r.uri, k, len(all_frames), f.shape[0], f.shape[1], 1 if f.ndim == 2 else f.shape[2], f.dtype.str, f.tobytes(), None, *more)
                     yield pd.DataFrame([row], columns=names)
 
-    return found.select("uri", "content").mapInPandas(rows, FRAMES)
+    return found.select("uri", "content", *["wanted"] * chosen, *along).mapInPandas(rows, FRAMES + f", us_regions {REGIONS}" * len(along))

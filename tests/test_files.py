@@ -181,3 +181,92 @@ def test_inputs_by_mode(spark, tmp_path):
     for folder, mode in ((f"file://{tmp_path}", "pdf"), (f"file://{tmp_path}/none", "auto")):
         with pytest.raises(inputs.InputError):
             inputs.discover_inputs(spark, folder, mode)
+
+
+def _packed(raw):
+    """Run-length segments, as plainly as the format allows: repeats of two or more, all else copied byte by byte."""
+    out, at = bytearray(), 0
+    while at < len(raw):
+        n = 1
+        while n < 128 and at + n < len(raw) and raw[at + n] == raw[at]:
+            n += 1
+        out += bytes([257 - n, raw[at]]) if n > 1 else bytes([0, raw[at]])
+        at += n
+    return bytes(out) + b"\x80" * (len(out) % 2)
+
+
+def _run_length_file(frames, samples=1):
+    import struct
+
+    e, bits = dicom.element, 8 * frames[0].dtype.itemsize
+    items = [b""]
+    for f in frames:
+        planes = f.reshape(-1, samples).T
+        segments = [_packed(bytes(p.astype(f.dtype.newbyteorder("<")).tobytes()[k :: bits // 8])) for p in planes for k in reversed(range(bits // 8))]
+        starts, at = [], 64
+        for seg in segments:
+            starts.append(at)
+            at += len(seg)
+        items.append(struct.pack("<16I", len(segments), *starts, *[0] * (15 - len(starts))) + b"".join(segments))
+    body = dicom._written([
+        e("SOPClassUID", "1.2.3"), e("SOPInstanceUID", "1.2.4"), e("Rows", frames[0].shape[0]), e("Columns", frames[0].shape[1]), e("SamplesPerPixel", samples), e("PlanarConfiguration", 1),
+        e("PhotometricInterpretation", "RGB" if samples == 3 else "MONOCHROME2"), e("BitsAllocated", bits), e("BitsStored", bits), e("HighBit", bits - 1), e("PixelRepresentation", 0), e("NumberOfFrames", len(frames)),
+    ])
+    pixels = struct.pack("<HH2sHI", 0x7FE0, 0x10, b"OB", 0, 0xFFFFFFFF) + b"".join(struct.pack("<HHI", 0xFFFE, 0xE000, len(i)) + i for i in items) + struct.pack("<HHI", 0xFFFE, 0xE0DD, 0)
+    return b"\0" * 128 + b"DICM" + dicom._written([dicom.Element(dicom.NUMBERS["TransferSyntaxUID"], "UI", dicom.RUN_LENGTH)]) + body + pixels
+
+
+@pytest.mark.parametrize("kind,samples", [(np.uint8, 1), (np.uint16, 1), (np.uint8, 3)])
+def test_run_length_pixels(kind, samples):
+    rng = np.random.default_rng(3)
+    frames = [(rng.integers(0, 4, (9, 7, samples)[: 2 + (samples > 1)]) * 90).astype(kind) for _ in range(2)]
+    frames[1][2:5] = 77
+    data = _run_length_file(frames, samples)
+    got = dicom.frames(dicom.parse(data))
+    assert len(got) == 2 and all((a == b).all() and a.dtype == kind for a, b in zip(got, frames))
+    new, _ = pipelines._scrubbed_file(data, np.concatenate([f.reshape(-1) for f in got]), "u", "salt", {}, False)
+    again = dicom.parse(new)
+    assert all((a == b).all() for a, b in zip(dicom.frames(again), frames)) and dicom.value_of(again, "TransferSyntaxUID") == dicom.EXPLICIT
+    for cut in (len(data) - 9, len(data) - 40):
+        with pytest.raises(dicom.DicomError):
+            dicom.frames(dicom.parse(data[:cut]))
+
+
+def test_diff_masks_spare_what_is_dark_on_the_keyframe(spark, tmp_path):
+    (tmp_path / "in/P").mkdir(parents=True)
+    (tmp_path / "in/P/a.dcm").write_bytes(synthetic.dicom_file(1, n_frames=4))
+    model = lambda texts: [True] * len(texts)
+    before = dicom.frames(dicom.parse(synthetic.dicom_file(1, n_frames=4)))
+    run = pipelines.run_dicom(spark, str(tmp_path / "in"), str(tmp_path / "out"), synthetic.font_reader, model, salt="s", mask_mode="diff")
+    assert run.detections.count() > 0
+    (row,) = run.outputs.collect()
+    assert row.error is None and row.error_stage is None
+    assert all(not f[b > 200].any() for f, b in zip(dicom.frames(dicom.parse(bytes(row.content))), before))
+    with pytest.raises(rules.RuleError):
+        pipelines.run_dicom(spark, str(tmp_path / "in"), str(tmp_path / "out"), synthetic.font_reader, model, salt="s", mask_mode="diff", series=True)
+
+
+def test_series_share_ultrasound_regions_unless_switched_off(spark, tmp_path):
+    (tmp_path / "in/P").mkdir(parents=True)
+    for k in range(2):
+        (tmp_path / f"in/P/{k}.dcm").write_bytes(synthetic.dicom_file(k + 1, modality="US", regions=[(0, 0, 200, 20)] if k else ()))
+    left = {}
+    for us in (True, False):
+        run = pipelines.run_dicom(spark, str(tmp_path / "in"), str(tmp_path / "out"), synthetic.font_reader, lambda t: [True] * len(t), salt="s", series=True, us=us)
+        left[us] = [dicom.frames(dicom.parse(bytes(r.content)))[0] for r in run.outputs.orderBy("uri").collect()]
+    assert all(f[4:14].any() and not f[24:34].any() for f in left[True]) and not any(f[:34].any() for f in left[False])
+
+
+def test_errors_name_their_stage(spark, tmp_path):
+    source, out = _folder(tmp_path)
+
+    def broken():
+        def read(frame):
+            raise OSError("the reader")
+
+        return read
+
+    run = pipelines.run_dicom(spark, source, out, broken, salt="s")
+    assert {(r.uri.rsplit("/", 1)[1], r.error, r.error_stage, r.route) for r in run.outputs.collect()} == {
+        ("a.dcm", "OSError", "detect", "error"), ("vol", "OSError", "detect", "error"), ("us.dcm", "OSError", "detect", "error"), ("bad.dcm", "no native pixels", "read", "error")
+    }
