@@ -37,18 +37,24 @@ def deidentify(a) -> tuple[dict, int]:
 
     if not Path(a.input).is_dir():
         return {"status": "error", "error": "InputError"}, jobs.EXIT["input"]
-    config = rules.load(*(yaml.safe_load(Path(p).read_text()) or {} for p in a.config)) if a.config else {}
+    override = os.environ.get(rules.OVERRIDE_VARIABLE)
+    named = [yaml.safe_load(Path(p).read_text()) or {} for p in [*a.config, *([override] if override else [])]]
+    config = rules.load(*(named if override or len(named) > 1 else [*(named or [{}]), rules.COMMAND_OVERLAY]))
+    sampling, audited = rules.sampling(config), rules.writes_reports(config)
     actions = rules.actions(config.get("pii_mapping") or rules.PII_ACTIONS)
     reader, model = _named(a.reader), _named(a.model) if a.model else None
     spark, totals = _session(), []
     if a.mode in ("auto", "dicom"):
-        run = pipelines.run_dicom(spark, a.input, a.output, reader, model, rules.salt(config), actions, series=a.series)
+        run = pipelines.run_dicom(spark, a.input, a.output, reader, model, rules.salt(config), actions, series=a.series, sampling=sampling)
         totals.append(jobs.envelope(run) | {"saved": pipelines.write(run).where("saved").count(), "kind": "dicom"})
-        writers.write_report(run.detections, f"{a.output}/reports/pixel_detections.csv")
-        writers.write_report(run.tag_actions, f"{a.output}/reports/tag_actions.csv")
+        if audited:
+            writers.write_report(run.detections, f"{a.output}/reports/pixel_detections.csv")
+            writers.write_report(run.tag_actions, f"{a.output}/reports/tag_actions.csv")
     if a.mode in ("auto", "image"):
         run = pipelines.run_images(spark, a.input, a.output, reader, model, rules.salt(config), series=a.series)
         totals.append(jobs.envelope(run) | {"saved": pipelines.write(run).where("saved").count(), "kind": "image"})
+    for t in totals:
+        rules.conform(t, rules.ENVELOPE)
     found = [t for t in totals if t["files_discovered"]]
     code = max((jobs.exit_code(t) for t in found), default=0)
     return {"runs": totals}, code

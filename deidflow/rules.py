@@ -132,6 +132,77 @@ def salt(config: dict | None = None, env: dict[str, str] | None = None) -> str:
     return configured or env.get(SALT_VARIABLE, "") or DEFAULT_SALT
 
 
+def sampling(config: dict) -> dict:
+    """How volumes are sampled; the older ``keyframe_count`` is the floor where no newer one stands."""
+    series = config.get("series") or {}
+    found = KEYFRAMES | ({"floor": series["keyframe_count"]} if series.get("keyframe_count") is not None else {}) | (series.get("keyframe_sampling") or {})
+    try:
+        out = {"sample_pct": float(found["sample_pct"]), "floor": int(found["floor"]), "ceiling": int(found["ceiling"])}
+    except (TypeError, ValueError) as e:
+        raise RuleError("keyframe sampling wants numbers") from e
+    if not (0 <= out["sample_pct"] <= 1 and 2 <= out["floor"] <= out["ceiling"]):
+        raise RuleError("keyframe sampling is out of range")
+    return out
+
+
+def writes_reports(config: dict) -> bool:
+    """Whether a run's audit tables are written, ``reporting.save_ground_truth``; they are unless it says no."""
+    value = (config.get("reporting") or {}).get("save_ground_truth")
+    return True if value is None else as_bool(value)
+
+
+#: What runs by command lay over a base configuration, unless they name an overlay or ``OVERRIDE_VARIABLE`` does.
+COMMAND_OVERLAY = {"reporting": {"save_ground_truth": True}}
+OVERRIDE_VARIABLE = "DEIDFLOW_CONFIG_OVERRIDE"
+
+_TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "integer": int, "number": (int, float), "null": type(None)}
+
+
+def conform(value: Any, schema: dict, at: str = "$") -> None:
+    """Raise RuleError at the first place where a JSON document departs from ``schema`` (the parts of JSON Schema in use here)."""
+    kinds = schema.get("type")
+    kinds = [kinds] if isinstance(kinds, str) else kinds
+    if kinds and not any(isinstance(value, _TYPES[k]) and (k == "boolean" or not isinstance(value, bool)) for k in kinds):
+        raise RuleError(f"{at}: not {' or '.join(kinds)}")
+    if "enum" in schema and value not in schema["enum"]:
+        raise RuleError(f"{at}: none of the allowed values")
+    if "minimum" in schema and value < schema["minimum"]:
+        raise RuleError(f"{at}: too small")
+    if "oneOf" in schema:
+        fits = 0
+        for branch in schema["oneOf"]:
+            try:
+                conform(value, branch, at)
+                fits += 1
+            except RuleError:
+                pass
+        if fits != 1:
+            raise RuleError(f"{at}: {fits} branches fit, not one")
+    if isinstance(value, dict):
+        known = schema.get("properties", {})
+        for k in schema.get("required", ()):
+            if k not in value:
+                raise RuleError(f"{at}.{k}: missing")
+        for k, v in value.items():
+            if k in known:
+                conform(v, known[k], f"{at}.{k}")
+            elif schema.get("additionalProperties") is False:
+                raise RuleError(f"{at}.{k}: unknown")
+    if isinstance(value, list) and "items" in schema:
+        for k, v in enumerate(value):
+            conform(v, schema["items"], f"{at}[{k}]")
+
+
+_COUNT = {"type": "integer", "minimum": 0}
+_TOTALS = {k: _COUNT for k in ("files_discovered", "files_processed", "files_failed", "pixel_regions_detected", *DECISIONS, "header_tags_scrubbed")}
+#: The document of a run: totals, or an error.
+ENVELOPE = {"oneOf": [
+    {"type": "object", "properties": _TOTALS | {"needs_manual_review": {"type": "boolean"}, "status": {"enum": ["success", "partial", "error"]}, "saved": _COUNT, "kind": {"enum": ["dicom", "image"]}},
+     "required": [*_TOTALS, "needs_manual_review", "status"], "additionalProperties": False},
+    {"type": "object", "properties": {"status": {"enum": ["error"]}, "error": {"type": "string"}}, "required": ["status", "error"], "additionalProperties": False},
+]}
+
+
 def required(config: dict, path: str) -> Any:
     """The value at a dotted path; a missing, null or blank one is an error that names the path."""
     value: Any = config

@@ -55,3 +55,25 @@ def test_run_folder():
     from deidflow.functions import paths
 
     assert paths.run_folder("/out/", datetime.datetime(2024, 2, 3, 4, 5, 6)) == "/out/run_20240203_040506"
+
+
+def test_sampling_takes_the_older_count_as_floor():
+    assert rules.sampling({}) == rules.KEYFRAMES
+    assert rules.sampling({"series": {"keyframe_count": 5}})["floor"] == 5
+    assert rules.sampling({"series": {"keyframe_count": 5, "keyframe_sampling": {"floor": 4, "ceiling": 9}}}) == {"sample_pct": 0.1, "floor": 4, "ceiling": 9}
+    for bad in ({"keyframe_count": "x"}, {"keyframe_sampling": {"floor": 9, "ceiling": 3}}, {"keyframe_count": 1}):
+        with pytest.raises(rules.RuleError):
+            rules.sampling({"series": bad})
+    assert rules.writes_reports({}) and not rules.writes_reports({"reporting": {"save_ground_truth": "no"}})
+    with pytest.raises(rules.RuleError):
+        rules.writes_reports({"reporting": {"save_ground_truth": "perhaps"}})
+
+
+def test_documents_conform():
+    good = {k: 0 for k in ("files_discovered", "files_processed", "files_failed", "pixel_regions_detected", *rules.DECISIONS, "header_tags_scrubbed")} | {"needs_manual_review": False, "status": "success"}
+    rules.conform(good, rules.ENVELOPE)
+    rules.conform({"status": "error", "error": "InputError"}, rules.ENVELOPE)
+    for bad in (good | {"files_failed": -1}, good | {"files_failed": True}, good | {"text": "x"}, {k: v for k, v in good.items() if k != "status"}, good | {"status": "maybe"}, {"status": "error"}, []):
+        with pytest.raises(rules.RuleError):
+            rules.conform(bad, rules.ENVELOPE)
+    rules.conform([{"a": None}], {"type": "array", "items": {"type": "object", "properties": {"a": {"type": ["string", "null"]}}}})
