@@ -62,6 +62,16 @@ def union_mask(frames: list[np.ndarray], boxes: list[dict], regions: list[dict]
     return mask
 
 
+def redacted(frames: list[np.ndarray], boxes: list[dict] | None, regions: list[dict] | None, mask_mode: str = "box") -> list[np.ndarray]:
+    """A file's frames with the same pixels zeroed on all of them."""
+    if not frames or boxes is None or not len(boxes):
+        return frames
+    mask, out = union_mask(frames, boxes, regions, mask_mode), [f.copy() for f in frames]
+    for f in out:
+        f[mask] = 0
+    return out
+
+
 def detect(frames: DataFrame, reader: Callable[[], Reader]) -> DataFrame:
     """Raw detections of ``frames``; ``us_regions`` (array of x0, y0, x1, y1), if there, are hidden from the reader.
 
@@ -116,6 +126,12 @@ def volume_boxes(decided: DataFrame, key: str = "uri") -> DataFrame:
     return hit.groupBy(key).agg(F.collect_set("bbox").alias("boxes"), F.count("*").alias("redacted_regions"))
 
 
+def file_boxes(decided: DataFrame, key: str = "uri") -> DataFrame:
+    """Per volume the rectangles to zero, with the frame of each, and the number of uncertain detections."""
+    box = F.struct("frame_index", *(F.col(f"bbox.{k}").alias(k) for k in "xywh"))
+    return decided.groupBy(key).agg(F.collect_set(F.when(F.col("decision") == "redacted", box)).alias("boxes"), F.count_if(F.col("decision") == "low_confidence").cast("int").alias("low"))
+
+
 def frame_boxes(decided: DataFrame) -> DataFrame:
     hit = decided.where("decision = 'redacted'")
     return hit.groupBy("uri", "frame_index").agg(F.collect_set("bbox").alias("boxes"), F.count("*").alias("redacted_regions"))

@@ -33,7 +33,7 @@ class Run:
     tag_actions: DataFrame | None
 
 
-def _scrubbed_file(data: bytes, pixels: np.ndarray | None, uri: str, salt: str, actions: dict[str, str], keep_geometry: bool) -> tuple[bytes, list[tuple]]:
+def scrubbed_file(data: bytes, pixels: np.ndarray | None, uri: str, salt: str, actions: dict[str, str], keep_geometry: bool) -> tuple[bytes, list[tuple]]:
     """A file's new bytes and its audit rows, in the order actions, private drop, pixels, UIDs, attestation."""
     from deidflow.operators.headers import CODES, METHOD, PIXEL_CODE
 
@@ -75,7 +75,7 @@ def _scrubbed_file(data: bytes, pixels: np.ndarray | None, uri: str, salt: str,
             out.append(e._replace(value=value))
         return out
 
-    body = [e for e in level(dicom.parse(data)) if e.tag >> 16 != 2]
+    body = level([e for e in dicom.parse(data) if e.tag >> 16 != 2])  # the file's own group follows the data set when it is built
 
     def put(*made: dicom.Element) -> None:
         tags = {m.tag for m in made}
@@ -104,11 +104,12 @@ def volumes_of(slices: DataFrame) -> DataFrame:
     return ordered.join(keyed.groupBy("series_key").agg(F.count("*").cast("int").alias("n_slices")), "series_key")
 
 
-def _placed(found: DataFrame, series: bool, us: bool, sampling: dict) -> DataFrame:
+def placed_files(found: DataFrame, series: bool = False, us: bool = True, sampling: dict | None = None) -> DataFrame:
     """uri, content, volume, us_regions and ``wanted`` (the frames to read) of files; without ``series`` no row is shuffled."""
     said = found.withColumn("_f", dicom.facts("content")).select("uri", "content", F.col("_f.n_frames").alias("n_frames"), F.col("_f.us_regions").alias("us_regions"))
     if not us:
         said = said.withColumn("us_regions", F.lit(None).cast(dicom.REGIONS))
+    sampling = sampling or {}
     own = keyframes(F.col("n_frames"), **sampling)
     if not series:
         return said.select("uri", "content", F.col("uri").alias("volume"), "us_regions", own.alias("wanted"))
@@ -136,14 +137,12 @@ def run_dicom(
         raise rules.RuleError(f"mask mode {mask_mode!r} does not fit")  # diff looks at the frame of the detection, which lies in another file
     salt, table = salt or rules.salt(), rules.actions(rules.PII_ACTIONS if actions is None else actions)
     found = dicom.files(spark, folder)
-    placed = _placed(found, series, us, sampling or {})
+    placed = placed_files(found, series, us, sampling)
     raw = keep(redact.detect(dicom.frame_rows(placed.where(F.size("wanted") > 0)), reader), "detections")
     decided = redact.decide(raw, model)
     decided = decided.join(placed.select("uri", "volume"), "uri") if series else decided.withColumn("volume", F.col("uri"))
-    box = F.struct("frame_index", *(F.col(f"bbox.{k}").alias(k) for k in "xywh"))
-    per_volume = decided.groupBy("volume").agg(F.collect_set(F.when(F.col("decision") == "redacted", box)).alias("boxes"), F.count_if(F.col("decision") == "low_confidence").cast("int").alias("low"))
     bad = raw.where("error IS NOT NULL").groupBy("uri").agg(F.max("error").alias("reader_error"))
-    ready = placed.join(per_volume, "volume", "left").join(bad, "uri", "left").fillna({"low": 0})
+    ready = placed.join(redact.file_boxes(decided, "volume"), "volume", "left").join(bad, "uri", "left").fillna({"low": 0})
 
     def scrub(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -156,13 +155,9 @@ def run_dicom(
                         stage = "read"
                         frames = dicom.frames(dicom.parse(r.content))
                         stage = "redact"
-                        if frames and r.boxes is not None and len(r.boxes):
-                            mask = redact.union_mask(frames, r.boxes, r.us_regions, mask_mode)
-                            frames = [f.copy() for f in frames]
-                            for f in frames:
-                                f[mask] = 0
+                        frames = redact.redacted(frames, r.boxes, r.us_regions, mask_mode)
                         stage = "scrub"
-                        data, found_audit = _scrubbed_file(r.content, np.concatenate([f.reshape(-1) for f in frames]) if frames else None, r.uri, salt, table, series)
+                        data, found_audit = scrubbed_file(r.content, np.concatenate([f.reshape(-1) for f in frames]) if frames else None, r.uri, salt, table, series)
                         audit = [dict(zip(("tag", "keyword", "action", "redacted"), a)) for a in found_audit]
                         uid, new = (dicom.value_of(dicom.parse(x, pixels=False), "SOPInstanceUID") for x in (r.content, data))
                         stage = None

@@ -511,18 +511,95 @@ def discover_inputs(spark, d):
 # --- generated files -----------------------------------------------------------------------------------------------
 
 
-@query()
-def volume_redact_fixture(spark, d):
+_VOLUMES = (
+    "v AS (SELECT s_suppkey AS s, (4 + s_suppkey % 30)::BIGINT AS n FROM supplier), "
+    "f AS (SELECT s, n, k, (s * 7 + k * 5) % 20 AS x, (s * 3 + k * 2) % 16 AS y, 4 + (s + k) % 6 AS w, 3 + s % 4 AS h FROM (SELECT s, n, unnest(range(0, n)) AS k FROM v)), "
+    "bright AS (SELECT s, k, px, py, s % 3 = 0 AND px < 16 AND py < 12 AS diagnostic FROM f, (SELECT unnest(range(32)) AS px), (SELECT unnest(range(24)) AS py) "
+    "WHERE px >= x AND px < x + w AND py >= y AND py < y + h), "
+    "c AS (SELECT s, n, greatest(3, least(25, round_even(n * 0.1::DOUBLE, 0)))::BIGINT AS m FROM v), "
+    "chosen AS (SELECT DISTINCT s, k FROM (SELECT s, unnest(list_concat(list_transform(range(0, m), lambda i: round_even(i * (n - 1) / (m - 1), 0)::BIGINT), [0, n - 1])) AS k FROM c)), "
+    "box AS (SELECT s, k, min(px) AS x0, max(px) + 1 AS x1, min(py) AS y0, max(py) + 1 AS y1 FROM bright JOIN chosen USING (s, k) WHERE NOT diagnostic GROUP BY s, k)"
+)
+
+
+@query(
+    f"WITH {_VOLUMES}, hit AS (SELECT * FROM box WHERE (x1 - x0) % 2 = 0) SELECT f.s::BIGINT AS s_suppkey, f.k::INT AS frame_index, count(l.px) AS bright_pixels FROM f LEFT JOIN (SELECT * FROM bright b "
+    "WHERE diagnostic OR NOT EXISTS (SELECT 1 FROM hit WHERE hit.s = b.s AND px >= x0 AND px < x1 AND py >= y0 AND py < y1)) l ON l.s = f.s AND l.k = f.k GROUP BY f.s, f.k"
+)
+def volume_redact(spark, d):
     from deidflow.plans import fixtures
 
-    return fixtures.redacted_volume(spark)
+    return fixtures.redacted_volumes(_t(spark, d, "supplier"))
 
 
-@query()
-def dicom_roundtrip_fixture(spark, d):
+@query(
+    f"WITH {_VOLUMES} SELECT s::BIGINT AS s_suppkey, k::INT AS frame_index, x0::INT AS x, y0::INT AS y, (x1 - x0)::INT AS w, (y1 - y0)::INT AS h, "
+    "CASE WHEN (x1 - x0) % 2 = 0 THEN 'redacted' ELSE 'safelisted' END AS decision FROM box"
+)
+def volume_detections(spark, d):
+    from deidflow.plans import fixtures
+
+    return fixtures.volume_detections(_t(spark, d, "supplier"))
+
+
+def _sql_rows(*rows: tuple[str, str, str, str]) -> str:
+    return "unnest([" + ", ".join(f"{{'path': '{p}', 'tag': '{t}', 'vr': '{v}', 'value': {x}}}" for p, t, v, x in rows) + "], recursive := true)"
+
+
+_IMAGE_ROWS = (
+    ("", "(0028,0002)", "US", "'1'"), ("", "(0028,0004)", "CS", "'MONOCHROME2'"), ("", "(0028,0010)", "US", "'2'"), ("", "(0028,0011)", "US", "'3'"), ("", "(0028,0100)", "US", "'16'"),
+    ("", "(0028,0101)", "US", "'12'"), ("", "(0028,0102)", "US", "'11'"), ("", "(0028,0103)", "US", "'0'"),
+)
+_FILE_ROWS = _sql_rows(
+    ("", "(0008,0016)", "UI", "'1.2.840.10008.5.1.4.1.1.7'"), ("", "(0008,0018)", "UI", "'1.2.3.4.' || c_custkey"), ("", "(0008,0020)", "DA", "'20240101'"), ("", "(0008,0050)", "SH", "'ACC' || c_custkey"),
+    ("", "(0008,0060)", "CS", "'OT'"), ("", "(0008,0080)", "LO", "c_name"), ("", "(0009,1001)", "LO", "'private note'"), ("", "(0010,0010)", "PN", "c_name"), ("", "(0010,0020)", "LO", "c_custkey::VARCHAR"),
+    ("", "(0040,0275)", "SQ", "NULL"), ("(0040,0275)[0]", "(0010,0010)", "PN", "c_name"), *_IMAGE_ROWS,
+)
+
+
+@query(f"SELECT c_custkey::BIGINT AS c_custkey, {_FILE_ROWS} FROM customer")
+def dicom_roundtrip(spark, d):
+    from deidflow.plans import fixtures
+
+    return fixtures.roundtrip(_t(spark, d, "customer"))
+
+
+_SCRUBBED_ROWS = _sql_rows(
+    ("", "(0008,0020)", "DA", "''"), ("", "(0008,0060)", "CS", "'OT'"), ("", "(0010,0010)", "PN", _sql_token("c_name")), ("", "(0010,0020)", "LO", _sql_token("c_custkey::VARCHAR")),
+    ("", "(0012,0062)", "CS", "'YES'"), ("", "(0012,0063)", "LO", f"'{headers.METHOD}'"), ("", "(0012,0064)", "SQ", "NULL"), ("(0012,0064)[0]", "(0008,0100)", "SH", "'113100'"),
+    ("(0012,0064)[0]", "(0008,0102)", "SH", "'DCM'"), ("(0012,0064)[1]", "(0008,0100)", "SH", "'113101'"), ("(0012,0064)[1]", "(0008,0102)", "SH", "'DCM'"), ("", "(0040,0275)", "SQ", "NULL"),
+    ("(0040,0275)[0]", "(0010,0010)", "PN", _sql_token("c_name")), *_IMAGE_ROWS, ("", "(0028,0301)", "CS", "'NO'"), ("", "(0028,1050)", "DS", "format('{:g}', (c_custkey % 100 + 35) / 2.0::DOUBLE)"),
+    ("", "(0028,1051)", "DS", "(c_custkey % 100 + 35)::VARCHAR"),
+)
+
+
+@query(f"SELECT c_custkey::BIGINT AS c_custkey, {_SCRUBBED_ROWS} FROM customer")
+def dicom_scrubbed(spark, d):
+    from deidflow.plans import fixtures
+
+    return fixtures.scrubbed(_t(spark, d, "customer"), SALT)
+
+
+@query(
+    "SELECT c_custkey::BIGINT AS c_custkey, action, count(*) AS n, count(*) FILTER (redacted) AS n_redacted FROM (SELECT c_custkey, unnest([{'action': 'ZERO', 'redacted': true}, {'action': 'REMOVE', 'redacted': true}, "
+    "{'action': 'REMOVE', 'redacted': true}, {'action': 'DUMMY', 'redacted': true}, {'action': 'DUMMY', 'redacted': true}, {'action': 'DUMMY', 'redacted': true}, {'action': 'REMAP', 'redacted': true}, "
+    "{'action': 'ATTEST', 'redacted': false}, {'action': 'ATTEST', 'redacted': false}, {'action': 'ATTEST', 'redacted': false}, {'action': 'ATTEST', 'redacted': false}], recursive := true) FROM customer) "
+    "GROUP BY c_custkey, action"
+)
+def dicom_scrub_audit(spark, d):
+    from deidflow.plans import fixtures
+
+    return fixtures.scrub_audit(_t(spark, d, "customer"), SALT)
+
+
+@query(
+    "SELECT s_suppkey::BIGINT AS s_suppkey, '1.2.3.5.' || s_suppkey AS sop_instance_uid, CASE s_suppkey % 3 WHEN 0 THEN 'US' ELSE 'OT' END AS modality, 24 AS \"rows\", 32 AS columns, (4 + s_suppkey % 30)::INT AS number_of_frames, "
+    "CASE s_suppkey % 3 WHEN 0 THEN 1 ELSE 0 END AS n_regions, (4 + s_suppkey % 30)::INT AS n_read FROM supplier"
+)
+def slices_of_files(spark, d):
     from deidflow.plans import fixtures
 
-    return fixtures.roundtrip(spark)
+    return fixtures.slices_of_files(_t(spark, d, "supplier"))
 
 
 # --- further operators -----------------------------------------------------------------------------------------------

@@ -141,7 +141,7 @@ def test_colours_by_plane_or_by_pixel(planar):
     assert (frame == rgb).all()
     frame = frame.copy()
     frame[1:3, 2:4] = 0
-    new, _ = pipelines._scrubbed_file(data, frame.ravel(), "u", "salt", {}, False)
+    new, _ = pipelines.scrubbed_file(data, frame.ravel(), "u", "salt", {}, False)
     elements = dicom.parse(new)
     assert dicom.value_of(elements, "PlanarConfiguration") == "0" and (dicom.frames(elements)[0] == frame).all()
 
@@ -161,7 +161,7 @@ def test_unlisted_sequences_and_uids_of_implicit_files_are_scrubbed():
     elements = dicom.parse(data)
     assert [p for p, e in dicom.walk(elements) if e.tag == name] == ["(0032,1064)[0]"]
     assert next(e for e in elements if e.tag == 0x00400556).vr == "UN"
-    new, audit = pipelines._scrubbed_file(data, None, "u", "salt", {dicom.name(name): "REMOVE"}, False)
+    new, audit = pipelines.scrubbed_file(data, None, "u", "salt", {dicom.name(name): "REMOVE"}, False)
     assert b"Doe" not in new and uid[:-1] not in new and ("(0010,0010)", "PatientName", "REMOVE", True) in audit
     assert sum(a[2] == "REMAP" for a in audit) == 3
 
@@ -224,7 +224,7 @@ def test_run_length_pixels(kind, samples):
     data = _run_length_file(frames, samples)
     got = dicom.frames(dicom.parse(data))
     assert len(got) == 2 and all((a == b).all() and a.dtype == kind for a, b in zip(got, frames))
-    new, _ = pipelines._scrubbed_file(data, np.concatenate([f.reshape(-1) for f in got]), "u", "salt", {}, False)
+    new, _ = pipelines.scrubbed_file(data, np.concatenate([f.reshape(-1) for f in got]), "u", "salt", {}, False)
     again = dicom.parse(new)
     assert all((a == b).all() for a, b in zip(dicom.frames(again), frames)) and dicom.value_of(again, "TransferSyntaxUID") == dicom.EXPLICIT
     for cut in (len(data) - 9, len(data) - 40):
