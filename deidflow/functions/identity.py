@@ -13,6 +13,13 @@ def trim(c: Column | str) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
+def tag_name(text: Column) -> Column:
+    """'(GGGG,EEEE)' of a tag's notations, as ``rules.tag`` has them; null for what is no tag."""
+    form = r"^\(?\s*(?:0x)?([0-9A-Fa-f]{4})\s*,?\s*(?:0x)?([0-9A-Fa-f]{4})\s*\)?$"
+    group = lambda k: F.upper(F.regexp_extract(trim(text), form, k))
+    return F.when(trim(text).rlike(form), F.concat(F.lit("("), group(1), F.lit(","), group(2), F.lit(")")))
+
+
 def token(value: Column | str, salt: str) -> Column:
     """TOKEN_ and 16 hex digits of sha-256 over value and salt; empty stays empty, null becomes empty."""
     value = F.coalesce(F.col(value) if isinstance(value, str) else value, F.lit(""))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,17 @@ from deidflow import rules
 from deidflow.functions.identity import token
 
 
+def below(uri: Column, folder: str) -> Column:
+    """The path of a file below ``folder``, however many slashes follow the scheme; the bare name of a file that is not below it."""
+    plain, root = F.regexp_replace(uri, "^file:/+", "/"), re.sub("^file:/+", "/", folder).rstrip("/") + "/"
+    return F.when(plain.startswith(root), F.substring(plain, len(root) + 1, 2**31 - 1)).otherwise(F.element_at(F.split(plain, "/"), -1))
+
+
+def normalised(path: Column) -> Column:
+    """Without empty and ``.`` steps."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(path, r"^(\./+)+", ""), r"/(\./)+", "/"), "/{2,}", "/")
+
+
 def extension(path: Column) -> Column:
     """The last suffix with its dot, in lower case; empty without one, or for names that start with the only dot."""
     return F.lower(F.regexp_extract(F.element_at(F.split(path, "/"), -1), r"[^.](\.[^.]*)$", 1))

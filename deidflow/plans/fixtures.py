@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deidflow import rules
+from deidflow.functions.paths import below
 from deidflow.operators import redact
 from deidflow.plans import pipelines
-from deidflow.sources import dicom
+from deidflow.plans.tables import keep, shared_folder
+from deidflow.sources import dicom, images, writers
 
 ROWS, COLUMNS = 24, 32
 
@@ -97,6 +99,80 @@ def slices_of_files(suppliers: DataFrame) -> DataFrame:
     return joined.select(F.col("uri").cast("long").alias("s_suppkey"), "sop_instance_uid", "modality", "rows", "columns", "number_of_frames", F.greatest("n_regions", F.lit(0)).alias("n_regions"), "n_read")
 
 
+# --- files in folders ----------------------------------------------------------------------------------------------
+
+
+def run_files(suppliers: DataFrame, salt: str) -> DataFrame:
+    """A whole run over a folder with the volumes, cut files (every tenth) and files of other kinds: where each goes and why."""
+    spark = suppliers.sparkSession
+    source, out = shared_folder(spark, "run-in"), shared_folder(spark, "run-out")
+
+    def one(r) -> list[tuple]:
+        s, data = r.s_suppkey, _volume(r.s_suppkey)
+        return [(f"{source}/P{s % 7}/s/f{s}.dcm", data if s % 10 else data[:-40]), (f"{source}/P{s % 7}/n{s}.txt", data), (f"{source}/P{s % 7}/s/m{s}", b"no magic")]
+
+    _done(writers.write_files(_mapped(suppliers.select("s_suppkey"), "path string, content binary", one)))
+    run = pipelines.run_dicom(spark, source, out, bright_reader, salt=salt)
+    saved = keep(pipelines.write(run), "saved")
+    hits = run.detections.groupBy(F.col("source_path").alias("uri")).agg(F.count("*").alias("detections"), F.count_if(F.col("decision") == "redacted").alias("redacted"))
+    joined = run.outputs.join(hits, "uri", "left").join(saved.select("path", "saved"), "path", "left").fillna({"detections": 0, "redacted": 0, "saved": False})
+    key = F.regexp_extract("uri", r"f([0-9]+)\.dcm$", 1).cast("long")
+    return joined.select(key.alias("s_suppkey"), below(F.col("path"), out).alias("path"), "route", "error_stage", "detections", "redacted", "saved")
+
+
+def run_series(suppliers: DataFrame, salt: str) -> DataFrame:
+    """Files of one frame that are volumes together, by series: the bright pixels left in each and its place in the series."""
+    spark = suppliers.sparkSession
+    source = shared_folder(spark, "series-in")
+
+    def one(r) -> list[tuple]:
+        s, frame = r.s_suppkey, np.full((ROWS, COLUMNS), 10, np.uint8)
+        frame[5:9, s % 20 : s % 20 + 4] = 255
+        e, group = dicom.element, s % 7
+        body = [
+            e("SOPClassUID", "1.2.840.10008.5.1.4.1.1.7"), e("SOPInstanceUID", f"1.2.3.6.{s}"), e("StudyInstanceUID", f"1.2.4.{group}"), e("SeriesInstanceUID", f"1.2.5.{group}"), e("Modality", "CT"),
+            e("ImagePositionPatient", f"0\\0\\{-s}"), e("InstanceNumber", s), e("SamplesPerPixel", 1), e("PhotometricInterpretation", "MONOCHROME2"), e("Rows", ROWS), e("Columns", COLUMNS),
+            e("BitsAllocated", 8), e("BitsStored", 8), e("HighBit", 7), e("PixelRepresentation", 0), e("PixelData", frame.tobytes()),
+        ]
+        return [(f"{source}/{s:09d}.dcm", dicom.build(body))]
+
+    _done(writers.write_files(_mapped(suppliers.select("s_suppkey"), "path string, content binary", one)))
+    run = pipelines.run_dicom(spark, source, "out", bright_reader, salt=salt, series=True)
+    place = pipelines.volumes_of(dicom.slices(dicom.files(spark, source))).select("uri", "ordinal", "n_slices")
+
+    def left(r) -> list[tuple]:
+        (frame,) = dicom.frames(dicom.parse(r.content))
+        return [(int(r.uri.rsplit("/", 1)[1][:9]), r.ordinal, r.n_slices, int((frame > 200).sum()))]
+
+    return _mapped(run.outputs.join(place, "uri").select("uri", "content", "ordinal", "n_slices"), "s_suppkey long, ordinal int, n_slices int, bright_pixels long", left)
+
+
+def images_roundtrip(suppliers: DataFrame) -> DataFrame:
+    """Images (grey, or colours for odd numbers; every tenth is none) written and read: sizes, sum of samples, first sample."""
+    spark = suppliers.sparkSession
+    source = shared_folder(spark, "images")
+
+    def one(r) -> list[tuple]:
+        s = r.s_suppkey
+        shape = (3 + s % 4, 5, 3) if s % 2 else (3 + s % 4, 5)
+        pixels = ((s * 3 + np.arange(int(np.prod(shape)))) % 256).astype(np.uint8).reshape(shape)
+        return [(f"{source}/Q{s % 5}/i{s}.png", images.png(pixels) if s % 10 else b"no image")]
+
+    def sums(r) -> list[tuple]:
+        a = None if r.error else images.rgb(r.bgr, int(r.rows), int(r.cols), int(r.channels))
+        return [(int(r.uri.rsplit("/i", 1)[1][:-4]), *((0,) * 5 if a is None else (*a.shape[:2], a.size // a[..., 0].size if a.ndim == 3 else 1, int(a.sum()), int(a.flat[0]))), r.error)]
+
+    _done(writers.write_files(_mapped(suppliers.select("s_suppkey"), "path string, content binary", one)))
+    names = "s_suppkey long, rows int, cols int, channels int, total long, first int, error string"
+    return _mapped(images.read_images(spark, source), names, sums)
+
+
+def _done(written: DataFrame) -> None:
+    """Write now, as what follows lists the folder; a file that was not saved is an error."""
+    if not keep(written, "written").where("NOT saved").isEmpty():
+        raise OSError("files were not saved")
+
+
 # --- headers -------------------------------------------------------------------------------------------------------
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from deidflow import rules
 from deidflow.functions.geometry import keyframes
 from deidflow.functions.identity import token
-from deidflow.functions.paths import output_path
+from deidflow.functions.paths import below, output_path
 from deidflow.operators import redact, reports
 from deidflow.operators import series as series_ops
 from deidflow.plans.tables import keep
@@ -170,9 +170,7 @@ def run_dicom(
 
     schema = "uri string, content binary, original_sop_uid string, deid_sop_uid string, audit array<struct<tag:string,keyword:string,action:string,redacted:boolean>>, error string, error_stage string, low int"
     scrubbed = keep(ready.select("uri", "content", "boxes", "us_regions", "reader_error", "low").mapInPandas(scrub, schema), "scrubbed")
-    root = folder.rstrip("/")
-    relative = F.regexp_replace(F.regexp_replace("uri", "^file:", ""), "^" + root.removeprefix("file:") + "/", "")
-    outputs = scrubbed.withColumn("path", output_path(relative, salt, out, F.lit(".dcm"))).withColumn("route", reports.route(F.when(F.lit(to_review), F.col("low")).otherwise(0), F.col("error")))
+    outputs = scrubbed.withColumn("path", output_path(below(F.col("uri"), folder), salt, out, F.lit(".dcm"))).withColumn("route", reports.route(F.when(F.lit(to_review), F.col("low")).otherwise(0), F.col("error")))
     uids = scrubbed.select(F.col("uri").alias("source_path"), "original_sop_uid", "deid_sop_uid")
     shown = decided.select(
         F.col("uri").alias("source_path"), "frame_index", F.col("bbox.x").alias("bbox_x"), F.col("bbox.y").alias("bbox_y"), F.col("bbox.w").alias("bbox_w"), F.col("bbox.h").alias("bbox_h"),
@@ -231,8 +229,7 @@ def run_images(
 
     joined = done.join(bad, "uri", "left").join(low, "volume", "left").fillna({"low": 0})
     outputs = joined.select("uri", "rows", "cols", "channels", "dtype", "pixels", "error", "reader_error", "low").mapInPandas(encode, "uri string, content binary, error string, low int")
-    relative = F.regexp_replace(F.regexp_replace("uri", "^file:(//)?", ""), "^" + folder.rstrip("/").removeprefix("file:") + "/", "")
-    outputs = outputs.withColumn("path", output_path(relative, salt, out, F.lit(".png"))).withColumn("route", reports.route(F.when(F.lit(to_review), F.col("low")).otherwise(0), F.col("error")))
+    outputs = outputs.withColumn("path", output_path(below(F.col("uri"), folder), salt, out, F.lit(".png"))).withColumn("route", reports.route(F.when(F.lit(to_review), F.col("low")).otherwise(0), F.col("error")))
     none = F.lit(None).cast("string")
     shown = decided.select(
         F.col("uri").alias("source_path"), none.alias("original_sop_uid"), none.alias("deid_sop_uid"), F.lit(None).cast("int").alias("frame_index"), F.col("bbox.x").alias("bbox_x"), F.col("bbox.y").alias("bbox_y"),

@@ -341,16 +341,36 @@ def phi_free_report(spark, d):
     return reports.phi_free(_t(spark, d, "documents").select("doc_id", F.col("text").alias("ocr_text")), SALT)
 
 
+_MERGED = "SELECT 's' || l_suppkey AS source_path, l_orderkey AS k FROM lineitem WHERE "
+
+
 @query(
-    "WITH old AS (SELECT 's' || l_suppkey AS source_path, l_orderkey AS k FROM lineitem WHERE l_linenumber = 1), new AS (SELECT 's' || l_suppkey AS source_path, l_orderkey AS k FROM lineitem WHERE l_linenumber = 2 AND l_suppkey % 2 = 0) "
+    f"WITH old AS ({_MERGED} NOT (l_linenumber % 2 = 0 AND l_suppkey % 2 = 0)), new AS ({_MERGED} l_linenumber % 2 = 0 AND l_suppkey % 2 = 0) "
     "SELECT source_path, count(*) AS n, sum(k)::BIGINT AS keys FROM (SELECT * FROM old WHERE source_path NOT IN (SELECT source_path FROM new) UNION ALL SELECT * FROM new) GROUP BY source_path"
 )
 def report_merge(spark, d):
-    li = _t(spark, d, "lineitem").select(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("source_path"), F.col("l_orderkey").alias("k"), "l_linenumber", "l_suppkey")
-    old, new = (x.select("source_path", "k") for x in (li.where("l_linenumber = 1"), li.where("l_linenumber = 2 AND l_suppkey % 2 = 0")))
+    old, new = _reports(spark, d)
     return reports.merge(old, new).groupBy("source_path").agg(F.count("*").alias("n"), F.sum("k").alias("keys"))
 
 
+def _reports(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Rows of an earlier report and of a new one: together every line."""
+    li = _t(spark, d, "lineitem").select(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("source_path"), F.col("l_orderkey").alias("k"), "l_linenumber", "l_suppkey")
+    again = (F.col("l_linenumber") % 2 == 0) & (F.col("l_suppkey") % 2 == 0)
+    return tuple(li.where(c).select("source_path", "k") for c in (~again, again))
+
+
+@query(
+    f"WITH old AS ({_MERGED} NOT (l_linenumber % 2 = 0 AND l_suppkey % 2 = 0)), new AS ({_MERGED} l_linenumber % 2 = 0 AND l_suppkey % 2 = 0) "
+    "SELECT source_path, count(*) AS n, sum(k)::BIGINT AS keys FROM (SELECT * FROM old WHERE source_path NOT IN (SELECT source_path FROM new) AND source_path NOT IN (SELECT 's' || s_suppkey FROM supplier WHERE s_suppkey % 3 = 0) "
+    "UNION ALL SELECT * FROM new) GROUP BY source_path"
+)
+def report_merge_reruns(spark, d):
+    old, new = _reports(spark, d)
+    ran = _t(spark, d, "supplier").where("s_suppkey % 3 = 0").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("source_path"))
+    return reports.merge(old, new, ran).groupBy("source_path").agg(F.count("*").alias("n"), F.sum("k").alias("keys"))
+
+
 def _detections(spark, d) -> DataFrame:
     """Document i has i % 4 regions' worth of one decision each, by its id."""
     decision = F.element_at(F.array(*(F.lit(x) for x in rules.DECISIONS)), (F.col("doc_id") % 3 + 1).cast("int"))
@@ -728,7 +748,7 @@ def series_ragged(spark, d):
 
 
 @query(
-    "SELECT k AS order_key, coalesce(n, 0) AS n_frames, coalesce(m, 0) AS n_uris FROM (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1) FULL JOIN (SELECT o_orderkey AS k, 3 AS m FROM orders) USING (k) WHERE coalesce(n, 0) <> coalesce(m, 0)"
+    "SELECT k AS order_key, coalesce(n, 0) AS n_frames, coalesce(m, 0)::BIGINT AS n_uris FROM (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1) FULL JOIN (SELECT o_orderkey AS k, 3 AS m FROM orders) USING (k) WHERE coalesce(n, 0) <> coalesce(m, 0)"
 )
 def series_miscounted(spark, d):
     """Volumes whose depth is not the number of their files."""
@@ -745,3 +765,109 @@ def union_mask_with_existing(spark, d):
     boxes = pixels.clamped(_boxes(spark, d), WIDTH, HEIGHT)
     old = boxes.where("event_id % 3 = 0").select("user_id", *(F.lit(v).alias(c) for c, v in zip(("x0", "y0", "x1", "y1"), (10, 20, 60, 30))))
     return pixels.union_with(boxes, old, "user_id")
+
+
+_LABEL_MODEL = "contains(text, '-') OR contains(text, 'brass')"
+
+
+@query(
+    f"WITH {_VIEW} SELECT pos, CASE WHEN confidence < 0.4 THEN 'low_confidence' ELSE CASE {_CASCADE} WHEN 'keep' THEN 'safelisted' WHEN 'redact' THEN 'redacted' ELSE "
+    f"CASE WHEN {_LABEL_MODEL} THEN 'redacted' ELSE 'safelisted' END END END AS decision, count(*) AS n FROM v GROUP BY ALL"
+)
+def model_decisions(spark, d):
+    from deidflow.operators import redact
+
+    corners = F.array(*(F.array(F.lit(float(x)), F.lit(float(y))) for x, y in ((0, 0), (4, 0), (4, 2), (0, 2))))
+    found = fragment_view(spark, d).select("pos", F.col("text").alias("ocr_text"), "confidence", corners.alias("corners"), F.lit(None).cast("string").alias("error"))
+    return redact.decide(found, lambda texts: ["-" in t or "brass" in t for t in texts]).groupBy("pos", "decision").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH u AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'dir/' || o_orderkey ELSE '1.2.3.' || o_orderkey END AS source FROM orders) SELECT o_orderkey::BIGINT AS o_orderkey, {_sql_uid('source')} AS uid FROM u")
+def uid_minted(spark, d):
+    key = F.col("o_orderkey").cast("string")
+    uid = F.when(F.col("o_orderkey") % 3 == 0, F.when(F.col("o_orderkey") % 2 == 0, F.lit("  "))).otherwise(F.concat(F.lit("1.2.3."), key))
+    return _t(spark, d, "orders").select("o_orderkey", identity.remap_uid(uid, SALT, F.concat(F.lit("dir/"), key)).alias("uid"))
+
+
+@query(
+    "WITH h AS (SELECT l_orderkey, l_linenumber, printf('%04x', l_partkey % 65536) AS g, printf('%04X', l_suppkey % 65536) AS e FROM lineitem) "
+    "SELECT l_orderkey::BIGINT AS l_orderkey, l_linenumber::INT AS l_linenumber, CASE WHEN l_linenumber % 6 < 5 THEN '(' || upper(g) || ',' || e || ')' END AS tag FROM h"
+)
+def tag_names(spark, d):
+    hexed = lambda c: F.lpad(F.conv((F.col(c) % 65536).cast("string"), 10, 16), 4, "0")
+    g, e, n = F.lower(hexed("l_partkey")), hexed("l_suppkey"), F.col("l_linenumber") % 6
+    text = (
+        F.when(n == 0, F.concat(F.lit("("), g, F.lit(","), e, F.lit(")"))).when(n == 1, F.concat(g, F.lit(","), e)).when(n == 2, F.concat(g, e)).when(n == 3, F.concat(F.lit("0x"), g, e))
+        .when(n == 4, F.concat(F.lit(" ( "), g, F.lit(" , "), e, F.lit(" ) "))).otherwise(F.concat(g, F.lit("."), e))
+    )
+    return _t(spark, d, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("int").alias("l_linenumber"), identity.tag_name(text).alias("tag"))
+
+
+@query(
+    "WITH p AS (SELECT page_id, 'in/' || page_id || '/f.png' AS path FROM pages), a AS (SELECT 'in/' || (page_id - page_id % 2) || '/f.png' AS path, (page_id % 9)::INT AS x, (page_id % 4)::INT AS w, page_id % 3 = 0 AS is_phi FROM pages) "
+    "SELECT p.page_id::BIGINT AS page_id, coalesce(x, -1) AS x, coalesce(w, -1) AS w, coalesce(is_phi, false) AS is_phi FROM p LEFT JOIN a USING (path)"
+)
+def annotations_by_path(spark, d):
+    from deidflow.sources import tables
+
+    p, key = _t(spark, d, "pages"), F.col("page_id")
+    odd = F.when(key % 2 == 0, F.lit(".//in/./")).otherwise(F.lit("in//"))
+    rows = p.select(
+        F.concat(odd, (key - key % 2).cast("string"), F.lit("/./f.png")).alias("file_path"), F.lit("t").alias("text"), (key % 9).cast("int").alias("x_min"), F.lit(0).alias("y_min"),
+        (key % 9 + key % 4).cast("int").alias("x_max"), F.lit(5).alias("y_max"), F.when(key % 3 == 0, F.lit(" True ")).when(key % 3 == 1, F.lit("no")).alias("is_phi"), F.lit("NAME").alias("phi_type"),
+    )
+    truth = tables.annotations(rows)
+    files = p.select("page_id", F.concat(F.lit("in/"), key.cast("string"), F.lit("/f.png")).alias("file_path"))
+    return files.join(truth, "file_path", "left").fillna({"x": -1, "w": -1, "is_phi": False}).select(F.col("page_id").cast("long").alias("page_id"), "x", "w", "is_phi")
+
+
+@query(
+    f"WITH k AS (SELECT c_custkey, unnest([{{'tag': '(0018,0050)', 'action': NULL, 'v': '1.5'}}, {{'tag': '(0020,0013)', 'action': NULL, 'v': c_custkey::VARCHAR}}, {{'tag': '(0010,0010)', 'action': 'DUMMY', 'v': {_sql_token('c_name')}}}], recursive := true) FROM customer) "
+    "SELECT 'f' || c_custkey AS uri, tag, action, v AS value_out FROM k"
+)
+def header_scrub_geometry(spark, d):
+    row = lambda t, k, vr, v: F.struct(F.lit("").alias("path"), F.lit(t).alias("tag"), F.lit(k).alias("keyword"), F.lit(vr).alias("vr"), v.alias("value"))
+    key = F.col("c_custkey").cast("string")
+    rows = F.array(row("(0018,0050)", "SliceThickness", "DS", F.lit("1.5")), row("(0020,0013)", "InstanceNumber", "IS", key), row("(0010,0010)", "PatientName", "PN", F.col("c_name")))
+    elements = _t(spark, d, "customer").select(F.concat(F.lit("f"), key).alias("uri"), F.explode(rows).alias("e")).select("uri", "e.*")
+    mapping = {"(0018,0050)": "REMOVE", "(0020,0013)": "ZERO", "(0010,0010)": "DUMMY"}
+    return headers.scrub(elements, mapping, SALT, keep_geometry=True).select("uri", "tag", "action", "value_out")
+
+
+_TOP = _sql_token("'P' || s % 7")
+
+
+@query(
+    f"WITH {_VOLUMES}, b AS (SELECT s, count(*) AS detections, count(*) FILTER ((x1 - x0) % 2 = 0) AS redacted FROM box WHERE s % 10 > 0 GROUP BY s) SELECT v.s::BIGINT AS s_suppkey, {_TOP.replace('s %', 'v.s %')} || '/s/f' || v.s || '.dcm' AS path, "
+    "CASE WHEN v.s % 10 = 0 THEN 'error' ELSE 'ok' END AS route, CASE WHEN v.s % 10 = 0 THEN 'read' END AS error_stage, coalesce(detections, 0) AS detections, coalesce(redacted, 0) AS redacted, v.s % 10 > 0 AS saved "
+    "FROM v LEFT JOIN b ON b.s = v.s"
+)
+def run_files(spark, d):
+    from deidflow.plans import fixtures
+
+    return fixtures.run_files(_t(spark, d, "supplier"), SALT)
+
+
+@query(
+    "WITH o AS (SELECT s_suppkey AS s, s_suppkey % 7 AS g, row_number() OVER (PARTITION BY s_suppkey % 7 ORDER BY -s_suppkey) - 1 AS k, count(*) OVER (PARTITION BY s_suppkey % 7) AS n FROM supplier), "
+    "c AS (SELECT g, n, greatest(3, least(25, round_even(n * 0.1::DOUBLE, 0)))::BIGINT AS m FROM o GROUP BY g, n), "
+    "chosen AS (SELECT DISTINCT g, k FROM (SELECT g, unnest(CASE WHEN n <= 3 THEN range(0, n) ELSE list_concat(list_transform(range(0, m), lambda i: round_even(i * (n - 1) / (m - 1), 0)::BIGINT), [0, n - 1]) END) AS k FROM c)), "
+    "hit AS (SELECT o.g, s % 20 AS x FROM o JOIN chosen ON chosen.g = o.g AND chosen.k = o.k), "
+    "px AS (SELECT o.s, o.g, o.s % 20 + i AS x FROM o, (SELECT unnest(range(4)) AS i)) "
+    "SELECT o.s::BIGINT AS s_suppkey, o.k::INT AS ordinal, o.n::INT AS n_slices, (4 * (SELECT count(*) FROM px WHERE px.s = o.s AND NOT EXISTS (SELECT 1 FROM hit WHERE hit.g = px.g AND px.x >= hit.x AND px.x < hit.x + 4)))::BIGINT AS bright_pixels FROM o"
+)
+def run_series(spark, d):
+    from deidflow.plans import fixtures
+
+    return fixtures.run_series(_t(spark, d, "supplier"), SALT)
+
+
+@query(
+    "WITH i AS (SELECT s_suppkey AS s, 3 + s_suppkey % 4 AS h, CASE s_suppkey % 2 WHEN 1 THEN 3 ELSE 1 END AS c, s_suppkey % 10 > 0 AS ok FROM supplier) "
+    "SELECT s::BIGINT AS s_suppkey, CASE WHEN ok THEN h ELSE 0 END::INT AS \"rows\", CASE WHEN ok THEN 5 ELSE 0 END::INT AS cols, CASE WHEN ok THEN c ELSE 0 END::INT AS channels, "
+    "CASE WHEN ok THEN list_sum(list_transform(range(0, h * 5 * c), lambda j: (s * 3 + j) % 256)) ELSE 0 END::BIGINT AS total, CASE WHEN ok THEN s * 3 % 256 ELSE 0 END::INT AS first, CASE WHEN NOT ok THEN 'ImageError' END AS error FROM i"
+)
+def images_roundtrip(spark, d):
+    from deidflow.plans import fixtures
+
+    return fixtures.images_roundtrip(_t(spark, d, "supplier"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deidflow import rules
+from deidflow.functions.paths import normalised
 
 TRUTH = "file_path string, text string, x_min int, y_min int, x_max int, y_max int, is_phi string, phi_type string"
 _KINDS = {"frame_index": "int", "bbox_x": "int", "bbox_y": "int", "bbox_w": "int", "bbox_h": "int", "text_len": "int", "confidence": "double", "redacted": "boolean"}
@@ -28,9 +29,13 @@ def csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def ground_truth(spark: SparkSession, path: str) -> DataFrame:
     """Annotations by normalised path as rectangles x, y, w, h; is_phi only where the text says true."""
     rows = csv(spark, path, TRUTH)
-    name = F.regexp_replace(F.regexp_replace("file_path", r"/(\./)+", "/"), "/{2,}", "/")
+    return annotations(rows)
+
+
+def annotations(rows: DataFrame) -> DataFrame:
+    """``ground_truth`` of rows that were read already."""
     return rows.select(
-        name.alias("file_path"), "text", F.col("x_min").alias("x"), F.col("y_min").alias("y"), (F.col("x_max") - F.col("x_min")).alias("w"), (F.col("y_max") - F.col("y_min")).alias("h"),
+        normalised(F.col("file_path")).alias("file_path"), "text", F.col("x_min").alias("x"), F.col("y_min").alias("y"), (F.col("x_max") - F.col("x_min")).alias("w"), (F.col("y_max") - F.col("y_min")).alias("h"),
         (F.lower(F.trim(F.coalesce("is_phi", F.lit("")))) == "true").alias("is_phi"), "phi_type",
     )
 
