@@ -111,3 +111,13 @@ def test_fit_and_decoding_equal_plain_loops(spark):
     for k, t in enumerate(texts):
         best, score = plain_decode(plain, t or "") if any(c.isalpha() for c in t or "") else ("und", 0.0)
         assert got[k].lang_pred == best and abs(got[k].score - score) < 1e-4, t
+
+
+def test_ties_and_repeated_rows(spark):
+    rows = [(k, text, lang) for k, (text, lang) in enumerate([("aaaa bbbb", "zz"), ("cccc dddd", "yy"), ("eeee ffff", "xx")] * 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    tied = spark.createDataFrame([(1, "q"), (2, "q"), (2, "q"), (3, "aaaa"), (3, "aaaa"), (None, "aaaa")], "doc_id long, text string")
+    got = langid.predict(tied, model, "doc_id").collect()
+    assert len(got) == 6 and {r.lang_pred for r in got if r.doc_id in (1, 2)} == {"xx"}  # nothing known: the alphabetically first
+    assert {(r.lang_pred, r.score) for r in got if r.doc_id not in (1, 2)} == {("zz", next(r.score for r in got if r.doc_id == 3))}

@@ -95,3 +95,15 @@ def test_repeated_keys_and_nulls(spark):
 
 def test_empty_table(spark):
     assert lic.scan(spark.createDataFrame([], "file long, path string, text string")).count() == 0
+
+
+def test_clashing_columns_and_very_long_texts(spark):
+    notice = "Released under the MIT License"
+    long = "\n".join(["x = 1  # code"] * 100_000 + [notice] + ["y = 2"] * 100_000)
+    rows = [(1, "a/LICENSE", notice), (2, "a/b/c", long), (3, "a/b/d", "code")]
+    names = "licence string, score string, basis string, origin string, key string, dir string, unit string, word string, inherited string"
+    plain = lic.scan(spark.createDataFrame(rows, "file long, path string, text string"))
+    clash = lic.scan(spark.createDataFrame([(*r, *"abcdefghi") for r in rows], f"file long, path string, text string, {names}"))
+    got = sorted(map(tuple, clash.collect()))
+    assert clash.columns == plain.columns and got == sorted(map(tuple, plain.collect()))
+    assert [(r[2], r[4]) for r in got] == [("MIT", "file"), ("MIT", "header"), ("MIT", "inherited")]

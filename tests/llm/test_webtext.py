@@ -118,3 +118,14 @@ def test_templates_of_any_size_are_joined(spark):
 
 def test_empty_table(spark):
     assert web.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_repeated_and_very_long_pages(spark):
+    rows = neutral(6)
+    once = {r.page_id: r.text for r in web.extract(table(spark, rows)).collect()}
+    twice = web.extract(table(spark, rows * 2)).collect()
+    assert len(twice) == 12 and all(r.text == once[r.page_id] for r in twice)  # vectors are sums, so even numbers do not cancel
+    story = " ".join(f"word{k}" for k in range(200_000))
+    long = [(9, "http://plain.example/9", PLAIN.format(k=9, more=f"<p>{story}</p>"))]
+    got = {r.page_id: r.text for r in web.extract(table(spark, rows + long)).collect()}
+    assert got[9].endswith(story) and {k: v for k, v in got.items() if k != 9} == once
