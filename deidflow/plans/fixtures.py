@@ -30,6 +30,11 @@ def _mapped(df: DataFrame, schema: str, one: Callable) -> DataFrame:
     return df.mapInPandas(rows, schema)
 
 
+def _spread(keys: DataFrame) -> DataFrame:
+    """A small table's rows over the cluster, as each becomes a file."""
+    return keys.repartition(keys.sparkSession.sparkContext.defaultParallelism, keys.columns[0])
+
+
 # --- volumes -------------------------------------------------------------------------------------------------------
 
 
@@ -52,7 +57,7 @@ def _volume(s: int) -> bytes:
 
 
 def _volumes(suppliers: DataFrame) -> DataFrame:
-    return _mapped(suppliers.select("s_suppkey"), "uri string, content binary", lambda r: [(str(r.s_suppkey), _volume(r.s_suppkey))])
+    return _mapped(_spread(suppliers.select("s_suppkey")), "uri string, content binary", lambda r: [(str(r.s_suppkey), _volume(r.s_suppkey))])
 
 
 def bright_reader() -> redact.Reader:
@@ -111,7 +116,7 @@ def run_files(suppliers: DataFrame, salt: str) -> DataFrame:
         s, data = r.s_suppkey, _volume(r.s_suppkey)
         return [(f"{source}/P{s % 7}/s/f{s}.dcm", data if s % 10 else data[:-40]), (f"{source}/P{s % 7}/n{s}.txt", data), (f"{source}/P{s % 7}/s/m{s}", b"no magic")]
 
-    _done(writers.write_files(_mapped(suppliers.select("s_suppkey"), "path string, content binary", one)))
+    _done(writers.write_files(_mapped(_spread(suppliers.select("s_suppkey")), "path string, content binary", one)))
     run = pipelines.run_dicom(spark, source, out, bright_reader, salt=salt)
     saved = keep(pipelines.write(run), "saved")
     hits = run.detections.groupBy(F.col("source_path").alias("uri")).agg(F.count("*").alias("detections"), F.count_if(F.col("decision") == "redacted").alias("redacted"))
@@ -136,7 +141,7 @@ def run_series(suppliers: DataFrame, salt: str) -> DataFrame:
         ]
         return [(f"{source}/{s:09d}.dcm", dicom.build(body))]
 
-    _done(writers.write_files(_mapped(suppliers.select("s_suppkey"), "path string, content binary", one)))
+    _done(writers.write_files(_mapped(_spread(suppliers.select("s_suppkey")), "path string, content binary", one)))
     run = pipelines.run_dicom(spark, source, "out", bright_reader, salt=salt, series=True)
     place = pipelines.volumes_of(dicom.slices(dicom.files(spark, source))).select("uri", "ordinal", "n_slices")
 
@@ -162,7 +167,7 @@ def images_roundtrip(suppliers: DataFrame) -> DataFrame:
         a = None if r.error else images.rgb(r.bgr, int(r.rows), int(r.cols), int(r.channels))
         return [(int(r.uri.rsplit("/i", 1)[1][:-4]), *((0,) * 5 if a is None else (*a.shape[:2], a.size // a[..., 0].size if a.ndim == 3 else 1, int(a.sum()), int(a.flat[0]))), r.error)]
 
-    _done(writers.write_files(_mapped(suppliers.select("s_suppkey"), "path string, content binary", one)))
+    _done(writers.write_files(_mapped(_spread(suppliers.select("s_suppkey")), "path string, content binary", one)))
     names = "s_suppkey long, rows int, cols int, channels int, total long, first int, error string"
     return _mapped(images.read_images(spark, source), names, sums)
 
@@ -203,16 +208,16 @@ def _rows(key: int, data: bytes) -> list[tuple]:
 
 def roundtrip(customers: DataFrame) -> DataFrame:
     """The long-form headers of written files, read back."""
-    return _mapped(customers.select("c_custkey", "c_name"), _HEADER, lambda r: _rows(r.c_custkey, _file(r.c_custkey, r.c_name)))
+    return _mapped(_spread(customers.select("c_custkey", "c_name")), _HEADER, lambda r: _rows(r.c_custkey, _file(r.c_custkey, r.c_name)))
 
 
 def scrubbed(customers: DataFrame, salt: str) -> DataFrame:
     """The long-form headers of scrubbed files, without UIDs."""
-    return _mapped(customers.select("c_custkey", "c_name"), _HEADER, lambda r: _rows(r.c_custkey, _scrubbed(r.c_custkey, r.c_name, salt)[0])).where("vr <> 'UI'")
+    return _mapped(_spread(customers.select("c_custkey", "c_name")), _HEADER, lambda r: _rows(r.c_custkey, _scrubbed(r.c_custkey, r.c_name, salt)[0])).where("vr <> 'UI'")
 
 
 def scrub_audit(customers: DataFrame, salt: str) -> DataFrame:
     """The audit of the scrub by action."""
     one = lambda r: [(r.c_custkey, action, done) for _, _, action, done in _scrubbed(r.c_custkey, r.c_name, salt)[1]]
-    audit = _mapped(customers.select("c_custkey", "c_name"), "c_custkey long, action string, redacted boolean", one)
+    audit = _mapped(_spread(customers.select("c_custkey", "c_name")), "c_custkey long, action string, redacted boolean", one)
     return audit.groupBy("c_custkey", "action").agg(F.count("*").alias("n"), F.count_if("redacted").alias("n_redacted"))

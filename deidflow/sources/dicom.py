@@ -401,6 +401,8 @@ def slices(found: DataFrame, modalities: tuple[str, ...] = rules.MODALITIES) ->
     return found.select("uri", "content").mapInPandas(rows, SLICE).where(F.upper("modality").isin(*modalities))
 
 
+#: Frames are handed on when they hold so many bytes together.
+FRAME_BYTES = 16 << 20
 REGIONS = "array<struct<x0:int,y0:int,x1:int,y1:int>>"
 
 
@@ -445,17 +447,23 @@ def frame_rows(found: DataFrame) -> DataFrame:
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in FRAMES.split(", ")] + along
+        out, held = [], 0
         for batch in batches:
             for r in batch.itertuples(index=False):
                 more = (r.us_regions,) if along else ()
                 try:
                     all_frames = frames(parse(r.content))
                 except DicomError as e:
-                    yield pd.DataFrame([(r.uri, None, None, None, None, None, None, None, str(e), *more)], columns=names)
+                    out.append((r.uri, None, None, None, None, None, None, None, str(e), *more))
                     continue
                 for k in r.wanted if chosen else range(len(all_frames)):
                     f = all_frames[k]
-                    row = (r.uri, k, len(all_frames), f.shape[0], f.shape[1], 1 if f.ndim == 2 else f.shape[2], f.dtype.str, f.tobytes(), None, *more)
-                    yield pd.DataFrame([row], columns=names)
+                    out.append((r.uri, k, len(all_frames), f.shape[0], f.shape[1], 1 if f.ndim == 2 else f.shape[2], f.dtype.str, f.tobytes(), None, *more))
+                    held += f.nbytes
+                    if held >= FRAME_BYTES:
+                        yield pd.DataFrame(out, columns=names)
+                        out, held = [], 0
+        if out:
+            yield pd.DataFrame(out, columns=names)
 
     return found.select("uri", "content", *["wanted"] * chosen, *along).mapInPandas(rows, FRAMES + f", us_regions {REGIONS}" * len(along))

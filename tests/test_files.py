@@ -270,3 +270,9 @@ def test_errors_name_their_stage(spark, tmp_path):
     assert {(r.uri.rsplit("/", 1)[1], r.error, r.error_stage, r.route) for r in run.outputs.collect()} == {
         ("a.dcm", "OSError", "detect", "error"), ("vol", "OSError", "detect", "error"), ("us.dcm", "OSError", "detect", "error"), ("bad.dcm", "no native pixels", "read", "error")
     }
+
+
+def test_frames_of_good_and_bad_files_share_a_batch(spark):
+    rows = [("a", bytearray(synthetic.dicom_file(1, n_frames=3))), ("b", bytearray(b"\0" * 128 + b"DICMxxxx")), ("c", bytearray(synthetic.dicom_file(2)))]
+    got = sorted((r.uri, r.frame_index, r.n_frames, r.error) for r in dicom.frame_rows(spark.createDataFrame(rows, "uri string, content binary").coalesce(1)).collect())
+    assert got == [("a", 0, 3, None), ("a", 1, 3, None), ("a", 2, 3, None), ("b", None, None, "no native pixels"), ("c", 0, 1, None)]
