@@ -74,18 +74,23 @@ def file_entries(detections: DataFrame, tags: DataFrame, key: str = "source_path
     return both.withColumn("needs_manual_review", F.col("low_confidence") > 0)
 
 
-def envelope(files: DataFrame) -> DataFrame:
-    """One row of totals over files (status processed or failed) and the run's status."""
+def totals(files: DataFrame) -> DataFrame:
+    """One row of totals over files (status processed or failed) and the run's status; sums and the review flag are null where no file was processed."""
     ok, bad = F.count_if(F.col("status") == "processed"), F.count_if(F.col("status") == "failed")
-    done = lambda c: F.coalesce(F.sum(F.when(F.col("status") == "processed", F.col(c))), F.lit(0))
+    done = lambda c: F.when(F.col("status") == "processed", F.col(c))
     return files.agg(
-        F.count("*").alias("files_discovered"), ok.alias("files_processed"), bad.alias("files_failed"), done("pixel_regions_detected").alias("pixel_regions_detected"),
-        *(done(d).alias(d) for d in rules.DECISIONS), done("header_tags_scrubbed").alias("header_tags_scrubbed"),
-        F.coalesce(F.bool_or((F.col("status") == "processed") & F.col("needs_manual_review")), F.lit(False)).alias("needs_manual_review"),
+        F.count("*").alias("files_discovered"), ok.alias("files_processed"), bad.alias("files_failed"),
+        *(F.sum(done(c)).alias(c) for c in ("pixel_regions_detected", *rules.DECISIONS, "header_tags_scrubbed")),
+        F.bool_or(done("needs_manual_review")).alias("needs_manual_review"),
         F.when((bad > 0) & (ok == 0), "error").when(bad > 0, "partial").otherwise("success").alias("status"),
     )
 
 
+def envelope(files: DataFrame) -> DataFrame:
+    """``totals`` with zeros and no review where no file was processed."""
+    return totals(files).fillna(0).fillna(False)
+
+
 def route(low_confidence: Column, error: Column | None = None) -> Column:
     """error and review go to people; the rest is written."""
     out = F.when(low_confidence > 0, "review").otherwise("ok")

@@ -1,9 +1,11 @@
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from deidflow import rules
 from deidflow.operators import headers, measures, pixels, redact, reports, series, verify
+from deidflow.plans import queries
 
 
 def test_series_order_falls_back(spark):
@@ -86,6 +88,24 @@ def test_envelope_status(spark):
     assert reports.envelope(rows("processed", "failed")).first().redacted == 1
 
 
+@pytest.mark.parametrize("toxic, lang", [([1, 1, 1], "en"), ([1, 0, 0], "en"), ([1, 0, 0], None), ([1, 1, 0], None)])
+def test_envelope_totals_as_in_sql(spark, tmp_path, toxic, lang):
+    """Also when every file failed, and with documents that have no path."""
+    langs = ["de", "fr", lang]
+    spark.createDataFrame([(k, f"t{k}", "web", x) for k, x in enumerate(langs)], "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, 1, x) for k, x in enumerate(toxic)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    assert [tuple(r) for r in queries.Q["envelope_totals"](spark, str(tmp_path)).collect()] == con.execute(queries.O["envelope_totals"]).fetchall()
+
+
+def test_envelope_without_processed_files_has_zeros(spark):
+    schema = "status string, pixel_regions_detected long, redacted long, safelisted long, low_confidence long, header_tags_scrubbed long, needs_manual_review boolean"
+    for rows, status in ([("failed", 2, 1, 0, 1, 3, True)], "error"), ([], "success"):
+        assert tuple(reports.envelope(spark.createDataFrame(rows, schema)).first()) == (len(rows), 0, len(rows), 0, 0, 0, 0, 0, False, status)
+
+
 def test_reports_refuse_text(spark):
     with pytest.raises(rules.RuleError):
         reports.pixel_report(spark.createDataFrame([("x",)], "ocr_text string"))
