@@ -12,9 +12,12 @@ value that is null or no GIF gives null columns and an ``error``.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,104 +37,157 @@ GREYS = bytes(v for g in range(256) for v in (g, g, g))
 
 def lzw_codes(data: bytes, bits: int = 8) -> list[int]:
     """The code stream of ``data``: a clear code, greedy longest matches, a clear code when the table is full, end."""
+    return _parsed(data, bits).tolist()
+
+
+def _parsed(data: bytes, bits: int) -> np.ndarray:
+    """``lzw_codes`` as an array. Inside, codes stand 8 bits higher, so that a code plus a byte is the key of the longer match."""
     clear, end = 1 << bits, (1 << bits) + 1
-    codes, table, size = [clear], {}, end + 1
-    put, find = codes.append, table.get
     it = iter(data)
     prefix = next(it, None)
     if prefix is None:
-        return [clear, end]
+        return np.array([clear, end], "<u2")
+    prefix, first, full = prefix << 8, (end + 1) << 8, 4096 << 8
+    codes, table, size = [clear << 8], {}, first
+    put, claim = codes.append, table.setdefault
     for byte in it:
-        key = prefix << 8 | byte
-        code = find(key)
-        if code is not None:
+        code = claim(prefix + byte, size)
+        if code is not size:  # the key was there: sizes are new objects
             prefix = code
             continue
         put(prefix)
-        if size < 4096:
-            table[key] = size
-            size += 1
+        if size < full:
+            size += 256
         else:
-            put(clear)
+            put(clear << 8)
             table.clear()
-            size = end + 1
-        prefix = byte
+            size = first
+        prefix = byte << 8
     put(prefix)
-    put(end)
-    return codes
+    put(end << 8)
+    return (np.frombuffer(array("i", codes), np.int32) >> 8).astype("<u2")
+
+
+@functools.cache
+def _first_widths(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of the 4,096 codes from a clear code on, and their ends in bits: the k-th (from 0) is read when the table holds ``clear + 1 + k`` entries."""
+    size = (1 << bits) + 1 + np.arange(4096)
+    width = np.minimum(np.maximum(bits + 1, np.floor(np.log2(size)).astype(np.int64) + 1), 12)
+    return width, np.cumsum(width)
 
 
-def _widths(codes: np.ndarray, bits: int) -> np.ndarray:
-    """Bits of each code. After a clear code the k-th code (from 0) is read when the table holds end + k entries."""
-    clear = 1 << bits
-    at = np.arange(len(codes))
-    last = np.maximum.accumulate(np.where(codes == clear, at, -1))
-    before = np.concatenate(([-1], last[:-1]))  # the clear code before this code
-    k = at - before - 1
-    size = clear + 1 + np.maximum(k, 0)  # entries up to this number exist while the encoder writes code k
-    width = np.maximum(bits + 1, np.floor(np.log2(np.maximum(size, 1))).astype(np.int64) + 1)
-    return np.minimum(width, 12)
+def _widths(bits: int, start: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bits and ends of the codes number ``start`` to ``stop`` (without it) from a clear code on; beyond the table all have 12 bits."""
+    width, ends = _first_widths(bits)
+    if stop <= 4096:
+        return width[start:stop], ends[start:stop]
+    later = np.arange(max(start, 4096), stop)
+    return np.concatenate((width[start:], np.full(len(later), 12))), np.concatenate((ends[start:], ends[-1] + 12 * (later - 4095)))
 
 
-def pack_codes(codes: list[int], bits: int = 8) -> bytes:
+def pack_codes(codes: list[int] | np.ndarray, bits: int = 8) -> bytes:
     """Codes packed from the least significant bit on, each in the width that the table's size gives it."""
-    values = np.array(codes, np.int64)
-    width = _widths(values, bits)
-    ends = np.cumsum(width)
-    flat = np.zeros(int(ends[-1]), np.uint8)
-    starts = ends - width
-    for b in range(12):
-        has = width > b
-        flat[starts[has] + b] = (values[has] >> b) & 1
-    return np.packbits(flat, bitorder="little").tobytes()
+    values = np.asarray(codes, "<u2")
+    cuts = [0, *(np.flatnonzero(values == 1 << bits) + 1).tolist(), len(values)]
+    width = np.concatenate([_widths(bits, 0, b - a)[0] for a, b in itertools.pairwise(cuts)])
+    flat = np.unpackbits(values.view(np.uint8), bitorder="little").reshape(-1, 16)
+    # Codes of one width follow each other: their bits are columns of a rectangle.
+    turns = [0, *(np.flatnonzero(np.diff(width)) + 1).tolist(), len(width)]
+    return np.packbits(np.concatenate([flat[a:b, : width[a]].ravel() for a, b in itertools.pairwise(turns)]), bitorder="little").tobytes()
 
 
 def lzw_decode(data: bytes, bits: int, limit: int) -> bytes:
     """The samples of an LZW stream, at most ``limit``; damaged streams give what comes before the damage."""
+    if bits > 8:
+        raise ValueError("damaged GIF")
+    clear, out, size = 1 << bits, [], 0
+    for fresh, codes in _runs(data, bits):
+        if fresh:
+            found, starts, stops, whole = _unfolded(codes, clear, limit - size)
+            table = None
+        else:  # the table is full and stays as it is
+            if table is None:
+                table = [bytes((i,)) for i in range(clear)] + [b"", b""] + [found[a : b + 1] for a, b in zip(starts.tolist(), stops.tolist())]
+            found = b"".join([table[c] for c in codes.tolist()])[: limit - size]
+        out.append(found)
+        size += len(found)
+        if not whole or size >= limit:
+            break
+    return b"".join(out)
+
+
+def _runs(data: bytes, bits: int) -> Iterator[tuple[bool, np.ndarray]]:
+    """Codes up to the end code or as far as the data go: those that follow a clear code (True) until the table is full, and runs of the others."""
     clear, end = 1 << bits, (1 << bits) + 1
-    base = [bytes((i,)) for i in range(clear)] + [b"", b""]
-    out: list[bytes] = []
-    at, done, total = 0, 0, len(data) * 8
-    raw = np.frombuffer(data + b"\0\0\0\0", np.uint8).astype(np.uint32)
-    table, last, size = base.copy(), b"", end + 1
-    while at + bits + 1 <= total:
-        # Codes from here to the next clear code: their widths depend on their number since the last one alone. A run without
-        # a clear code goes on in the next, with the table as it is.
-        n = min(4096 - end + 8192, (total - at) // (bits + 1))
-        k = np.arange(done, done + n)
-        width = np.minimum(np.maximum(bits + 1, np.floor(np.log2(clear + 1 + k)).astype(np.int64) + 1), 12)
-        ends = at + np.cumsum(width)
-        n = int(np.searchsorted(ends, total, "right"))
+    words = np.ndarray((len(data) + 1,), "<u4", data + b"\0\0\0\0", strides=(1,))  # the four bytes from each byte on
+    at, done, total = 0, 0, len(data) * 8  # ``at``: the end of the last clear code
+    while True:
+        # Widths depend on a code's number since the last clear code alone. First as many codes as fill the table, and a clear code.
+        n = 8192 if done else min(4096 - clear, (total - at) // (bits + 1))
+        width, ends = _widths(bits, done, done + n)
+        n = int(np.searchsorted(ends, total - at, "right"))
         if not n:
-            break
-        starts = (ends - width)[:n]
-        word = raw[starts >> 3] | raw[(starts >> 3) + 1] << 8 | raw[(starts >> 3) + 2] << 16
-        codes = (word >> (starts & 7).astype(np.uint32)) & ((1 << width[:n]) - 1).astype(np.uint32)
+            return
+        width = width[:n]
+        starts = at + ends[:n] - width
+        codes = (words[starts >> 3] >> (starts & 7)) & ((1 << width) - 1)
         stop = np.flatnonzero((codes == clear) | (codes == end))
-        found = codes[: stop[0]].tolist() if len(stop) else codes.tolist()
-        add, put = table.append, out.append
-        for code in found:
-            if code < size:
-                entry = table[code]
-                if last and size < 4096:
-                    add(last + entry[:1])
-                    size += 1
-            elif code == size and last and size < 4096:
-                entry = last + last[:1]
-                add(entry)
-                size += 1
-            else:
-                return b"".join(out)[:limit]
-            put(entry)
-            last = entry
+        yield not done, codes[: stop[0]] if len(stop) else codes
         if not len(stop):
-            at, done = int(ends[n - 1]), done + n
-            continue
-        at = int(ends[stop[0]])
-        if codes[stop[0]] == end:
-            break
-        table, last, size, done = base.copy(), b"", end + 1, 0
-    return b"".join(out)[:limit]
+            done += n
+        elif codes[stop[0]] == end:
+            return
+        else:
+            at, done = at + int(ends[stop[0]]), 0
+
+
+def _unfolded(codes: np.ndarray, clear: int, limit: int, piece: int = 1 << 20) -> tuple[bytes, np.ndarray, np.ndarray, bool]:
+    """The samples of the codes after a clear code, at most ``limit``, where each code's string starts and stops, and whether all codes were sound.
+
+    Entry j of the table is the string of code j and the first sample of code j + 1. So a code's string is that of an earlier
+    code, its parent, and one more sample: lengths and samples are found by following parents, in steps that double. ``piece``
+    bounds the samples that are followed at once.
+    """
+    number = np.arange(len(codes))
+    parent = codes - clear - 2  # negative: the code is a sample itself
+    bad = np.flatnonzero(parent >= number)
+    whole = not len(bad)
+    if not whole:
+        codes, number, parent = codes[: bad[0]], number[: bad[0]], parent[: bad[0]]
+    if not len(codes):
+        return b"", number, number, whole
+    single = parent < 0
+    parent, last = np.where(single, number, parent), np.where(single, number, parent + 1)
+    root, size = parent, np.where(single, 1, 2)  # size: of the string, up to its part in the root's
+    while (more := size[root] - 1).any():
+        size += more
+        root = root[root]
+    stops = np.cumsum(size)
+    starts = stops - size
+    n = int(np.searchsorted(starts, limit))  # codes that start before the limit
+    if not n:
+        return b"", starts, stops, whole
+    out = np.empty(int(stops[n - 1]), np.uint8)
+    first = codes[root]  # of each string; its last sample is the first one of code ``last``
+    out[stops[:n] - 1] = first[last[:n]]
+    back = starts - starts[parent]
+    a = 0
+    while a < n:
+        b = min(n, max(a + 1, int(np.searchsorted(stops, starts[a] + piece, "right"))))
+        top, end = int(starts[a]), int(stops[b - 1])
+        here = np.arange(end - top)
+        source = here - np.repeat(back[a:b], size[a:b])
+        lasts = stops[a:b] - 1 - top
+        source[lasts] = lasts
+        if a:  # what earlier pieces hold is known
+            early = np.flatnonzero(source < 0)
+            out[top + early] = out[top + source[early]]
+            source[early] = early
+        for _ in range(max(0, int(size[a:b].max()) - 2).bit_length()):  # the longest string has so many steps but one
+            source = source[source]
+        out[top:end] = out[top:end][source]
+        a = b
+    return out[:limit].tobytes(), starts, stops, whole
 
 
 # --- container ---------------------------------------------------------------------------------------------------
@@ -151,7 +207,7 @@ def store(payload: bytes) -> bytes:
         part = payload[top * ROW : (top + FRAME_ROWS) * ROW]
         out.append(b"\x21\xf9\x04" + struct.pack("<BHB", 1 << 2, DELAY, 0) + b"\0")
         out.append(b"\x2c" + struct.pack("<HHHHB", 0, 0, ROW, len(part) // ROW, 0) + b"\x08")
-        out.append(_sub_blocks(pack_codes(lzw_codes(part))))
+        out.append(_sub_blocks(pack_codes(_parsed(part, 8))))
     return b"".join(out) + b"\x3b"
 
 
